@@ -54,3 +54,21 @@ def clip_to(ranges: dict, name: str, value: Column) -> Column:
 
 def dates(days) -> Column:
     return F.array(*[F.lit(d).cast("date") for d in days])
+
+
+# The same rules as SQL text, for long lists of formulas.
+
+def units_sql(amount: str) -> str:
+    return f"cast(round({amount} * {float(MONEY_UNITS)}D) AS bigint)"
+
+
+def money_sql(total_units: str) -> str:
+    return f"cast({total_units} AS double) / {float(MONEY_UNITS)}D"
+
+
+def scrub_sql(name: str) -> str:
+    return f"CASE WHEN {name} IS NULL OR isnan({name}) OR abs({name}) = double('infinity') THEN 0D ELSE {name} END"
+
+
+def clip_sql(value: str, bounds: tuple[float, float] | None) -> str:
+    return f"least(greatest({value}, {float(bounds[0])}D), {float(bounds[1])}D)" if bounds else value

@@ -12,10 +12,10 @@ Their partial results share one layout and are added up in a single aggregation
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ebbtide.contracts import ASOF, CUSTOMER, FAMILY, FEATURES, GAP_SENTINEL, NUMERIC, RANGES
-from ebbtide.functions.exact import clip_to, dates, finite, money, per, units
+from ebbtide.contracts import ASOF, CUSTOMER, EPS, FAMILY, FEATURES, GAP_SENTINEL, NUMERIC, RANGES
+from ebbtide.functions.exact import clip_sql, dates, money_sql, scrub_sql, units_sql
 
 # fixed values: the look-back windows of the contract, in days
 SHORT, MEDIUM, LONG = 30, 90, 180
@@ -33,8 +33,8 @@ _PRODUCT_FEATURES = {"distinct_products_90d", "product_breadth_ratio"}
 
 def top_countries(events: DataFrame, until: str, n: int = 6) -> DataFrame:
     """The n countries with most sale lines up to a day, ties by name: at most n rows."""
-    visible = events.where(~F.col("is_return") & (F.col("event_date") <= F.lit(until).cast("date")))
-    return visible.where(F.col("country").isNotNull()).groupBy("country").count().orderBy(F.desc("count"), "country").limit(n).select("country")
+    visible = events.where(f"NOT is_return AND country IS NOT NULL AND event_date <= DATE'{until}'")
+    return visible.groupBy("country").count().orderBy(F.desc("count"), "country").limit(n).select("country")
 
 
 def _as_array(levels: DataFrame | list[str]) -> Column:
@@ -43,30 +43,23 @@ def _as_array(levels: DataFrame | list[str]) -> Column:
     return F.array(*[F.lit(c) for c in levels]) if levels else F.array().cast("array<string>")
 
 
-def _days_between(end, start) -> Column:
-    return F.datediff(end, start)
-
-
-def _within(day: Column, asof: Column, days: int) -> Column:
-    """day in (asof - days, asof]; the upper bound is applied where rows are fanned out."""
-    return day > F.date_sub(asof, days)
-
-
 def _fan_out(rows: DataFrame, asofs: list[str], look_back: int | None) -> DataFrame:
-    """Repeat each row for the as-of days that may see it: on or before the day, within the look-back."""
-    lowest, highest = min(asofs), max(asofs)
-    seen = rows.where(F.col("event_date") <= F.lit(highest).cast("date"))
+    """Repeat each row for the as-of days that may see it: on or before the day, within the look-back.
+
+    The look-back window is (as-of - days, as-of]. Its outer bounds are plain filters, so they reach the scan.
+    """
+    days = ", ".join(f"DATE'{a}'" for a in asofs)
+    inside = "event_date <= a" if look_back is None else f"event_date <= a AND event_date > date_sub(a, {look_back})"
+    seen = rows.where(f"event_date <= DATE'{max(asofs)}'")
     if look_back is not None:
-        seen = seen.where(F.col("event_date") > F.date_sub(F.lit(lowest).cast("date"), look_back))
-    day = F.col("event_date")
-    visible = F.filter(dates(asofs), lambda a: (day <= a) if look_back is None else ((day <= a) & (day > F.date_sub(a, look_back))))
-    return seen.withColumn(ASOF, F.explode(visible))
+        seen = seen.where(f"event_date > date_sub(DATE'{min(asofs)}', {look_back})")
+    return seen.withColumn(ASOF, F.expr(f"explode(filter(array({days}), a -> {inside}))"))
 
 
 def sale_days(events: DataFrame) -> DataFrame:
     """(customer, day, country) sale cells with revenue and the latest time, reduced before the shuffle."""
-    return events.where(~F.col("is_return")).groupBy(CUSTOMER, "event_date", "country").agg(
-        F.sum(units(F.col("line_revenue"))).alias("rev_units"), F.max("event_ts").alias("last_ts"))
+    return events.where("NOT is_return").groupBy(CUSTOMER, "event_date", "country").agg(
+        F.expr(f"sum({units_sql('line_revenue')}) AS rev_units"), F.max("event_ts").alias("last_ts"))
 
 
 def purchase_gaps(cells: DataFrame) -> DataFrame:
@@ -74,58 +67,63 @@ def purchase_gaps(cells: DataFrame) -> DataFrame:
 
     The window spans one customer's calendar, a few thousand cells at most however many lines they buy.
     """
-    calendar = W.partitionBy(CUSTOMER).orderBy("event_date", "last_ts", "country")
-    gap = _days_between(F.col("event_date"), F.lag("event_date").over(calendar))
-    return cells.withColumn("gap", F.when(gap > 0, gap)).withColumn("next_day", F.lead("event_date").over(calendar))
+    calendar = f"OVER (PARTITION BY {CUSTOMER} ORDER BY event_date, last_ts, country)"
+    return cells.selectExpr(
+        "*", f"datediff(event_date, lag(event_date) {calendar}) AS days_since", f"lead(event_date) {calendar} AS next_day",
+    ).withColumn("gap", F.expr("CASE WHEN days_since > 0 THEN cast(days_since AS bigint) END"))
+
+
+def _sums(table: DataFrame, keys: list[str], expressions: dict[str, str]) -> DataFrame:
+    return table.groupBy(*keys).agg(*[F.expr(f"{e} AS {name}") for name, e in expressions.items()])
 
 
 def _day_parts(events: DataFrame, asofs: list[str], levels: Column) -> DataFrame:
-    visible = events.where(F.col("event_date") <= F.lit(max(asofs)).cast("date"))
+    visible = events.where(f"event_date <= DATE'{max(asofs)}'")
     gaps = purchase_gaps(sale_days(visible)).withColumn("levels", levels)
     # Position in the level list, 0 when pooled: numbers aggregate in the hash map, strings would not.
-    gaps = gaps.withColumn("rank", F.coalesce(F.array_position("levels", F.col("country")), F.lit(0))).drop("levels")
-    cells = _fan_out(gaps, asofs, None)
-    latest = F.col("next_day").isNull() | (F.col("next_day") > F.col(ASOF))
-    gap = F.col("gap").cast("long")
-    return cells.groupBy(ASOF, CUSTOMER).agg(
-        F.min("event_date").alias("first_day"), F.max("event_date").alias("last_day"),
-        F.count("gap").alias("n_gaps"), F.sum(gap).alias("gap_sum"), F.sum(gap * gap).alias("gap_squares"),
-        F.sum("rev_units").alias("lifetime_units"),
-        F.max(F.when(latest, F.col("rank"))).alias("country_rank"),
-    )
+    gaps = gaps.withColumn("rank", F.expr("coalesce(array_position(levels, country), 0)")).drop("levels")
+    return _sums(_fan_out(gaps, asofs, None), [ASOF, CUSTOMER], {
+        "first_day": "min(event_date)",
+        "last_day": "max(event_date)",
+        "n_gaps": "count(gap)",
+        "gap_sum": "sum(gap)",
+        "gap_squares": "sum(gap * gap)",
+        "lifetime_units": "sum(rev_units)",
+        "country_rank": f"max(CASE WHEN next_day IS NULL OR next_day > {ASOF} THEN rank END)",
+    })
 
 
 def _invoice_parts(events: DataFrame, asofs: list[str]) -> DataFrame:
-    day, asof, revenue = F.col("event_date"), F.col(ASOF), units(F.col("line_revenue"))
-    in_30, in_90 = _within(day, asof, SHORT), _within(day, asof, MEDIUM)
-    cells = _fan_out(events, asofs, LONG).groupBy(ASOF, CUSTOMER, "is_return", "invoice_no").agg(
-        F.max("event_date").alias("last_day"),
-        F.sum(F.when(in_30, revenue)).alias("u30"), F.sum(F.when(in_90, revenue)).alias("u90"), F.sum(revenue).alias("u180"),
-        F.sum(F.when(in_90, units(F.col("quantity")))).alias("q90"),
-        F.sum(F.when(in_90, units(F.col("unit_price")))).alias("p90"),
-        F.count(F.when(in_90, F.col("unit_price"))).alias("n90"),
-    )
-    sale, back = ~F.col("is_return"), F.col("is_return")
-    recent = F.col("last_day")
-    known = F.col("invoice_no").isNotNull()
-    return cells.groupBy(ASOF, CUSTOMER).agg(
-        F.sum(F.when(sale & known & _within(recent, asof, SHORT), 1)).alias("orders_30"),
-        F.sum(F.when(sale & known & _within(recent, asof, MEDIUM), 1)).alias("orders_90"),
-        F.sum(F.when(sale & known, 1)).alias("orders_180"),
-        F.sum(F.when(sale, F.col("u30"))).alias("units_30"),
-        F.sum(F.when(sale, F.col("u90"))).alias("units_90"),
-        F.sum(F.when(sale, F.col("u180"))).alias("units_180"),
-        F.sum(F.when(sale, F.col("q90"))).alias("items_90"),
-        F.sum(F.when(sale, F.col("p90"))).alias("price_units_90"),
-        F.sum(F.when(sale, F.col("n90"))).alias("lines_90"),
-        F.sum(F.when(back & known, 1)).alias("returns_180"),
-        F.sum(F.when(back, F.col("u180"))).alias("return_units_180"),
-        F.max(F.when(back, 1)).alias("has_return_180"),
-    )
+    within = lambda day, days: f"{day} > date_sub({ASOF}, {days})"
+    revenue = units_sql("line_revenue")
+    cells = _sums(_fan_out(events, asofs, LONG), [ASOF, CUSTOMER, "is_return", "invoice_no"], {
+        "latest": "max(event_date)",
+        "u30": f"sum(CASE WHEN {within('event_date', SHORT)} THEN {revenue} END)",
+        "u90": f"sum(CASE WHEN {within('event_date', MEDIUM)} THEN {revenue} END)",
+        "u180": f"sum({revenue})",
+        "q90": f"sum(CASE WHEN {within('event_date', MEDIUM)} THEN {units_sql('quantity')} END)",
+        "p90": f"sum(CASE WHEN {within('event_date', MEDIUM)} THEN {units_sql('unit_price')} END)",
+        "n90": f"count(CASE WHEN {within('event_date', MEDIUM)} THEN unit_price END)",
+    })
+    sale, known = "NOT is_return", "invoice_no IS NOT NULL"
+    return _sums(cells, [ASOF, CUSTOMER], {
+        "orders_30": f"sum(CASE WHEN {sale} AND {known} AND {within('latest', SHORT)} THEN 1 END)",
+        "orders_90": f"sum(CASE WHEN {sale} AND {known} AND {within('latest', MEDIUM)} THEN 1 END)",
+        "orders_180": f"sum(CASE WHEN {sale} AND {known} THEN 1 END)",
+        "units_30": f"sum(CASE WHEN {sale} THEN u30 END)",
+        "units_90": f"sum(CASE WHEN {sale} THEN u90 END)",
+        "units_180": f"sum(CASE WHEN {sale} THEN u180 END)",
+        "items_90": f"sum(CASE WHEN {sale} THEN q90 END)",
+        "price_units_90": f"sum(CASE WHEN {sale} THEN p90 END)",
+        "lines_90": f"sum(CASE WHEN {sale} THEN n90 END)",
+        "returns_180": f"sum(CASE WHEN is_return AND {known} THEN 1 END)",
+        "return_units_180": "sum(CASE WHEN is_return THEN u180 END)",
+        "has_return_180": "max(CASE WHEN is_return THEN 1 END)",
+    })
 
 
 def _product_parts(events: DataFrame, asofs: list[str]) -> DataFrame:
-    sales = _fan_out(events.where(~F.col("is_return") & F.col("stock_code").isNotNull()), asofs, MEDIUM)
+    sales = _fan_out(events.where("NOT is_return AND stock_code IS NOT NULL"), asofs, MEDIUM)
     return sales.select(ASOF, CUSTOMER, "stock_code").distinct().groupBy(ASOF, CUSTOMER).agg(F.count("*").alias("products_90"))
 
 
@@ -145,49 +143,58 @@ def feature_parts(events: DataFrame, asofs: list[str], levels: DataFrame | list[
     return totals.where(F.col("last_day").isNotNull()).withColumns({p: F.lit(None).cast("long") for p in absent})
 
 
-def _finish(parts: DataFrame, levels: Column, ranges: dict) -> DataFrame:
+# Exact parts as doubles. Revenue is NULL, not zero, in a window without sales: the return ratio is undefined there.
+_TERMS = {
+    "recency": f"cast(datediff({ASOF}, last_day) AS double)",
+    "tenure": f"cast(datediff({ASOF}, first_day) AS double)",
+    "mean_gap": "CASE WHEN n_gaps > 0 THEN cast(gap_sum AS double) / n_gaps END",
+    "var_gap": "CASE WHEN n_gaps > 1 THEN greatest((gap_squares - cast(gap_sum AS double) * gap_sum / n_gaps) / (n_gaps - 1), 0D) END",
+    **{f"o{w}": f"cast(orders_{w} AS double)" for w in (SHORT, MEDIUM, LONG)},
+    **{f"r{w}": f"CASE WHEN orders_{w} IS NOT NULL THEN {money_sql(f'coalesce(units_{w}, 0)')} END" for w in (SHORT, MEDIUM, LONG)},
+    "lifetime": money_sql("lifetime_units"),
+    "products": "cast(products_90 AS double)",
+    "items": money_sql("items_90"),
+    "price": f"CASE WHEN lines_90 > 0 THEN {money_sql('price_units_90')} / lines_90 END",
+    "n_back": "cast(returns_180 AS double)",
+    "back": f"CASE WHEN has_return_180 = 1 THEN abs({money_sql('coalesce(return_units_180, 0)')}) END",
+}
+
+_FORMULAS = {
+    "recency_days": "recency",
+    "tenure_days": "tenure",
+    "active_days_ratio": "(tenure - recency) / (tenure + 1D)",
+    "avg_interpurchase_gap_days": f"coalesce(mean_gap, {GAP_SENTINEL}D)",
+    "interpurchase_gap_cv": f"sqrt(var_gap) / (mean_gap + {EPS}D)",
+    "recency_over_avg_gap": f"recency / (coalesce(mean_gap, {GAP_SENTINEL}D) + {EPS}D)",
+    "orders_30d": "o30",
+    "orders_90d": "o90",
+    "orders_180d": "o180",
+    "order_freq_trend": f"o30 / (o90 / 3D + {EPS}D)",
+    "revenue_30d": "r30",
+    "revenue_90d": "r90",
+    "revenue_180d": "r180",
+    "lifetime_revenue": "lifetime",
+    "aov_90d": f"r90 / (o90 + {EPS}D)",
+    "revenue_trend": f"r30 / (r90 / 3D + {EPS}D)",
+    "distinct_products_90d": "products",
+    "avg_items_per_order_90d": f"items / (o90 + {EPS}D)",
+    "avg_unit_price_90d": "price",
+    "product_breadth_ratio": f"products / (items + {EPS}D)",
+    "n_returns_180d": "n_back",
+    "return_value_ratio_180d": "back / (r180 + 1D)",
+}
+
+
+def _finish(parts: DataFrame, levels: Column, ranges: dict, wanted: list[str]) -> DataFrame:
     """Feature formulas on the exact parts; NULLs survive until the final scrub and clip."""
-    asof = F.col(ASOF)
-    recency = _days_between(asof, F.col("last_day")).cast("double")
-    tenure = _days_between(asof, F.col("first_day")).cast("double")
-    n, total, squares = (F.col(c).cast("double") for c in ("n_gaps", "gap_sum", "gap_squares"))
-    mean_gap = F.when(F.col("n_gaps") > 0, total / n)
-    spread = F.when(F.col("n_gaps") > 1, F.sqrt(F.greatest((squares - total * total / n) / F.greatest(n - 1.0, F.lit(1.0)), F.lit(0.0))))
-    orders = {w: F.col(f"orders_{w}").cast("double") for w in (SHORT, MEDIUM, LONG)}
-    # NULL, not zero, in a window without sales: the return ratio is undefined there.
-    revenue = {w: F.when(orders[w].isNotNull(), money(F.coalesce(f"units_{w}", F.lit(0)))) for w in (SHORT, MEDIUM, LONG)}
-    items = F.col("items_90").cast("double") / F.lit(10000.0)
-    products = F.col("products_90").cast("double")
-    mean_price = F.when(F.col("lines_90") > 0, money(F.col("price_units_90")) / F.greatest(F.col("lines_90"), F.lit(1)).cast("double"))
-    returned = F.when(F.col("has_return_180") == 1, F.abs(money(F.coalesce("return_units_180", F.lit(0)))))
-    formulas = {
-        "recency_days": recency,
-        "tenure_days": tenure,
-        "active_days_ratio": (tenure - recency) / (tenure + 1.0),
-        "avg_interpurchase_gap_days": F.coalesce(mean_gap, F.lit(GAP_SENTINEL)),
-        "interpurchase_gap_cv": per(spread, mean_gap),
-        "recency_over_avg_gap": per(recency, F.coalesce(mean_gap, F.lit(GAP_SENTINEL))),
-        "orders_30d": orders[SHORT],
-        "orders_90d": orders[MEDIUM],
-        "orders_180d": orders[LONG],
-        "order_freq_trend": per(orders[SHORT], orders[MEDIUM] / 3.0),
-        "revenue_30d": revenue[SHORT],
-        "revenue_90d": revenue[MEDIUM],
-        "revenue_180d": revenue[LONG],
-        "lifetime_revenue": money(F.col("lifetime_units")),
-        "aov_90d": per(revenue[MEDIUM], orders[MEDIUM]),
-        "revenue_trend": per(revenue[SHORT], revenue[MEDIUM] / 3.0),
-        "distinct_products_90d": products,
-        "avg_items_per_order_90d": per(items, orders[MEDIUM]),
-        "avg_unit_price_90d": mean_price,
-        "product_breadth_ratio": per(products, items),
-        "n_returns_180d": F.col("returns_180").cast("double"),
-        "return_value_ratio_180d": returned / (revenue[LONG] + 1.0),
-    }
-    numbers = [clip_to(ranges, f, finite(formulas[f])).alias(f) for f in NUMERIC]
-    level = F.when(F.col("country_rank") > 0, F.element_at(F.col("_levels"), F.greatest(F.col("country_rank"), F.lit(1)).cast("int")))
-    group = F.coalesce(level, F.lit("Other")).alias("country_grp")
-    return parts.withColumn("_levels", levels).select(CUSTOMER, ASOF, *numbers, group, F.col("last_day").isNotNull().alias("has_history"))
+    level = "CASE WHEN country_rank > 0 THEN element_at(_levels, cast(country_rank AS int)) END"
+    terms = parts.withColumn("_levels", levels).selectExpr(
+        CUSTOMER, ASOF, *[f"{e} AS {name}" for name, e in _TERMS.items()],
+        f"coalesce({level}, 'Other') AS country_grp", "last_day IS NOT NULL AS has_history")
+    values = terms.selectExpr(
+        CUSTOMER, ASOF, *[f"{_FORMULAS[f]} AS {f}" for f in wanted if f in _FORMULAS], "country_grp", "has_history")
+    return values.selectExpr(
+        CUSTOMER, ASOF, *[clip_sql(scrub_sql(f), ranges.get(f)) + f" AS {f}" if f in _FORMULAS else f for f in wanted], "has_history")
 
 
 def asof_features(
@@ -216,15 +223,15 @@ def asof_features(
     if customers is not None:
         wanted = customers.select(CUSTOMER).distinct().withColumn(ASOF, F.explode(dates(asofs)))
         parts = wanted.join(parts, [CUSTOMER, ASOF], "left")
-    return _finish(parts, _as_array(levels), ranges).select(CUSTOMER, ASOF, *wanted, "has_history")
+    return _finish(parts, _as_array(levels), ranges, list(wanted))
 
 
 def extra_window(events: DataFrame, asofs: list[str], days: int) -> DataFrame:
     """Orders and revenue over a window outside the contract, as additive columns keyed like the features."""
-    sales = _fan_out(events.where(~F.col("is_return")), asofs, days)
-    invoices = sales.groupBy(ASOF, CUSTOMER, "invoice_no").agg(F.sum(units(F.col("line_revenue"))).alias("u"))
-    return invoices.groupBy(ASOF, CUSTOMER).agg(
-        F.count("invoice_no").cast("double").alias(f"orders_{days}d"), money(F.sum("u")).alias(f"revenue_{days}d"))
+    sales = _fan_out(events.where("NOT is_return"), asofs, days)
+    invoices = _sums(sales, [ASOF, CUSTOMER, "invoice_no"], {"u": f"sum({units_sql('line_revenue')})"})
+    return _sums(invoices, [ASOF, CUSTOMER], {
+        f"orders_{days}d": "cast(count(invoice_no) AS double)", f"revenue_{days}d": money_sql("sum(u)")})
 
 
 def align_features(frame: DataFrame, strict: bool = True) -> DataFrame:

@@ -16,6 +16,8 @@ def query(function: Query) -> Query:
 
 
 def load() -> dict[str, Query]:
-    from ebbtide.plans import queries_events, queries_features  # noqa: F401
+    from ebbtide.plans import (  # noqa: F401
+        queries_evaluation, queries_events, queries_features, queries_scoring,
+    )
 
     return dict(QUERIES)

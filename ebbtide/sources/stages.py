@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ebbtide.operators import snapshots
+from ebbtide.contracts import ASOF, CUSTOMER, FEATURES
+from ebbtide.operators import scoring, snapshots
+from ebbtide.operators.features import asof_features, top_countries
 from ebbtide.settings import STAR, Settings
 from ebbtide.sources import star
 from ebbtide.sources.warehouse import Warehouse, by_day
@@ -20,3 +22,19 @@ class Stages:
 
     def training(self) -> DataFrame:
         return self._tables.table("training", lambda: snapshots.training_table(self.events(), self.settings))
+
+    def levels(self) -> DataFrame:
+        """Country levels frozen at the first usable snapshot, for training and serving alike."""
+        first = min(snapshots.usable(self.settings.snapshots, self.settings.system_asof, self.settings.label.horizon_days))
+        return top_countries(self.events(), first, self.settings.top_countries)
+
+    def feature_store(self) -> DataFrame:
+        return self._tables.table("feature_store", self.build_feature_store)
+
+    def build_feature_store(self) -> DataFrame:
+        """Features of every known customer as of today, stamped with the day they were computed."""
+        rows = asof_features(self.events(), [self.settings.system_asof], self.levels(), self.settings.ranges)
+        return rows.select(CUSTOMER, ASOF, *FEATURES, F.col(ASOF).alias("feature_timestamp"))
+
+    def scored(self) -> DataFrame:
+        return self._tables.table("scored", lambda: scoring.scored_long(self.training()))

@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ebbtide.session import shared_folder
 
 
+_SCHEMAS: dict = {}
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
@@ -28,8 +31,11 @@ class Warehouse:
         """The stage table ``name``. A table without its success marker is rebuilt from scratch."""
         path = f"{self.root}/{name}"
         if not self._done(path):
-            build().write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+            frame = build()
+            frame.write.mode("overwrite").parquet(path)
+            _SCHEMAS[path] = frame.schema
+        # With the schema at hand the files need not be sampled for it.
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path) if path in _SCHEMAS else self.spark.read.parquet(path)
 
 
 def by_day(events: DataFrame) -> DataFrame:
