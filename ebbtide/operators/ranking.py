@@ -118,7 +118,7 @@ def slice_metrics(scored: DataFrame, group: list[str] = GROUP) -> DataFrame:
 def metric_panel(scored: DataFrame, threshold: float = 0.5, group: list[str] = GROUP) -> DataFrame:
     """All metrics side by side, one row per group."""
     panel = threshold_metrics(scored, threshold, group).drop("tp", "fp", "fn", "tn", "threshold")
-    return panel.join(rank_metrics(scored, group), group).join(slice_metrics(scored, group), group).select(
+    return _match(_match(panel, rank_metrics(scored, group), group), slice_metrics(scored, group), group).select(
         *group, "n", "base_rate", "roc_auc", "pr_auc", "accuracy", "precision", "recall", "f1", "brier", "log_loss",
         *[f"{m}_at_top_{s}" for s in SLICES for m in ("precision", "recall", "lift")])
 
@@ -144,7 +144,7 @@ def snapshot_stability(scored: DataFrame) -> DataFrame:
     group = ["model", ASOF, "fold"]
     base = scored.groupBy(*group).agg(F.count("*").alias("n"), F.avg("y").alias("churn_rate"))
     top = slice_metrics(scored, group).select(*group, "precision_at_top_quintile")
-    return base.join(rank_metrics(scored, group).select(*group, "roc_auc"), group).join(top, group)
+    return _match(_match(base, rank_metrics(scored, group).select(*group, "roc_auc"), group), top, group)
 
 
 def generalisation_gap(stability: DataFrame) -> DataFrame:

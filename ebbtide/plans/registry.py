@@ -17,7 +17,7 @@ def query(function: Query) -> Query:
 
 def load() -> dict[str, Query]:
     from ebbtide.plans import (  # noqa: F401
-        queries_evaluation, queries_events, queries_features, queries_scoring,
+        queries_evaluation, queries_events, queries_features, queries_monitoring, queries_scoring,
     )
 
     return dict(QUERIES)

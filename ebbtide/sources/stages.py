@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbtide.contracts import ASOF, CUSTOMER, FEATURES
-from ebbtide.operators import scoring, snapshots
+from ebbtide.operators import monitoring, scoring, snapshots
 from ebbtide.operators.features import asof_features, top_countries
 from ebbtide.settings import STAR, Settings
 from ebbtide.sources import star
@@ -38,3 +38,11 @@ class Stages:
 
     def scored(self) -> DataFrame:
         return self._tables.table("scored", lambda: scoring.scored_long(self.training()))
+
+    def profile(self) -> monitoring.Profile:
+        """The training profile, frozen when first needed and only read afterwards."""
+        train = self.training().where("fold = 'train'")
+        numeric = self._tables.table("profile_numeric", lambda: monitoring.numeric_profile(train, self.settings.monitor))
+        bins = self._tables.table("profile_bins", lambda: monitoring.expected_bins(train, numeric))
+        levels = self._tables.table("profile_levels", lambda: monitoring.categorical_profile(train))
+        return monitoring.Profile(numeric, bins, levels)
