@@ -48,10 +48,10 @@ def keep_one(lines: DataFrame, key: list[str] = NATURAL_KEY, prefer: list[str] =
     return kept.select(*key, "_kept.*").select(*lines.columns)
 
 
-def clean_events(lines: DataFrame, rules: CleaningRules = CleaningRules(), prefer: list[str] = []) -> DataFrame:
-    """Canonical events from typed source lines; ``prefer`` columns break ties between copies."""
+def clean_events(lines: DataFrame, rules: CleaningRules = CleaningRules(), by: list[str] = []) -> DataFrame:
+    """Canonical events from typed source lines. ``by`` columns, such as the source file, are cleaned apart and kept."""
     valid = lines.where(first_failed_rule(rules).isNull())
-    return keep_one(valid, prefer=prefer).select(
+    return keep_one(valid, [*NATURAL_KEY, *by]).select(
         "invoice_no",
         "stock_code",
         F.coalesce("description", F.lit("UNKNOWN")).alias("description"),
@@ -63,19 +63,20 @@ def clean_events(lines: DataFrame, rules: CleaningRules = CleaningRules(), prefe
         F.regexp_replace("customer_id", r"\.0$", "").alias("customer_id"),
         F.coalesce("country", F.lit("Unknown")).alias("country"),
         return_flag().alias("is_return"),
-    ).select(*EVENT_COLUMNS)
+        *by,
+    ).select(*EVENT_COLUMNS, *by)
 
 
-def rule_losses(lines: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    """One row: rows read, and rows removed by each rule, from a single pass over the lines."""
-    tagged = lines.select(first_failed_rule(rules).alias("failed"), *NATURAL_KEY)
+def rule_losses(lines: DataFrame, rules: CleaningRules = CleaningRules(), by: list[str] = []) -> DataFrame:
+    """One row (per ``by``): rows read, and rows removed by each rule, from a single pass over the lines."""
+    tagged = lines.select(first_failed_rule(rules).alias("failed"), *by, *NATURAL_KEY)
     # Rows that fail collapse to one group per rule; rows that pass keep their natural key.
     keys = [F.when(F.col("failed").isNull(), F.col(k)).alias(k) for k in NATURAL_KEY]
-    groups = tagged.groupBy("failed", *keys).agg(F.count("*").alias("n"))
+    groups = tagged.groupBy(*by, "failed", *keys).agg(F.count("*").alias("n"))
     passed = F.col("failed").isNull()
     losses = [F.coalesce(F.sum(F.when(F.col("failed") == r, F.col("n"))), F.lit(0)).alias(r) for r in RULES[:3]]
     duplicates = F.coalesce(F.sum(F.when(passed, F.col("n") - 1)), F.lit(0)).alias(RULES[3])
-    return groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_read"), *losses, duplicates)
+    return groups.groupBy(*by).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_read"), *losses, duplicates)
 
 
 def cleaning_audit(lines: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:

@@ -279,11 +279,12 @@ def quality_rollup(findings: DataFrame) -> DataFrame:
         F.when(F.count_if(F.col("severity") == "alert") > 0, "alert").when(F.count("*") > 0, "warn").otherwise("ok").alias("severity"))
 
 
-def suite(profile: Profile, train: DataFrame, batch: DataFrame, name: str, reference_scores: DataFrame | None = None, batch_scores: DataFrame | None = None,
+def suite(profile: Profile, batch: DataFrame, name: str, reference_scores: DataFrame | None = None, batch_scores: DataFrame | None = None,
           ranges: dict = RANGES, thresholds: MonitorThresholds = MonitorThresholds()) -> DataFrame:
     """(batch, check, severity, passed), one row per check and an overall row with the action to take.
 
     A schema break ends the suite before any data is read; drift is skipped on batches that are too small.
+    The status of the drift check follows from PSI alone; ``feature_drift`` has the details per feature.
     """
     schema = schema_findings(batch)
     broken = bool(schema["missing"] or schema["wrong_type"])
@@ -294,7 +295,7 @@ def suite(profile: Profile, train: DataFrame, batch: DataFrame, name: str, refer
     else:
         quality = quality_rollup(quality_findings(batch, ranges, thresholds)).select(F.lit("data_quality").alias("check"), "severity")
         size = batch.agg(F.count("*")).scalar()
-        drift = drift_rollup(feature_drift(profile, train, batch, thresholds), thresholds).select(
+        drift = drift_rollup(psi_table(profile, batch, [], thresholds), thresholds).select(
             F.lit("feature_drift").alias("check"), F.when(size < thresholds.min_rows, F.lit("skipped")).otherwise(F.col("severity")).alias("severity"))
         checks = one.unionByName(quality).unionByName(drift)
         if reference_scores is not None and batch_scores is not None:

@@ -165,9 +165,9 @@ def monitoring_suite(spark: SparkSession, folder: str) -> DataFrame:
     late = M.shifted_batch(batch, STAR.ranges)
     late_scores = late.select(scoring.recency_score(train).alias("p"))
     parts = [
-        M.suite(profile, train, batch, "real", *scores, STAR.ranges, STAR.monitor),
-        M.suite(profile, train, late, "injected", scores[0], late_scores, STAR.ranges, STAR.monitor),
-        M.suite(profile, train, batch.drop("orders_90d"), "lost_column", ranges=STAR.ranges, thresholds=STAR.monitor),
+        M.suite(profile, batch, "real", *scores, STAR.ranges, STAR.monitor),
+        M.suite(profile, late, "injected", scores[0], late_scores, STAR.ranges, STAR.monitor),
+        M.suite(profile, batch.drop("orders_90d"), "lost_column", ranges=STAR.ranges, thresholds=STAR.monitor),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("batch", "check", "severity", "passed")
 

@@ -19,7 +19,7 @@ def check_columns(columns: list[str]) -> list[str]:
     return sorted(set(columns) - set(SOURCE_COLUMNS))
 
 
-def typed(raw: DataFrame, strict: bool = True) -> DataFrame:
+def typed(raw: DataFrame, strict: bool = True, keep: list[str] = []) -> DataFrame:
     """Select by name, rename to canonical names and parse. ``strict`` aborts on a bad timestamp."""
     parse = F.to_timestamp_ntz if strict else lambda c, p: F.try_to_timestamp(c, p).cast("timestamp_ntz")
     pattern = F.lit(SOURCE_TS_PATTERN)
@@ -30,7 +30,7 @@ def typed(raw: DataFrame, strict: bool = True) -> DataFrame:
     }
     return raw.select(*[
         as_type.get(new, lambda c: c.cast("string"))(F.col(old)).alias(new) for old, new in SOURCE_COLUMNS.items()
-    ])
+    ], *keep)
 
 
 def header(spark: SparkSession, path: str) -> list[str]:
