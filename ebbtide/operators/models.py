@@ -74,7 +74,7 @@ def balanced(train: DataFrame) -> DataFrame:
     return weighted.withColumn("weight", F.col("_s.n") / (2.0 * of_class)).drop("_s")
 
 
-def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 2000) -> PipelineModel:
+def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 2000, tol: float = 1e-4) -> PipelineModel:
     """L2 logistic regression on scaled features with balanced classes.
 
     Spark averages the losses, so the penalty 1/C of the summed loss becomes 1/(C * n).
@@ -82,7 +82,7 @@ def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 2000) -> Pipe
     n = train.count()
     model = LogisticRegression(
         featuresCol="features", labelCol=LABEL, weightCol="weight", regParam=1.0 / (c * n), elasticNetParam=0.0,
-        standardization=False, maxIter=max_iter)
+        standardization=False, maxIter=max_iter, tol=tol)
     return Pipeline(stages=[*preprocessing(train, scale=True), model]).fit(balanced(train))
 
 

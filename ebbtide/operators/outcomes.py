@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ebbtide.contracts import CUSTOMER
 
@@ -10,15 +10,16 @@ from ebbtide.contracts import CUSTOMER
 def next_purchase_within(rows: DataFrame, events: DataFrame, since: str, days: int) -> DataFrame:
     """Add ``bought``: a sale in (since, since + days].
 
-    Sales are first reduced to customer-days, then matched on the customer, so a customer with very many
-    lines is no larger than their calendar.
+    Moments and sale days of a customer are put in one time line and each moment looks up the next sale,
+    so no pairs are formed and a customer is never larger than their calendar.
     """
-    moments = rows.select(CUSTOMER, since).distinct()
-    days_of = events.where("NOT is_return").select(CUSTOMER, "event_date").distinct()
-    hits = moments.join(days_of, CUSTOMER).where(
-        (F.col("event_date") > F.col(since)) & (F.col("event_date") <= F.date_add(F.col(since), days))).select(CUSTOMER, since).distinct()
-    joined = rows.join(hits.withColumn("_hit", F.lit(True)), [CUSTOMER, since], "left")
-    return joined.withColumn("bought", F.coalesce("_hit", F.lit(False))).drop("_hit")
+    moments = rows.select(CUSTOMER, F.col(since).alias("day"), F.lit(1).alias("kind")).distinct()
+    sales = events.where("NOT is_return").select(CUSTOMER, F.col("event_date").alias("day"), F.lit(0).alias("kind")).distinct()
+    ahead = W.partitionBy(CUSTOMER).orderBy("day", "kind").rowsBetween(1, W.unboundedFollowing)
+    following = F.first(F.when(F.col("kind") == 0, F.col("day")), ignorenulls=True).over(ahead)
+    line = moments.unionByName(sales).withColumn("_next", following).where("kind = 1")
+    joined = rows.join(line.select(CUSTOMER, F.col("day").alias(since), "_next"), [CUSTOMER, since], "left")
+    return joined.withColumn("bought", F.coalesce(F.col("_next") <= F.date_add(F.col(since), days), F.lit(False))).drop("_next")
 
 
 def realised_outcomes(log: DataFrame, events: DataFrame, now: str, horizon_days: int = 90) -> DataFrame:

@@ -96,7 +96,7 @@ def scan_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """The raw extract written as text, read back under the contract and cleaned: rows and revenue per country."""
     path = _scratch(spark, "extract")
     retail.write_extract(star.raw_extract(spark, folder), path)
-    cleaned = cleaning.clean_events(retail.typed(retail.scan_file(spark, path)))
+    cleaned = cleaning.clean_events(retail.typed(retail.scan_files(spark, retail.files_below(spark, path))))
     return cleaned.groupBy("country").agg(F.count("*").alias("n_rows"), F.round(money(F.sum(units(F.col("line_revenue")))), 2).alias("net_revenue"))
 
 

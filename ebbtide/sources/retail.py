@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ebbtide.contracts import EVENT_COLUMNS, EVENT_SCHEMA, RUN_LOG_SCHEMA, SOURCE_COLUMNS, SOURCE_TS_PATTERN
@@ -34,25 +36,46 @@ def typed(raw: DataFrame, strict: bool = True, keep: list[str] = []) -> DataFram
 
 
 def header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one text file, read from its first line only (a BOM is stripped)."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    """Column names of one text file, read from its first line only; a BOM is stripped."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        line = reader.readLine()
+    finally:
+        stream.close()
+    return next(csv.reader([(line or "").lstrip("\ufeff")]), [])
+
+
+def scan_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Source columns of several text files, with ``source_file`` and ``file_time``.
+
+    Columns of a text scan are matched by position and a directory takes the header of its first file,
+    so every header is checked on its own; files with the same header share one scan.
+    """
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        columns = header(spark, path)
+        check_columns(columns)
+        layouts.setdefault(tuple(columns), []).append(path)
+    out = None
+    for columns, members in layouts.items():
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        frame = spark.read.option("header", True).schema(schema).csv(members).select(
+            *SOURCE_COLUMNS, F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_modification_time").alias("file_time"))
+        out = frame if out is None else out.unionByName(frame)
+    return out
 
 
 def scan_file(spark: SparkSession, path: str) -> DataFrame:
-    """One file, all text; columns are matched by name because the header is checked per file."""
-    columns = header(spark, path)
-    check_columns(columns)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.option("header", True).schema(schema).csv(path).select(*SOURCE_COLUMNS)
+    return scan_files(spark, [path]).select(*SOURCE_COLUMNS)
 
 
-def scan_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Several files whose headers may differ in order; each is checked on its own, then unioned."""
-    frames = [scan_file(spark, p) for p in paths]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+def files_below(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[str]:
+    """Paths of the text files in a folder, in name order."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    return sorted(str(f.getPath().toString()) for f in found if f.getPath().getName().endswith(suffix))
 
 
 def write_extract(raw: DataFrame, path: str) -> None:

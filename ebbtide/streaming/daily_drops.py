@@ -42,12 +42,13 @@ def run_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ingest_files(spark: SparkSession, files: list[str], events_path: str, log_path: str, batch: int, rules: CleaningRules = CleaningRules(), dry_run: bool = False) -> None:
-    """Ingest one batch of files in the given order. ``files`` is bounded by the files per micro-batch."""
+    """Ingest one batch of files, older files first. ``files`` is bounded by the files per micro-batch."""
     started = time.time()
     accepted, rejected = [], []
-    for place, path in enumerate(files):
+    for path in files:
         try:
-            accepted.append(retail.scan_file(spark, path).withColumn("source_file", F.lit(path)).withColumn("place", F.lit(place)))
+            retail.check_columns(retail.header(spark, path))
+            accepted.append(path)
         except retail.ContractError as error:
             rejected.append((path, str(error)))
     stamp = datetime.now(timezone.utc)
@@ -57,11 +58,8 @@ def ingest_files(spark: SparkSession, files: list[str], events_path: str, log_pa
         refused = spark.createDataFrame(rejected, "source_file string, error string")
         records.append(_complete(refused, status="'rejected_schema'", rows_read="0L", rows_appended="0L"))
     if accepted:
-        raw = accepted[0]
-        for frame in accepted[1:]:
-            raw = raw.unionByName(frame)
-        lines = retail.typed(raw, keep=["place", "source_file"])
-        cleaned = clean_events(lines, rules, by=["place", "source_file"])
+        lines = retail.typed(retail.scan_files(spark, accepted), keep=["file_time", "source_file"])
+        cleaned = clean_events(lines, rules, by=["file_time", "source_file"])
         facts = run_record(lines, cleaned, ["source_file"])
         if dry_run:
             records.append(_complete(facts, status="'dry_run'", rows_appended="0L"))
@@ -69,7 +67,7 @@ def ingest_files(spark: SparkSession, files: list[str], events_path: str, log_pa
             span = cleaned.agg(F.min("event_date"), F.max("event_date")).first()
             table = stored_events(spark, events_path)
             before = table.where(F.col("batch") < batch)
-            appended = new_events(in_days_of(before, *span) if span[0] else before, cleaned, prefer=["place"])
+            appended = new_events(in_days_of(before, *span) if span[0] else before, cleaned, prefer=["file_time", "source_file"])
             target = f"{events_path}/batch={batch}"
             appended.select(*EVENT_COLUMNS, "source_file").write.mode("overwrite").parquet(target)
             kept = spark.read.parquet(target).groupBy("source_file").agg(F.count("*").alias("rows_appended"))
@@ -101,11 +99,11 @@ def start(spark: SparkSession, incoming: str, events_path: str, log_path: str, c
 
     def batch(listing: DataFrame, number: int) -> None:
         # At most ``files_per_batch`` names.
-        names = [r.path for r in listing.orderBy("modificationTime", "path").collect()]
+        names = [r.path for r in listing.collect()]
         if names:
             ingest_files(spark, names, events_path, log_path, number, rules)
 
     listing = (
         spark.readStream.format("binaryFile").schema(_LISTING).option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_batch).load(incoming).select("path", "modificationTime"))
+        .option("maxFilesPerTrigger", files_per_batch).load(incoming).select("path"))
     return listing.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
