@@ -221,8 +221,8 @@ def asof_features(
     if active_within is not None:
         parts = parts.where(F.col("last_day") > F.date_sub(F.col(ASOF), active_within))
     if customers is not None:
-        wanted = customers.select(CUSTOMER).distinct().withColumn(ASOF, F.explode(dates(asofs)))
-        parts = wanted.join(parts, [CUSTOMER, ASOF], "left")
+        asked = customers.select(CUSTOMER).distinct().withColumn(ASOF, F.explode(dates(asofs)))
+        parts = asked.join(parts, [CUSTOMER, ASOF], "left")
     return _finish(parts, _as_array(levels), ranges, list(wanted))
 
 
