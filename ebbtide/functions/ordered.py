@@ -15,25 +15,35 @@ def _blocks(df: DataFrame) -> int:
     return max(16, min(1024, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
+def _block(step: int) -> Column:
+    """Position of a key among the splitters: first among every step-th one, then inside that stretch."""
+    at_or_below = lambda splits: F.size(F.filter(splits, lambda s: s <= F.col("_key")))
+    stretch = F.slice("_splits", (F.col("_coarse_at") - 1) * step + 1, F.lit(step))
+    return F.when(F.col("_coarse_at") == 0, F.lit(0)).otherwise((F.col("_coarse_at") - 1) * step + at_or_below(stretch))
+
+
 def running_totals(cells: DataFrame, order: list[str], sums: dict[str, str], group: list[str] = []) -> DataFrame:
     """Add inclusive running sums along ``order`` inside each ``group``.
 
     ``cells`` must hold one row per (group, order) key; ``sums`` maps an input column with non-negative
     values to the output name. Pre-aggregating to such cells is what removes hot keys.
     """
-    key = F.struct(*group, *order)
+    key, blocks = F.struct(*group, *order), _blocks(cells)
+    step = max(4, int(blocks ** 0.5))
     weight = F.greatest(*[F.col(c) for c in sums]) if len(sums) > 1 else F.col(next(iter(sums)))
     # The weight filter keeps every cell; it makes this branch read the same columns as the others, so
     # Spark computes the cells once and reuses the exchange.
     splitters = (
         cells.where(weight >= 0).select(key.alias("_key"))
-        .orderBy(F.xxhash64("_key"), "_key").limit(_blocks(cells))
-        .agg(F.sort_array(F.collect_list("_key")).alias("_splits"))
+        .orderBy(F.xxhash64("_key"), "_key").limit(blocks)
+        .agg(F.sort_array(F.collect_list("_key")).alias("fine"))
+        .select(F.struct("fine", F.expr(f"CASE WHEN size(fine) > 0 THEN transform(sequence(0, size(fine) - 1, {step}), i -> fine[i]) ELSE fine END").alias("coarse")).alias("s"))
     )
     blocked = (
-        cells.withColumn("_splits", splitters.scalar())
-        .withColumn("_block", F.size(F.filter("_splits", lambda s: s <= key)))
-        .drop("_splits")
+        cells.withColumns({"_s": splitters.scalar(), "_key": key})
+        .withColumns({"_splits": F.col("_s.fine"), "_coarse_at": F.size(F.filter("_s.coarse", lambda s: s <= F.col("_key")))})
+        .withColumn("_block", _block(step))
+        .drop("_s", "_key", "_splits", "_coarse_at")
     )
     # At most one row per block and group: a bounded table.
     totals = blocked.groupBy(*group, "_block").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -26,8 +26,8 @@ def nightly_signals(batches: DataFrame, auc: DataFrame, promotion_auc: DataFrame
     waiting = [date.fromisoformat(d) for d in settings.snapshots if d not in settings.split.train]
     mature = F.size(F.filter(F.array(*[F.lit(d) for d in waiting]), lambda d: F.date_add(d, horizon) <= F.col("night")))
     per_day = events.where(F.col("event_date") > F.lit(trained).cast("date")).groupBy("event_date").agg(F.count("*").alias("n"))
-    # Nights are few; the daily counts are compared against a small broadcast table.
-    since = per_day.join(F.broadcast(nights), F.col("event_date") <= F.col("night")).groupBy("night").agg(F.sum("n").alias("rows_since_training"))
+    later = F.filter(F.array(*[F.lit(d + timedelta(days=horizon)) for d in waiting]), lambda night: F.col("event_date") <= night)
+    since = per_day.withColumn("night", F.explode(later)).groupBy("night").agg(F.sum("n").alias("rows_since_training"))
     alarms = quality.groupBy(ASOF).agg(F.count_if(F.col("severity") == "alert").alias("n_alarms"))
     return (
         nights.join(auc.select(ASOF, F.col("roc_auc").alias("recent_auc")), ASOF, "left")

@@ -59,7 +59,10 @@ def ingest_files(spark: SparkSession, files: list[str], events_path: str, log_pa
         records.append(_complete(refused, status="'rejected_schema'", rows_read="0L", rows_appended="0L"))
     if accepted:
         lines = retail.typed(retail.scan_files(spark, accepted), keep=["file_time", "source_file"])
-        cleaned = clean_events(lines, rules, by=["file_time", "source_file"])
+        # Written once: the record, the day span and the merge all read the cleaned rows.
+        staging = f"{events_path}-staging/batch={batch}"
+        clean_events(lines, rules, by=["file_time", "source_file"]).write.mode("overwrite").parquet(staging)
+        cleaned = spark.read.parquet(staging)
         facts = run_record(lines, cleaned, ["source_file"])
         if dry_run:
             records.append(_complete(facts, status="'dry_run'", rows_appended="0L"))

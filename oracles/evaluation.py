@@ -66,11 +66,11 @@ MONEY = """captured * 0.30::DOUBLE AS saved, captured * 0.30::DOUBLE * 45.0::DOU
 VALUE = f"""{S}, {topk('scored', 'model, fold')}, {{grid}}, {DEPTHS}, m AS (SELECT *, {MONEY} FROM at_k),
 v AS (SELECT model, fold, part AS capacity, rank AS n_contacted, CAST(captured AS BIGINT) AS true_positives, round(saved, 2) AS expected_saved, round(gross, 2) AS gross_margin,
   round(cost, 2) AS campaign_cost, round(gross - cost, 2) AS net_value, round(chance, 2) AS net_value_random, round(gross - cost - chance, 2) AS uplift_vs_random,
-  round((gross - cost) / cost, 4) AS roi, 0.592593 AS break_even_precision, captured / rank::DOUBLE >= 8.0::DOUBLE / (0.30::DOUBLE * 45.0::DOUBLE) AS profitable FROM m)"""
+  round((gross - cost) / cost, 4) AS roi, 0.592593::DOUBLE AS break_even_precision, captured / rank::DOUBLE >= 8.0::DOUBLE / (0.30::DOUBLE * 45.0::DOUBLE) AS profitable FROM m)"""
 
 G = STAR.gates
 CHECKS = f"""checks AS (
-  SELECT model, fold, 'roc_auc_floor' AS gate, round(roc_auc, 6) AS observed, '>=' AS operator, {G.min_roc_auc} AS threshold, coalesce(roc_auc >= {G.min_roc_auc}, false) AS passed FROM cand
+  SELECT model, fold, 'roc_auc_floor' AS gate, round(roc_auc, 6) AS observed, '>=' AS operator, {G.min_roc_auc}::DOUBLE AS threshold, coalesce(roc_auc >= {G.min_roc_auc}, false) AS passed FROM cand
   UNION ALL SELECT model, fold, 'pr_auc_floor', round(pr_auc, 6), '>=', {G.min_pr_auc}, coalesce(pr_auc >= {G.min_pr_auc}, false) FROM cand
   UNION ALL SELECT model, fold, 'calibration_brier_ceiling', round(brier, 6), '<=', {G.max_brier}, coalesce(brier <= {G.max_brier}, false) FROM cand
   UNION ALL SELECT model, fold, 'recall_at_top_decile_floor', round(recall_at_top_decile, 6), '>=', {G.min_recall_at_top_decile}, coalesce(recall_at_top_decile >= {G.min_recall_at_top_decile}, false) FROM cand

@@ -18,7 +18,7 @@ s AS (SELECT 1 AS step, 'drop_missing_customer_id' AS rule, n0 AS rows_before, n
 SELECT step, rule, rows_before, rows_after, rows_removed, round(100.0::DOUBLE * rows_removed / n0, 3) AS pct_of_raw_removed FROM s""",
     "merge_new_events": f"WITH {RAW} SELECT * FROM clean WHERE event_date > DATE '2001-03-31'",
     "merge_idempotent": f"""WITH {EV}, k AS (SELECT DISTINCT invoice_no, stock_code, event_ts, quantity, unit_price FROM ev WHERE event_date > DATE '2001-03-31')
-SELECT count(*) AS appended_first, 0 AS appended_again FROM k""",
+SELECT count(*) AS appended_first, 0::BIGINT AS appended_again FROM k""",
     "ingest_run_record": f"""WITH {RAW} SELECT (SELECT count(*) FROM tagged) AS rows_read, count(*) AS rows_after_cleaning, min(event_date) AS event_date_min, max(event_date) AS event_date_max,
   count(DISTINCT customer_id) AS n_customers, count(DISTINCT invoice_no) AS n_invoices, round(sum({units('line_revenue')})::DOUBLE / 10000, 2) AS gross_revenue,
   (SELECT count(*) FROM tagged WHERE failed = 1) AS drop_missing_customer_id, (SELECT count(*) FROM tagged WHERE failed = 2) AS drop_non_product_stock_codes,
@@ -31,12 +31,12 @@ SELECT * FROM t JOIN c USING (year)""",
     "stream_ingest": f"""WITH {RAW}, t AS (SELECT CAST(year(event_ts) AS INTEGER) AS year, count(*) AS rows_read FROM tagged GROUP BY 1),
 c AS (SELECT CAST(year(event_ts) AS INTEGER) AS year, count(*) AS rows_appended, count(*) AS rows_stored FROM clean GROUP BY 1) SELECT * FROM t JOIN c USING (year)""",
     "ingest_history_summary": f"""WITH {EV}, m AS (SELECT strftime(event_date, '%Y-%m') AS f, count(*) AS n, month(max(event_date)) % 2 = 0 AS twice FROM ev GROUP BY 1)
-SELECT count(*) AS files, sum(n) AS rows_read, sum(n) AS rows_appended, count(*) FILTER (twice) AS reruns, 0 AS rows_appended_by_reruns, 0.5 AS mean_duration_s,
-  min(n) AS warehouse_rows_min, max(n) AS warehouse_rows_max, 0 AS rejected FROM m""",
+SELECT count(*) AS files, sum(n)::BIGINT AS rows_read, sum(n)::BIGINT AS rows_appended, count(*) FILTER (twice) AS reruns, 0::BIGINT AS rows_appended_by_reruns, 0.5::DOUBLE AS mean_duration_s,
+  min(n) AS warehouse_rows_min, max(n) AS warehouse_rows_max, 0::BIGINT AS rejected FROM m""",
     "column_profile": f"""WITH {RAW} {' UNION ALL '.join(f"""SELECT '{c}' AS "column", count(*) FILTER ({c} IS NULL) AS n_null,
   round(100.0::DOUBLE * count(*) FILTER ({c} IS NULL) / count(*), 2) AS pct_null, count(DISTINCT {c}) AS n_unique FROM raw"""
   for c in ('invoice_no', 'stock_code', 'description', 'quantity', 'event_ts', 'unit_price', 'customer_id', 'country'))}""",
-    "defect_counts": f"""WITH {RAW} SELECT count(*) AS n_rows, min(event_ts) AS first_ts, max(event_ts) AS last_ts, date_diff('day', min(event_ts), max(event_ts)) AS n_days,
+    "defect_counts": f"""WITH {RAW} SELECT count(*) AS n_rows, min(event_ts) AS first_ts, max(event_ts) AS last_ts, date_diff('day', min(event_ts), max(event_ts))::INTEGER AS n_days,
   count(*) FILTER (customer_id IS NULL) AS missing_customer, count(*) FILTER (upper(invoice_no) LIKE 'C%') AS cancellations, count(*) FILTER (quantity <= 0) AS non_positive_quantity,
   count(*) FILTER (unit_price <= 0) AS non_positive_price, count(*) FILTER (abs(quantity) > 10000) AS extreme_quantity, count(DISTINCT customer_id) AS n_customers,
   count(DISTINCT invoice_no) AS n_invoices, count(DISTINCT country) AS n_countries FROM raw""",

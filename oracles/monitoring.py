@@ -132,7 +132,7 @@ sig AS (SELECT night, night - DATE '{LAST}' AS model_age_days, (SELECT count(*)
 SQL = {
     "ref_profile_numeric": f"""{PROFILE} SELECT feature, n_rows, {', '.join(f'round({c}, 6) AS {c}' for c in ('mean', 'std', 'min', 'max', 'null_rate', 'p01', 'p25', 'p50', 'p75', 'p99'))} FROM prof""",
     "ref_profile_bins": f"{PROFILE} SELECT feature, CAST(bin AS INTEGER) AS bin, round(lo, 6) AS lo, round(hi, 6) AS hi, round(expected_pct, 6) AS expected_pct FROM ex",
-    "ref_profile_categorical": f"{T} SELECT 'country_grp' AS feature, country_grp AS level, count(*) AS n, round(count(*) / (SELECT count(*) FROM tr)::DOUBLE, 6) AS expected_pct, 0.0 AS null_rate FROM tr GROUP BY country_grp",
+    "ref_profile_categorical": f"{T} SELECT 'country_grp' AS feature, country_grp AS level, count(*) AS n, round(count(*) / (SELECT count(*) FROM tr)::DOUBLE, 6) AS expected_pct, 0.0::DOUBLE AS null_rate FROM tr GROUP BY country_grp",
     "ref_profile_target": f"{T} SELECT count(*) AS n_rows, round(avg(churn_90d), 6) AS base_rate FROM tr",
     "profile_by_family": f"{PROFILE}, {CATALOGUE} SELECT family, type, availability, count(*) AS n_features, round(avg(null_rate), 6) AS mean_null_rate FROM prof JOIN cat USING (feature) GROUP BY ALL",
     "psi_numeric": f"{PROFILE}, {psi('te', 'ps')} SELECT feature, round(psi, 6) AS psi, {SEV} AS severity FROM ps WHERE feature <> 'country_grp'",

@@ -9,7 +9,7 @@ Z = f"{LINEAR_INTERCEPT}::DOUBLE" + "".join(f" + ({n} - {c}::DOUBLE) * ({w})::DO
 LINEAR = f"round(1.0::DOUBLE / (1.0::DOUBLE + exp(-({Z}))), 9)"
 STORE = f"WITH {EV}, {features([STAR.system_asof], 'store', until=USABLE[0])}"
 SCORES = f"""{STORE}, ss AS (SELECT customer_id, {LINEAR} AS p FROM store),
-dd AS (SELECT customer_id, p, 0.5 AS threshold, CAST(p >= 0.5 AS INTEGER) AS prediction,
+dd AS (SELECT customer_id, p, 0.5::DOUBLE AS threshold, CAST(p >= 0.5 AS INTEGER) AS prediction,
   CASE WHEN p >= 0.70 THEN 'high' WHEN p >= 0.40 THEN 'medium' ELSE 'low' END AS risk_band,
   round(p * 0.30::DOUBLE * 45.0::DOUBLE - 8.0::DOUBLE, 3) AS expected_value FROM ss),
 ranked AS (SELECT *, row_number() OVER (ORDER BY p DESC, customer_id) AS rank, count(*) OVER () AS n FROM dd),
