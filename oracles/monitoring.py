@@ -165,4 +165,19 @@ r AS (SELECT customer_id, abs_z, row_number() OVER (PARTITION BY customer_id ORD
 g AS (SELECT night, concat_ws(',', CASE WHEN degraded THEN 'performance_degradation' END, CASE WHEN model_age_days >= 30 AND fresh THEN 'model_staleness' END,
   CASE WHEN (drift_status = 'alert' OR drift_share >= 0.30) AND fresh THEN 'feature_drift' END) AS fired, CASE WHEN data_quality_ok THEN '' ELSE 'data_quality_failure' END AS blocked_by, degraded FROM f)
 SELECT night, blocked_by = '' AND fired <> '' AS should_retrain, CASE WHEN blocked_by <> '' THEN 'blocked' WHEN degraded THEN 'high' WHEN fired <> '' THEN 'scheduled' ELSE 'none' END AS urgency, fired, blocked_by FROM g""",
+    "monitoring_suite": f"""{PROFILE}, sh AS ({shifted('te')}), {psi('te', 'pr')}, {psi('sh', 'pi')},
+fr AS ({findings('te', STAR.ranges)}), fi AS ({findings('sh', STAR.ranges)}),
+{SCORED[SCORED.index('prm AS'):]}, sr AS (SELECT 'p' AS feature, p, p AS value FROM scored WHERE model = 'recency_rule' AND fold = 'train'),
+sb AS (SELECT p FROM scored WHERE model = 'recency_rule' AND fold = 'test'),
+si AS (SELECT least(greatest((recency_days - lo) / greatest(hi - lo, 1e-9), 0.001), 0.999) AS p FROM sh, prm), {quantiles('sr', 'pq', [(i, 10) for i in range(11)])},
+pe AS (SELECT CASE WHEN len(u) < 3 THEN [0.5] ELSE u[2:len(u) - 1] END AS edges FROM (SELECT list_sort(list_distinct(list(q))) AS u FROM pq)),
+{score_psi('sb', 'dr')}, {score_psi('si', 'di')},
+rr AS (SELECT *, {SEV} AS severity FROM pr), ri AS (SELECT *, {SEV} AS severity FROM pi), small AS (SELECT count(*) < 200 AS skip FROM te),
+checks AS (SELECT 'real' AS batch, 'schema' AS "check", 'ok' AS severity UNION ALL SELECT 'injected', 'schema', 'ok' UNION ALL SELECT 'lost_column', 'schema', 'alert'
+  UNION ALL SELECT 'lost_column', 'data_quality', 'skipped' UNION ALL SELECT 'real', 'data_quality', {WORST} FROM fr UNION ALL SELECT 'injected', 'data_quality', {WORST} FROM fi
+  UNION ALL SELECT 'real', 'feature_drift', CASE WHEN skip THEN 'skipped' ELSE severity END FROM small, ({rollup('rr')})
+  UNION ALL SELECT 'injected', 'feature_drift', CASE WHEN skip THEN 'skipped' ELSE severity END FROM small, ({rollup('ri')})
+  UNION ALL SELECT 'real', 'prediction_drift', {SEV} FROM dr UNION ALL SELECT 'injected', 'prediction_drift', {SEV} FROM di),
+every AS (SELECT * FROM checks UNION ALL SELECT batch, 'overall', CASE WHEN bool_or(severity = 'alert') THEN 'alert' WHEN bool_or(severity = 'warn') THEN 'warn' ELSE 'ok' END FROM checks GROUP BY batch)
+SELECT batch, "check", severity, CASE WHEN "check" = 'data_quality' THEN severity NOT IN ('alert', 'skipped') ELSE severity IN ('ok', 'skipped') END AS passed FROM every""",
 }
