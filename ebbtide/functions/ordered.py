@@ -64,6 +64,12 @@ def running_totals(cells: DataFrame, order: list[str], sums: dict[str, str], gro
     return out
 
 
+def attach_row(rows: DataFrame, figures: DataFrame) -> DataFrame:
+    """Add the columns of a one-row table to every row, as a scalar subquery instead of a join."""
+    whole = figures.select(F.struct(*figures.columns).alias("_r")).scalar()
+    return rows.withColumn("_r", whole).select(*rows.columns, *[F.col(f"_r.{c}").alias(c) for c in figures.columns])
+
+
 def ranked(rows: DataFrame, order: list[str], group: list[str] = [], rank: str = "rank", carry: dict[str, str] | None = None) -> DataFrame:
     """1-based row number along a unique ``order``; ``carry`` adds running sums of further columns."""
     one = rows.withColumn("_one", F.lit(1).cast("long"))
@@ -76,8 +82,6 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[tuple[int, int]], gro
     ``probs`` are fractions (numerator, denominator); positions are computed in whole numbers, so a
     quantile that falls on a data point is exactly that point. NULL and NaN are ignored.
     """
-    if not group:
-        return exact_quantiles(df.withColumn("_all", F.lit(0)), value, probs, ["_all"]).drop("_all")
     clean = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     cells = clean.groupBy(*group, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
     cum = running_totals(cells, ["_v"], {"_n": "_cum"}, group)
@@ -92,10 +96,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[tuple[int, int]], gro
     ])
     # One row per group: bounded by the number of groups the caller compares.
     targets = sizes.select(*[F.col(g).alias(f"_s_{g}") for g in group], "n", wanted.alias("_want"))
-    on = cum[group[0]].eqNullSafe(targets[f"_s_{group[0]}"])
-    for g in group[1:]:
-        on = on & cum[g].eqNullSafe(targets[f"_s_{g}"])
-    held = cum.join(F.broadcast(targets), on)
+    if group:
+        on = cum[group[0]].eqNullSafe(targets[f"_s_{group[0]}"])
+        for g in group[1:]:
+            on = on & cum[g].eqNullSafe(targets[f"_s_{g}"])
+        held = cum.join(F.broadcast(targets), on)
+    else:
+        held = attach_row(cum, targets)
     first, last = F.col("_cum") - F.col("_n"), F.col("_cum")
     hit = F.filter("_want", lambda w: ((w["lo"] >= first) & (w["lo"] < last)) | ((w["lo"] + 1 >= first) & (w["lo"] + 1 < last)))
     points = held.select(*group, "n", "_v", first.alias("_first"), last.alias("_last"), F.explode(hit).alias("_w"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ebbtide.contracts import CUSTOMER
 from ebbtide.functions.exact import money, money_sql, units, units_sql
-from ebbtide.functions.ordered import exact_quantiles, running_totals
+from ebbtide.functions.ordered import attach_row, exact_quantiles, running_totals
 
 
 def column_profile(lines: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def defect_counts(lines: DataFrame) -> DataFrame:
         "count_if(quantity <= 0) AS non_positive_quantity", "count_if(unit_price <= 0) AS non_positive_price",
         "count_if(abs(quantity) > 10000) AS extreme_quantity")
     distinct = lines.agg(F.countDistinct("customer_id").alias("n_customers"), F.countDistinct("invoice_no").alias("n_invoices"), F.countDistinct("country").alias("n_countries"))
-    return facts.withColumn("k", F.lit(1)).join(F.broadcast(distinct.withColumn("k", F.lit(1))), "k").drop("k")
+    return attach_row(facts, distinct)
 
 
 def clean_summary(lines: DataFrame, events: DataFrame) -> DataFrame:
@@ -89,9 +89,8 @@ def revenue_concentration(events: DataFrame) -> DataFrame:
     per_customer = _sales(events).groupBy(CUSTOMER).agg(F.sum(units(F.col("line_revenue"))).alias("u"))
     rows = per_customer.withColumns({"_minus": -F.col("u"), "_one": F.lit(1).cast("long")})
     ranked = running_totals(rows, ["_minus", CUSTOMER], {"_one": "rank", "u": "cum"})
-    totals = per_customer.agg(F.count("*").alias("n"), F.sum("u").alias("total")).withColumn("k", F.lit(1))
-    # The totals are a single row.
-    return ranked.withColumn("k", F.lit(1)).join(F.broadcast(totals), "k").selectExpr(
+    totals = per_customer.agg(F.count("*").alias("n"), F.sum("u").alias("total"))
+    return attach_row(ranked, totals).selectExpr(
         "rank", CUSTOMER, f"{money_sql('u')} AS revenue", "100D * rank / n AS pct_customers", "100D * cum / total AS pct_revenue", "n")
 
 

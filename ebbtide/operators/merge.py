@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ebbtide.contracts import NATURAL_KEY
 from ebbtide.functions.exact import money, units
+from ebbtide.functions.ordered import attach_row
 from ebbtide.operators.cleaning import RULES, keep_one, rule_losses
 from ebbtide.settings import CleaningRules
 
@@ -28,25 +29,21 @@ def in_days_of(existing: DataFrame, first, last) -> DataFrame:
     return existing.where(F.col("event_date").between(F.lit(first), F.lit(last)))
 
 
-def run_record(lines: DataFrame, cleaned: DataFrame, by: list[str] = []) -> DataFrame:
+def run_record(lines: DataFrame, cleaned: DataFrame, by: list[str] = [], rules: CleaningRules = CleaningRules()) -> DataFrame:
     """What a run read, lost per rule and kept, per ``by``: the content of an ingestion log record.
 
     ``gross_revenue`` adds sales and returns, so it is net of returns despite its name.
     """
-    losses = rule_losses(lines, CleaningRules(), by)
+    losses = rule_losses(lines, rules, by)
     used = F.map_from_entries(F.array(*[F.struct(F.lit(r), F.col(r).cast("long")) for r in RULES]))
     facts = cleaned.groupBy(*by).agg(
         F.count("*").alias("rows_after_cleaning"), F.min("event_date").alias("event_date_min"), F.max("event_date").alias("event_date_max"),
         F.round(money(F.sum(units(F.col("line_revenue")))), 2).alias("gross_revenue"))
     distinct = _distinct(cleaned, "customer_id", "n_customers", by), _distinct(cleaned, "invoice_no", "n_invoices", by)
-    if not by:
-        key, tables = ["_k"], [t.withColumn("_k", F.lit(1)) for t in (losses, facts, *distinct)]
-    else:
-        key, tables = by, [losses, facts, *distinct]
-    # One row per file of the run on every side.
-    out = tables[0]
-    for table in tables[1:]:
-        out = out.join(F.broadcast(table), key, "left")
+    # One row per file of the run on every side, or one row in all.
+    out = losses
+    for table in (facts, *distinct):
+        out = out.join(F.broadcast(table), by, "left") if by else attach_row(out, table)
     return out.select(
         *by, F.col("rows_read").cast("long").alias("rows_read"), F.coalesce("rows_after_cleaning", F.lit(0)).alias("rows_after_cleaning"),
         used.alias("rows_rejected_by_rule"), "event_date_min", "event_date_max",

@@ -12,7 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ebbtide.contracts import ASOF, CATEGORICAL, CUSTOMER, FEATURES, LABEL, NUMERIC, RANGES
-from ebbtide.functions.ordered import exact_quantiles, running_totals
+from ebbtide.functions.ordered import attach_row, exact_quantiles, running_totals
 from ebbtide.settings import MonitorThresholds
 
 RANK = {"skipped": 0, "unknown": 0, "ok": 1, "warn": 2, "alert": 3}
@@ -122,11 +122,11 @@ def psi_numeric(batch: DataFrame, profile: Profile, by: list[str] = []) -> DataF
     """(by.., feature, psi) of numeric features on the frozen bins."""
     counts = binned_counts(batch, profile.numeric, by)
     totals = counts.groupBy(*by, "feature").agg(F.sum("n").alias("total"))
-    groups = batch.select(*by).distinct() if by else None
     bins = profile.bins.select("feature", "bin", "expected_pct")
     if by:
-        # Batch keys times bins: a few rows per checked batch.
-        bins = groups.withColumn("_all", F.lit(1)).join(F.broadcast(bins.withColumn("_all", F.lit(1))), "_all").drop("_all")
+        # All bins of the contract as one value, repeated for the few batch keys.
+        listed = bins.agg(F.collect_list(F.struct("feature", "bin", "expected_pct"))).scalar()
+        bins = batch.select(*by).distinct().withColumn("_bins", listed).select(*by, F.inline("_bins"))
     joined = bins.join(F.broadcast(counts), [*by, "feature", "bin"], "left").join(F.broadcast(totals), [*by, "feature"], "left")
     shares = joined.selectExpr(*by, "feature", "expected_pct", "CASE WHEN total > 0 THEN coalesce(n, 0) / cast(total AS double) END AS actual_pct")
     return psi_of(shares, [*by, "feature"])
@@ -228,12 +228,12 @@ def prediction_drift(reference: DataFrame, batch: DataFrame, thresholds: Monitor
     placed = both.withColumn("edges", edges.scalar()).withColumn("bin", F.expr("size(filter(edges, e -> e <= p))"))
     counts = placed.groupBy("bin").agg(F.sum("r").alias("r"), F.sum("b").alias("b"))
     totals = counts.agg(F.sum("r").alias("tr"), F.sum("b").alias("tb"))
-    bins = edges.selectExpr("explode(sequence(0, size(edges))) AS bin").join(counts, "bin", "left").withColumn("k", F.lit(1)).join(
-        F.broadcast(totals.withColumn("k", F.lit(1))), "k")
-    psi = psi_of(bins.selectExpr("k", "coalesce(r, 0) / cast(tr AS double) AS expected_pct", "coalesce(b, 0) / cast(tb AS double) AS actual_pct"), ["k"])
-    facts = both.groupBy(F.lit(1).alias("k")).agg(F.expr("avg(CASE WHEN r = 1 THEN p END) AS ref_mean_score"), F.expr("avg(CASE WHEN b = 1 THEN p END) AS batch_mean_score"),
+    every = both.sparkSession.range(1).select(edges.scalar().alias("edges")).selectExpr("explode(sequence(0, size(edges))) AS bin")
+    bins = attach_row(every.join(F.broadcast(counts), "bin", "left"), totals)
+    psi = psi_of(bins.selectExpr("'p' AS score", "coalesce(r, 0) / cast(tr AS double) AS expected_pct", "coalesce(b, 0) / cast(tb AS double) AS actual_pct"), ["score"])
+    facts = both.agg(F.expr("avg(CASE WHEN r = 1 THEN p END) AS ref_mean_score"), F.expr("avg(CASE WHEN b = 1 THEN p END) AS batch_mean_score"),
         F.expr("avg(CASE WHEN r = 1 THEN cast(p >= 0.5D AS int) END) AS ref_positive_rate"), F.expr("avg(CASE WHEN b = 1 THEN cast(p >= 0.5D AS int) END) AS batch_positive_rate"))
-    return psi.join(facts, "k").drop("k").withColumn("severity", severity(F.col("psi"), thresholds))
+    return attach_row(psi.drop("score"), facts).withColumn("severity", severity(F.col("psi"), thresholds))
 
 
 def schema_findings(batch: DataFrame) -> dict[str, list[str]]:
@@ -302,8 +302,10 @@ def suite(profile: Profile, batch: DataFrame, name: str, reference_scores: DataF
             scores = prediction_drift(reference_scores, batch_scores, thresholds).select(F.lit("prediction_drift").alias("check"), "severity")
             checks = checks.unionByName(scores)
     order = F.create_map(*[x for s, r in RANK.items() for x in (F.lit(s), F.lit(r))])
-    worst = checks.agg(F.max(F.struct(F.element_at(order, F.col("severity")).alias("r"), "severity"))["severity"].alias("severity"))
-    rows = checks.unionByName(worst.select(F.lit("overall").alias("check"), "severity"))
+    # At most four checks: listed once, so that the overall row does not run them again.
+    worst = F.max(F.struct(F.element_at(order, F.col("severity")).alias("r"), "severity"))["severity"]
+    listed = checks.agg(F.collect_list(F.struct("check", "severity")).alias("each"), worst.alias("worst"))
+    rows = listed.select(F.inline(F.concat("each", F.array(F.struct(F.lit("overall").alias("check"), F.col("worst").alias("severity"))))))
     action = F.when(F.col("check") == "overall", F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in ACTIONS.items() for x in kv]), F.col("severity")), F.lit("no action")))
     passed = F.when(F.col("check") == "data_quality", ~F.col("severity").isin("alert", "skipped")).otherwise(F.col("severity").isin("ok", "skipped"))
     return rows.select(F.lit(name).alias("batch"), "check", "severity", passed.alias("passed"), action.alias("action"))

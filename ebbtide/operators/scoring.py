@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ebbtide.contracts import ASOF, CUSTOMER, LABEL, NUMERIC
-from ebbtide.functions.ordered import exact_quantiles, ranked
+from ebbtide.functions.ordered import attach_row, exact_quantiles, ranked
 from ebbtide.settings import Economics, ServingRules
 
 # A transparent scorer for tables without a fitted model: intercept, then (feature, centre, weight).
@@ -137,9 +137,7 @@ def operational_metrics(log: DataFrame, rules: ServingRules = ServingRules()) ->
         F.count("*").alias("requests_total"), F.count_if("lookup_miss").alias("lookup_misses"),
         F.count_if(F.col("feature_staleness_days") > 0).alias("stale_servings"))
     quantile = lambda i: F.round(F.element_at("_q", i), 6)
-    # Both sides are single rows.
-    both = window.withColumn("k", F.lit(1)).join(F.broadcast(whole.withColumn("k", F.lit(1))), "k")
-    return both.select(
+    return attach_row(window, whole).select(
         "requests_total", "lookup_misses", "stale_servings", "n_recent", F.round("latency_mean", 6).alias("latency_mean"),
         quantile(1).alias("latency_p50"), quantile(2).alias("latency_p95"), quantile(3).alias("latency_p99"),
         (F.element_at("_q", 2) > rules.latency_slo_ms).alias("slo_breached"),

@@ -121,11 +121,10 @@ def label_maturity(scope: DataFrame, settings: Settings) -> DataFrame:
 def embargo_report(scope: DataFrame, settings: Settings) -> DataFrame:
     """Pairs of folds whose label window reaches the as-of day of a later fold, with the days of overlap."""
     sized = with_fold(snapshot_days(scope, settings), settings.split).where(F.col("fold").isNotNull())
-    earlier = sized.select(F.col("fold").alias("fold"), F.col(ASOF).alias("snapshot_date"), F.date_add(ASOF, settings.label.horizon_days).alias("label_window_ends"), "n_in_scope", F.lit(1).alias("k"))
-    later = sized.select(F.col("fold").alias("later_fold"), F.col(ASOF).alias("later_snapshot_date"), F.lit(1).alias("k"))
-    # A handful of snapshot days on each side, whatever the size of the events.
-    pairs = earlier.join(F.broadcast(later), "k").where(
-        (F.col("fold") != F.col("later_fold")) & (F.col("later_snapshot_date") > F.col("snapshot_date"))
-        & (F.col("label_window_ends") >= F.col("later_snapshot_date")))
-    return pairs.select("fold", "snapshot_date", "later_fold", "later_snapshot_date",
-                        F.datediff("label_window_ends", "later_snapshot_date").alias("overlap_days"), "n_in_scope")
+    end = F.date_add(ASOF, settings.label.horizon_days)
+    others = F.array(*[
+        F.struct(F.lit(fold).alias("fold"), F.lit(date.fromisoformat(day)).alias("day")) for day, fold in settings.split.fold_of().items()])
+    reached = F.filter(others, lambda o: (o["fold"] != F.col("fold")) & (o["day"] > F.col(ASOF)) & (o["day"] <= end))
+    return sized.withColumn("o", F.explode(reached)).select(
+        "fold", ASOF, F.col("o.fold").alias("later_fold"), F.col("o.day").alias("later_snapshot_date"),
+        F.datediff(end, F.col("o.day")).alias("overlap_days"), "n_in_scope")

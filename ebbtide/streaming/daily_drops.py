@@ -63,7 +63,7 @@ def ingest_files(spark: SparkSession, files: list[str], events_path: str, log_pa
         staging = f"{events_path}-staging/batch={batch}"
         clean_events(lines, rules, by=["file_time", "source_file"]).write.mode("overwrite").parquet(staging)
         cleaned = spark.read.parquet(staging)
-        facts = run_record(lines, cleaned, ["source_file"])
+        facts = run_record(lines, cleaned, ["source_file"], rules)
         if dry_run:
             records.append(_complete(facts, status="'dry_run'", rows_appended="0L"))
         else:
