@@ -1,5 +1,53 @@
-"""Placeholder."""
+"""Corpus pipeline: quality rules, line dedup, near duplicates, benchmark decontamination, encoding.
 
+Every stage takes (spark, docs, sf_dir) and returns a frame; all but the last return the columns of documents.
+``run`` writes each stage as Parquet in the cluster's shared folder and hands the reread table to the next.
+"""
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ebbtide.llm import bpe, decontaminate, jaccard, linededup, quality
+from ebbtide.llm.shared import written
+
+#: Encoding cannot be written in SQL; the stages are tested against brute force.
+ORACLE_SQL = None
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without runs of lines that stand earlier in the corpus."""
+    return linededup.deduplicated(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near duplicates: the one with the smallest id."""
+    return jaccard.representatives(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that also stand in benchmark items."""
+    return decontaminate.removed(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with digests of the ids and of the text decoded from them."""
+    return bpe.encoded(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules), ("line dedup", line_dedup), ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination), ("BPE encoding and decoding", encoding),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs

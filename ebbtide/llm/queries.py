@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, decontaminate, quality
+from ebbtide.llm import bpe, decontaminate, jaccard, licenses, linededup, lm, quality, sharding, toolcalls, warc
+from ebbtide.llm.shared import new_folder
 from ebbtide.llm.sql import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +35,40 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.deduplicated(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    warc.write(warc.with_revisits(table(spark, sf_dir, "pages")), folder)
+    return warc.page_report(spark, folder)
+
+
+@_query
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toolcalls.chat_report(table(spark, sf_dir, "conversations"))
+
+
+@_query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(table(spark, sf_dir, "documents"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbtide.session import shared_folder
 
@@ -37,8 +37,20 @@ def hot_keys(counts: DataFrame, key: str, n: str, one_of: int = HOT_ONE_OF) -> D
     return counts.where(F.col(n) * one_of > total)
 
 
-def all_of(*conditions: Column) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out & c
-    return out
+def attach(rows: DataFrame, table: DataFrame, key: str, n: str, spread: list[str]) -> DataFrame:
+    """Left-join ``table`` (one row per key, ``n`` rows of the other side behind it) to ``rows`` without hot tasks.
+
+    Hot keys are answered by a bounded broadcast; their rows get a join key of their own that matches nothing
+    and spreads by the columns ``spread``. All other rows meet their key in a plain shuffle join.
+    """
+    kind = dict(rows.dtypes)[key]
+    values = [c for c in table.columns if c not in (key, n)]
+    hot = hot_keys(table, key, n).select(F.col(key).alias("__hot"), F.struct(*values).alias("__hot_values"))
+    marked = rows.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left").withColumns({
+        "__is_hot": F.col("__hot").isNotNull(),
+        "__key": F.when(F.col("__hot").isNull(), F.col(key)).otherwise(F.xxhash64(*spread).cast(kind)),
+    })
+    plain = table.select(F.col(key).alias("__plain"), F.lit(False).alias("__never_hot"), F.struct(*values).alias("__values"))
+    joined = marked.join(plain, (F.col("__key") == F.col("__plain")) & (F.col("__is_hot") == F.col("__never_hot")), "left")
+    found = F.coalesce("__hot_values", "__values")
+    return joined.select(*rows.columns, *[found[c].alias(c) for c in values])
