@@ -8,6 +8,7 @@ from ebbtide.contracts import EVENT_COLUMNS, NATURAL_KEY
 from ebbtide.functions.exact import truthy
 from ebbtide.settings import CleaningRules
 
+# fixed values: names of the rules in reports
 RULES = (
     "drop_missing_customer_id",
     "drop_non_product_stock_codes",
@@ -15,14 +16,6 @@ RULES = (
     "drop_exact_duplicate_lines",
 )
 
-RATIONALE = {
-    "drop_missing_customer_id": "activity is defined per customer; a line without one cannot be labelled",
-    "drop_non_product_stock_codes": "postage, fees and adjustments are not purchases",
-    "drop_non_positive_price_sales": "a sale at or below zero is noise in revenue and order value",
-    "drop_exact_duplicate_lines": "the same invoice, product, quantity, price and time is a re-send",
-}
-
-
 def return_flag() -> Column:
     """Cancellation invoices and negative quantities are returns; unknown values are not."""
     return truthy(F.upper("invoice_no").startswith("C")) | truthy(F.col("quantity") < 0)
@@ -89,7 +82,6 @@ def cleaning_audit(lines: DataFrame, rules: CleaningRules = CleaningRules()) ->
             F.round(F.try_divide(F.lit(100.0) * F.col(rule), F.col("rows_read")), 3))
         steps.append(F.struct(
             F.lit(number).alias("step"), F.lit(rule).alias("rule"), before.alias("rows_before"),
-            after.alias("rows_after"), F.col(rule).alias("rows_removed"), pct.alias("pct_of_raw_removed"),
-            F.lit(RATIONALE[rule]).alias("rationale")))
+            after.alias("rows_after"), F.col(rule).alias("rows_removed"), pct.alias("pct_of_raw_removed")))
         before = after
     return rule_losses(lines, rules).select(F.inline(F.array(*steps)))

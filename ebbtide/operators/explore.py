@@ -101,12 +101,15 @@ def top_share(concentration: DataFrame, part: float = 0.2) -> DataFrame:
 
 
 def volume_alerts(rows: DataFrame, day: str, share: float = 0.5, days: int = 7) -> DataFrame:
-    """Days whose row count is below a share of the median of the previous days.
+    """Calendar days whose row count is below a share of the median of the previous days.
 
-    The window runs over daily counts, one row per calendar day.
+    Days without rows count zero, so an outage alerts. The window runs over the calendar, one row per day.
     """
-    daily = rows.groupBy(F.to_date(day).alias("day")).agg(F.count("*").alias("n_rows"))
+    daily = rows.where(F.col(day).isNotNull()).groupBy(F.to_date(day).alias("day")).agg(F.count("*").alias("n_rows"))
+    span = daily.agg(F.min("day").alias("a"), F.max("day").alias("b")).where("a IS NOT NULL")
+    calendar = span.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 DAY"))).alias("day"))
+    filled = calendar.join(daily, "day", "left").select("day", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
     before = W.orderBy("day").rowsBetween(-days, -1)
     median = F.percentile("n_rows", F.lit(0.5)).over(before)
-    return daily.withColumn("median_before", median).withColumn(
+    return filled.withColumn("median_before", median).withColumn(
         "alert", F.coalesce(F.col("n_rows") < share * F.col("median_before"), F.lit(False)))

@@ -150,7 +150,7 @@ _TERMS = {
     "mean_gap": "CASE WHEN n_gaps > 0 THEN cast(gap_sum AS double) / n_gaps END",
     "var_gap": "CASE WHEN n_gaps > 1 THEN greatest((gap_squares - cast(gap_sum AS double) * gap_sum / n_gaps) / (n_gaps - 1), 0D) END",
     **{f"o{w}": f"cast(orders_{w} AS double)" for w in (SHORT, MEDIUM, LONG)},
-    **{f"r{w}": f"CASE WHEN orders_{w} IS NOT NULL THEN {money_sql(f'coalesce(units_{w}, 0)')} END" for w in (SHORT, MEDIUM, LONG)},
+    **{f"r{w}": f"CASE WHEN coalesce(orders_{w}, units_{w}) IS NOT NULL THEN {money_sql(f'coalesce(units_{w}, 0)')} END" for w in (SHORT, MEDIUM, LONG)},
     "lifetime": money_sql("lifetime_units"),
     "products": "cast(products_90 AS double)",
     "items": money_sql("items_90"),

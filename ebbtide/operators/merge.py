@@ -25,8 +25,11 @@ def new_events(existing: DataFrame, incoming: DataFrame, prefer: list[str] = [])
 
 
 def in_days_of(existing: DataFrame, first, last) -> DataFrame:
-    """Only events of the days a batch touches can share its keys; the literal bounds prune the scan."""
-    return existing.where(F.col("event_date").between(F.lit(first), F.lit(last)))
+    """Only events of the days a batch touches can share its keys; the literal bounds prune the scan.
+
+    Events without a day stay in, since the key compares missing times as equal.
+    """
+    return existing.where(F.col("event_date").between(F.lit(first), F.lit(last)) | F.col("event_date").isNull())
 
 
 def run_record(lines: DataFrame, cleaned: DataFrame, by: list[str] = [], rules: CleaningRules = CleaningRules()) -> DataFrame:

@@ -15,8 +15,9 @@ def next_purchase_within(rows: DataFrame, events: DataFrame, since: str, days: i
     """
     moments = rows.select(CUSTOMER, F.col(since).alias("day"), F.lit(1).alias("kind")).distinct()
     sales = events.where("NOT is_return").select(CUSTOMER, F.col("event_date").alias("day"), F.lit(0).alias("kind")).distinct()
-    ahead = W.partitionBy(CUSTOMER).orderBy("day", "kind").rowsBetween(1, W.unboundedFollowing)
-    following = F.first(F.when(F.col("kind") == 0, F.col("day")), ignorenulls=True).over(ahead)
+    # Read backwards, so that the frame only grows: the latest sale seen is the next one to come.
+    ahead = W.partitionBy(CUSTOMER).orderBy(F.desc("day"), F.desc("kind")).rowsBetween(W.unboundedPreceding, -1)
+    following = F.last(F.when(F.col("kind") == 0, F.col("day")), ignorenulls=True).over(ahead)
     line = moments.unionByName(sales).withColumn("_next", following).where("kind = 1")
     joined = rows.join(line.select(CUSTOMER, F.col("day").alias(since), "_next"), [CUSTOMER, since], "left")
     return joined.withColumn("bought", F.coalesce(F.col("_next") <= F.date_add(F.col(since), days), F.lit(False))).drop("_next")

@@ -43,7 +43,7 @@ def clean_events(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def cleaning_audit(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.cleaning_audit(retail.typed(star.raw_extract(spark, folder))).drop("rationale")
+    return cleaning.cleaning_audit(retail.typed(star.raw_extract(spark, folder)))
 
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:

@@ -62,10 +62,10 @@ def ref_profile_target(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def profile_by_family(spark: SparkSession, folder: str) -> DataFrame:
-    """The feature catalogue joined to the observed profile: features and mean null rate per family and type."""
+    """The feature catalogue joined to the observed profile: features and mean null rate per family and kind."""
     profile = M.numeric_profile(_train(spark, folder), STAR.monitor)
     joined = profile.join(F.broadcast(feature_catalogue(spark)), "feature")
-    return shown(joined.groupBy("family", "type", "availability").agg(F.count("*").alias("n_features"), F.avg("null_rate").alias("mean_null_rate")))
+    return shown(joined.groupBy("family", "window_days", "reaged").agg(F.count("*").alias("n_features"), F.avg("null_rate").alias("mean_null_rate")))
 
 
 @query

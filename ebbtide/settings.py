@@ -106,18 +106,6 @@ class Settings:
     seed: int = 42
 
 
-# The retail year the thresholds were designed for.
-RETAIL = Settings(
-    system_asof="2011-12-09",
-    snapshots=("2011-03-31", "2011-04-30", "2011-05-31", "2011-06-30", "2011-07-31", "2011-08-31"),
-    split=SplitSpec(
-        train=("2011-03-31", "2011-04-30", "2011-05-31"),
-        valid=("2011-06-30",),
-        purged=("2011-07-31",),
-        test=("2011-08-31",),
-    ),
-)
-
 # The star-schema tables span 1995-2001, so day counts need a wider range; 2001-06-30 is right-censored.
 STAR = Settings(
     system_asof="2001-08-01",

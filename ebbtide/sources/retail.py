@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -35,27 +36,30 @@ def typed(raw: DataFrame, strict: bool = True, keep: list[str] = []) -> DataFram
     ], *keep)
 
 
-def header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one text file, read from its first line only; a BOM is stripped."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
-    try:
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-    finally:
-        stream.close()
-    return next(csv.reader([(line or "").lstrip("\ufeff")]), [])
+def _place(path: str) -> str:
+    """The path without scheme, host and escapes, as a common name for a file."""
+    return unquote(urlparse(path).path if "://" in path or path.startswith("file:") else path)
 
 
-def scan_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+def headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Column names of text files, from their first lines; a BOM is stripped, an empty file has none.
+
+    The executors read the files; a file's first line is the first that the task with its beginning sees.
+    """
+    lines = spark.read.text(paths).where("_metadata.file_block_start = 0").select(F.col("_metadata.file_path").alias("path"), "value")
+    found = {_place(r.path): r.line for r in lines.groupBy("path").agg(F.first("value").alias("line")).collect()}
+    return {p: next(csv.reader([(found.get(_place(p)) or "").lstrip("\ufeff")]), []) for p in paths}
+
+
+def scan_files(spark: SparkSession, paths: list[str], known: dict[str, list[str]] | None = None) -> DataFrame:
     """Source columns of several text files, with ``source_file`` and ``file_time``.
 
     Columns of a text scan are matched by position and a directory takes the header of its first file,
-    so every header is checked on its own; files with the same header share one scan.
+    so every header is checked on its own; files with the same header share one scan. ``known`` are headers
+    that were read before.
     """
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        columns = header(spark, path)
+    for path, columns in (known or headers(spark, paths)).items():
         check_columns(columns)
         layouts.setdefault(tuple(columns), []).append(path)
     out = None
@@ -91,9 +95,9 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_by_day(events: DataFrame, path: str, start: str | None = None, end: str | None = None, last_days: int | None = None) -> None:
-    """One folder per calendar day with rows. A busy day may spread over several files."""
+    """One folder per calendar day with rows. Spark splits the rows of a busy day by size over several tasks and files."""
     (day_range(events, start, end, last_days)
-     .repartition("event_date", F.pmod(F.xxhash64("invoice_no", "stock_code"), F.lit(8)))
+     .hint("rebalance", F.col("event_date"))
      .write.mode("overwrite").partitionBy("event_date").parquet(path))
 
 

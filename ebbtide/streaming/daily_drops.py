@@ -2,12 +2,14 @@
 
 The stream itself only lists new files; each micro-batch reads its files as ordinary distributed scans, so
 the header of every file can be checked before its rows are. A micro-batch writes to its own partition of
-the event table and of the log. A retried micro-batch replaces what it wrote before, and the natural-key
-merge ignores rows that earlier batches brought, so every row is stored once.
+the event table and of the log, named after the stream and the batch. A retried micro-batch replaces what it
+wrote before, and the natural-key merge ignores rows that other batches and streams brought, so every row is
+stored once.
 """
 
 from __future__ import annotations
 
+import json
 import time
 from datetime import datetime, timezone
 
@@ -22,7 +24,7 @@ from ebbtide.sources import retail
 
 # Layout of the file listing; the content column is never selected, so file bodies are not read by it.
 _LISTING = "path string, modificationTime timestamp, length bigint, content binary"
-_STORED = T.StructType(EVENT_SCHEMA.fields + [T.StructField("source_file", T.StringType()), T.StructField("batch", T.LongType())])
+_STORED = T.StructType(EVENT_SCHEMA.fields + [T.StructField("source_file", T.StringType()), T.StructField("stream", T.StringType()), T.StructField("batch", T.LongType())])
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -41,26 +43,31 @@ def run_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_LOG_SCHEMA).option("recursiveFileLookup", True).json(path)
 
 
-def ingest_files(spark: SparkSession, files: list[str], events_path: str, log_path: str, batch: int, rules: CleaningRules = CleaningRules(), dry_run: bool = False) -> None:
-    """Ingest one batch of files, older files first. ``files`` is bounded by the files per micro-batch."""
+def ingest_files(spark: SparkSession, files: list[str], events_path: str, log_path: str, batch: int, rules: CleaningRules = CleaningRules(),
+                 dry_run: bool = False, stream: str = "manual") -> None:
+    """Ingest one batch of files, older files first. ``files`` is bounded by the files per micro-batch.
+
+    What is written belongs to (stream, batch): a retry replaces it, and nothing else ever does.
+    """
     started = time.time()
-    accepted, rejected = [], []
+    columns = retail.headers(spark, files)
+    accepted, rejected = {}, []
     for path in files:
         try:
-            retail.check_columns(retail.header(spark, path))
-            accepted.append(path)
+            retail.check_columns(columns[path])
+            accepted[path] = columns[path]
         except retail.ContractError as error:
             rejected.append((path, str(error)))
     stamp = datetime.now(timezone.utc)
     run = stamp.strftime("%Y%m%dT%H%M%S%f")
-    records = []
+    part = f"stream={stream}/batch={batch}"
+    records, staging = [], f"{events_path}-staging/{part}/{run}"
     if rejected:
         refused = spark.createDataFrame(rejected, "source_file string, error string")
         records.append(_complete(refused, status="'rejected_schema'", rows_read="0L", rows_appended="0L"))
     if accepted:
-        lines = retail.typed(retail.scan_files(spark, accepted), keep=["file_time", "source_file"])
+        lines = retail.typed(retail.scan_files(spark, list(accepted), accepted), keep=["file_time", "source_file"])
         # Written once: the record, the day span and the merge all read the cleaned rows.
-        staging = f"{events_path}-staging/batch={batch}"
         clean_events(lines, rules, by=["file_time", "source_file"]).write.mode("overwrite").parquet(staging)
         cleaned = spark.read.parquet(staging)
         facts = run_record(lines, cleaned, ["source_file"], rules)
@@ -68,23 +75,44 @@ def ingest_files(spark: SparkSession, files: list[str], events_path: str, log_pa
             records.append(_complete(facts, status="'dry_run'", rows_appended="0L"))
         else:
             span = cleaned.agg(F.min("event_date"), F.max("event_date")).first()
-            table = stored_events(spark, events_path)
-            before = table.where(F.col("batch") < batch)
+            own = F.col("stream").eqNullSafe(F.lit(stream)) & (F.col("batch") == batch)
+            before = stored_events(spark, events_path).where(~own)
             appended = new_events(in_days_of(before, *span) if span[0] else before, cleaned, prefer=["file_time", "source_file"])
-            target = f"{events_path}/batch={batch}"
+            target = f"{events_path}/{part}"
             appended.select(*EVENT_COLUMNS, "source_file").write.mode("overwrite").parquet(target)
             kept = spark.read.parquet(target).groupBy("source_file").agg(F.count("*").alias("rows_appended"))
-            total = stored_events(spark, events_path).where(F.col("batch") <= batch).count()
+            total = _rows_logged(spark, log_path, part) + (kept.agg(F.sum("rows_appended")).first()[0] or 0)
             joined = facts.join(F.broadcast(kept), "source_file", "left").withColumn("rows_appended", F.coalesce("rows_appended", F.lit(0)))
             records.append(_complete(joined, status="'ok'", rows_appended="rows_appended", warehouse_rows=f"{total}L",
                                      rows_deduplicated="rows_after_cleaning - rows_appended"))
     out = records[0]
-    for part in records[1:]:
-        out = out.unionByName(part)
+    for record in records[1:]:
+        out = out.unionByName(record)
     seconds = round(time.time() - started, 3)
     out = out.withColumns({
         "run_id": F.lit(run), "ingested_at_utc": F.lit(stamp.isoformat()).cast("timestamp"), "dry_run": F.lit(dry_run), "duration_s": F.lit(seconds)})
-    out.select(*RUN_LOG_SCHEMA.fieldNames()).write.mode("overwrite").json(f"{log_path}/batch={batch}")
+    # Dry runs have a log of their own and leave the records of real runs alone.
+    home = f"{dry_log(log_path)}/{part}/run={run}" if dry_run else f"{log_path}/{part}"
+    out.select(*RUN_LOG_SCHEMA.fieldNames()).write.mode("overwrite").json(home)
+    _delete(spark, staging)
+
+
+def dry_log(log_path: str) -> str:
+    """Where dry runs of a log are recorded."""
+    return f"{log_path.rstrip('/')}-dry"
+
+
+def _rows_logged(spark: SparkSession, log_path: str, part: str) -> int:
+    """Rows appended by all other batches, from their records: one row per file, however large the event table is."""
+    if not _exists(spark, log_path):
+        return 0
+    log = run_log(spark, log_path).where(~F.col("_metadata.file_path").contains(f"/{part}/"))
+    return log.agg(F.sum("rows_appended")).first()[0] or 0
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def _complete(facts: DataFrame, **columns: str) -> DataFrame:
@@ -104,7 +132,9 @@ def start(spark: SparkSession, incoming: str, events_path: str, log_path: str, c
         # At most ``files_per_batch`` names.
         names = [r.path for r in listing.collect()]
         if names:
-            ingest_files(spark, names, events_path, log_path, number, rules)
+            # A new checkpoint is a new stream: its batch numbers start again, its id does not.
+            stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+            ingest_files(spark, names, events_path, log_path, number, rules, stream=stream)
 
     listing = (
         spark.readStream.format("binaryFile").schema(_LISTING).option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)

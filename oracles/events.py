@@ -60,7 +60,8 @@ SELECT row_number() OVER w AS rank, customer_id, u::DOUBLE / 10000 AS revenue, r
     "revenue_top_share": f"""WITH {EV}, c AS (SELECT customer_id, sum({units('line_revenue')}) AS u FROM ev WHERE NOT is_return GROUP BY 1),
 r AS (SELECT row_number() OVER w AS rank, count(*) OVER () AS n, sum(u) OVER w AS cum, sum(u) OVER () AS total FROM c WINDOW w AS (ORDER BY u DESC, customer_id))
 SELECT n, rank AS n_top, round(100.0::DOUBLE * cum / total, 4) AS pct_revenue FROM r WHERE rank = CAST(floor(n * 0.2::DOUBLE) AS BIGINT) + 1""",
-    "ingest_volume_alert": """WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n_rows FROM events GROUP BY 1),
+    "ingest_volume_alert": """WITH c AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n_rows FROM events WHERE ts IS NOT NULL GROUP BY 1),
+d AS (SELECT g.day, coalesce(n_rows, 0) AS n_rows FROM (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM c) g LEFT JOIN c USING (day)),
 m AS (SELECT *, quantile_cont(n_rows::DOUBLE, 0.5) OVER (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS median_before FROM d)
 SELECT *, coalesce(n_rows < 0.5 * median_before, false) AS alert FROM m""",
 }

@@ -1,6 +1,6 @@
 """SQL for profiles, drift, data quality and the retraining policy."""
 
-from ebbtide.contracts import FAMILY, FEATURES, NUMERIC, RANGES, _CATALOGUE
+from ebbtide.contracts import FAMILY, FEATURES, NUMERIC, RANGES, feature_rows
 from ebbtide.settings import STAR
 from oracles.base import EV, training
 from oracles.evaluation import auc
@@ -81,8 +81,8 @@ def rollup(source: str, by: str = "", confirmed: str = "") -> str:
 
 def shifted(source: str) -> str:
     hi = STAR.ranges["recency_days"][1]
-    money = ", ".join(f"{f} * 3.0::DOUBLE AS {f}" for f in ("revenue_30d", "revenue_90d", "revenue_180d", "lifetime_revenue", "aov_90d"))
-    return f"SELECT * REPLACE ({money}, least(greatest(recency_days + 60, 0), {hi}) AS recency_days) FROM {source}"
+    money = ", ".join(f"{f} * 5.0::DOUBLE AS {f}" for f in ("revenue_30d", "revenue_90d", "revenue_180d", "lifetime_revenue", "aov_90d"))
+    return f"SELECT * REPLACE ({money}, least(greatest(recency_days + 45, 0), {hi}) AS recency_days) FROM {source}"
 
 
 def findings(source: str, ranges: dict, by: str = "") -> str:
@@ -97,10 +97,10 @@ def findings(source: str, ranges: dict, by: str = "") -> str:
     return " UNION ALL ".join(f"({p})" for p in parts)
 
 
-FAULTY = """SELECT * REPLACE (CASE WHEN CAST(customer_id AS BIGINT) % 2 = 0 THEN NULL ELSE revenue_90d END AS revenue_90d,
-  CASE WHEN CAST(customer_id AS BIGINT) % 7 = 0 THEN 4.2 ELSE active_days_ratio END AS active_days_ratio, 1.0 AS orders_30d) FROM te"""
+FAULTY = """SELECT * REPLACE (CASE WHEN CAST(customer_id AS BIGINT) % 3 = 0 THEN NULL ELSE lifetime_revenue END AS lifetime_revenue,
+  CASE WHEN CAST(customer_id AS BIGINT) % 11 = 0 THEN -0.5 ELSE product_breadth_ratio END AS product_breadth_ratio, 77.0 AS tenure_days) FROM te"""
 WORST = "CASE WHEN count(*) FILTER (severity = 'alert') > 0 THEN 'alert' WHEN count(*) > 0 THEN 'warn' ELSE 'ok' END"
-CATALOGUE = "cat AS (SELECT * FROM (VALUES " + ", ".join(f"('{r[0]}', '{r[1]}', '{r[3]}', '{r[4]}')" for r in _CATALOGUE) + ") c(feature, family, type, availability))"
+CATALOGUE = "cat AS (SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{f}', {'NULL' if d is None else d}::INT, {r})" for n, f, d, r in feature_rows()) + ") c(feature, family, window_days, reaged))"
 
 
 SCORES = f"""WITH {SCORED}, sr AS (SELECT 'p' AS feature, p, p AS value FROM scored WHERE model = 'recency_rule' AND fold = 'train'),
@@ -134,7 +134,7 @@ SQL = {
     "ref_profile_bins": f"{PROFILE} SELECT feature, CAST(bin AS INTEGER) AS bin, round(lo, 6) AS lo, round(hi, 6) AS hi, round(expected_pct, 6) AS expected_pct FROM ex",
     "ref_profile_categorical": f"{T} SELECT 'country_grp' AS feature, country_grp AS level, count(*) AS n, round(count(*) / (SELECT count(*) FROM tr)::DOUBLE, 6) AS expected_pct, 0.0::DOUBLE AS null_rate FROM tr GROUP BY country_grp",
     "ref_profile_target": f"{T} SELECT count(*) AS n_rows, round(avg(churn_90d), 6) AS base_rate FROM tr",
-    "profile_by_family": f"{PROFILE}, {CATALOGUE} SELECT family, type, availability, count(*) AS n_features, round(avg(null_rate), 6) AS mean_null_rate FROM prof JOIN cat USING (feature) GROUP BY ALL",
+    "profile_by_family": f"{PROFILE}, {CATALOGUE} SELECT family, window_days, reaged, count(*) AS n_features, round(avg(null_rate), 6) AS mean_null_rate FROM prof JOIN cat USING (feature) GROUP BY ALL",
     "psi_numeric": f"{PROFILE}, {psi('te', 'ps')} SELECT feature, round(psi, 6) AS psi, {SEV} AS severity FROM ps WHERE feature <> 'country_grp'",
     "psi_categorical": f"""{PROFILE}, tx AS (SELECT * REPLACE (CASE WHEN country_grp = 'Other' THEN 'Elsewhere' ELSE country_grp END AS country_grp) FROM te), {psi('tx', 'ps')}
 SELECT feature, round(psi, 6) AS psi, (SELECT n_unseen FROM ps_bt) AS n_unseen, {SEV} AS severity FROM ps WHERE feature = 'country_grp'""",

@@ -15,9 +15,9 @@ from ebbtide.streaming import daily_drops
 
 HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country"
 GOOD = [
-    "536365,85123A,HOLDER,6,12/1/2011 10:00,2.55,17850.0,United Kingdom",
-    "536366,POST,POSTAGE,1,12/1/2011 10:00,18.0,17850,United Kingdom",
-    "C536367,85123A,HOLDER,-1,12/1/2011 10:05,2.55,17850,United Kingdom",
+    "7001,LAMP1,LAMP,6,3/7/2019 8:30,3.10,4711.0,Norway",
+    "7002,POST,POSTAGE,1,3/7/2019 8:30,18.0,4711,Norway",
+    "C7003,LAMP1,LAMP,-1,3/7/2019 8:45,3.10,4711,Norway",
 ]
 
 
@@ -32,7 +32,7 @@ def _lines(spark, rows):
     return spark.createDataFrame(rows, schema)
 
 
-T = datetime(2011, 12, 1, 10)
+T = datetime(2019, 3, 7, 8, 30)
 
 
 def test_rules_and_unknown_values(spark):
@@ -73,11 +73,11 @@ def test_empty_input(spark):
 
 def test_text_scan_with_bom_and_moved_columns(spark, tmp_path):
     first = _file(tmp_path, "a.csv", GOOD)
-    moved = _file(tmp_path, "b.csv", ["United Kingdom,9,A,x,2,12/2/2011 9:00,1.5,12,extra"],
+    moved = _file(tmp_path, "b.csv", ["Norway,9,A,x,2,3/8/2019 9:00,1.5,12,extra"],
                   "Country,InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Channel", bom=False)
     rows = by(retail.typed(retail.scan_files(spark, [first, moved]), keep=["source_file"]), "invoice_no")
-    assert len(rows) == 4 and rows["9"].country == "United Kingdom" and rows["9"].unit_price == 1.5
-    assert rows["536365"].event_ts == datetime(2011, 12, 1, 10) and rows["536365"].customer_id == "17850.0"
+    assert len(rows) == 4 and rows["9"].country == "Norway" and rows["9"].unit_price == 1.5
+    assert rows["7001"].event_ts == datetime(2019, 3, 7, 8, 30) and rows["7001"].customer_id == "4711.0"
     assert rows["9"].source_file.endswith("b.csv")
 
 
@@ -91,7 +91,7 @@ def test_contract(spark, tmp_path):
 
 
 def test_bad_timestamp_aborts_or_nulls(spark, tmp_path):
-    raw = retail.scan_file(spark, _file(tmp_path, "t.csv", ["1,A,x,1,2011-12-01 10:00,2,7,UK"]))
+    raw = retail.scan_file(spark, _file(tmp_path, "t.csv", ["1,A,x,1,2019-03-01 10:00,2,7,UK"]))
     with pytest.raises(Exception, match="(?i)parse"):
         retail.typed(raw).collect()
     assert retail.typed(raw, strict=False).first().event_ts is None
@@ -126,19 +126,19 @@ def test_stream(spark, tmp_path):
     incoming.mkdir()
     paths = [str(tmp_path / n) for n in ("events", "log", "checkpoint")]
     run = lambda: daily_drops.start(spark, str(incoming), *paths).awaitTermination()
-    _file(incoming, "transactions_2011-12-01.csv", GOOD)
+    _file(incoming, "transactions_2019-03-01.csv", GOOD)
     run()
-    _file(incoming, "transactions_2011-12-02.csv", GOOD[:1] + ["9,A,x,2,12/2/2011 9:00,1.5,12,France"])
-    _file(incoming, "transactions_2011-12-03.csv", ["1,2"], "InvoiceNo,StockCode")
+    _file(incoming, "transactions_2019-03-02.csv", GOOD[:1] + ["9,A,x,2,3/8/2019 9:00,1.5,12,France"])
+    _file(incoming, "transactions_2019-03-03.csv", ["1,2"], "InvoiceNo,StockCode")
     run()
     run()
     log = sorted((r.source_file.split("_")[-1], r.status, r.rows_read, r.rows_appended, r.rows_deduplicated) for r in daily_drops.run_log(spark, paths[1]).collect())
-    assert log == [("2011-12-01.csv", "ok", 3, 2, 0), ("2011-12-02.csv", "ok", 2, 1, 1), ("2011-12-03.csv", "rejected_schema", 0, 0, None)]
+    assert log == [("2019-03-01.csv", "ok", 3, 2, 0), ("2019-03-02.csv", "ok", 2, 1, 1), ("2019-03-03.csv", "rejected_schema", 0, 0, None)]
     stored = daily_drops.stored_events(spark, paths[0])
-    assert sorted(r.invoice_no for r in stored.collect()) == ["536365", "9", "C536367"]
+    assert sorted(r.invoice_no for r in stored.collect()) == ["7001", "9", "C7003"]
     first = daily_drops.run_log(spark, paths[1]).where("rows_read = 3").first()
     assert first.rows_rejected_by_rule["drop_non_product_stock_codes"] == 1 and first.warehouse_rows == 2
-    assert first.gross_revenue == pytest.approx(12.75)
+    assert first.gross_revenue == pytest.approx(15.5)
 
 
 def test_retried_batch_stores_rows_once(spark, tmp_path):
@@ -154,6 +154,53 @@ def test_retried_batch_stores_rows_once(spark, tmp_path):
     assert merge.rows_since(daily_drops.run_log(spark, log), "2000-01-01").first().rows_since == 2
 
 
+def _stored(spark, path):
+    return sorted(r.invoice_no for r in daily_drops.stored_events(spark, path).collect())
+
+
+def test_restart_with_a_new_checkpoint_loses_nothing(spark, tmp_path):
+    incoming = tmp_path / "in"
+    incoming.mkdir()
+    events, log = str(tmp_path / "events"), str(tmp_path / "log")
+    line = lambda n: f"{n},CUP,cup,1,3/{n}/2019 9:00,2,12,Norway"
+    _file(incoming, "a.csv", [line(1), line(2)])
+    daily_drops.start(spark, str(incoming), events, log, str(tmp_path / "one")).awaitTermination()
+    (incoming / "a.csv").unlink()
+    _file(incoming, "b.csv", [line(2), line(3)])
+    _file(incoming, "c.csv", ["1"], "InvoiceNo")
+    _file(incoming, "d.csv", [line(4)])
+    daily_drops.start(spark, str(incoming), events, log, str(tmp_path / "two"), files_per_batch=8).awaitTermination()
+    assert _stored(spark, events) == ["1", "2", "3", "4"]
+    assert sorted(r.status for r in daily_drops.run_log(spark, log).collect()) == ["ok", "ok", "ok", "rejected_schema"]
+    assert daily_drops.run_log(spark, log).agg(F.max("warehouse_rows")).first()[0] == 4
+
+
+def test_lines_without_a_time_are_stored_once(spark, tmp_path):
+    path = _file(tmp_path, "x.csv", ["1,CUP,cup,1,,2,12,Norway", "2,CUP,cup,1,3/7/2019 9:00,2,12,Norway"])
+    events, log = str(tmp_path / "events"), str(tmp_path / "log")
+    for batch in range(3):
+        daily_drops.ingest_files(spark, [path], events, log, batch)
+    assert _stored(spark, events) == ["1", "2"]
+
+
+def test_dry_run_leaves_real_records(spark, tmp_path):
+    path = _file(tmp_path, "x.csv", GOOD)
+    events, log = str(tmp_path / "events"), str(tmp_path / "log")
+    daily_drops.ingest_files(spark, [path], events, log, 0)
+    daily_drops.ingest_files(spark, [path], events, log, 0, dry_run=True)
+    assert [(r.status, r.rows_appended) for r in daily_drops.run_log(spark, log).collect()] == [("ok", 2)]
+    assert [r.status for r in daily_drops.run_log(spark, daily_drops.dry_log(log)).collect()] == ["dry_run"]
+    assert not list(Path(f"{events}-staging").rglob("*.parquet"))
+
+
+def test_outage_day_alerts(spark):
+    from ebbtide.operators.explore import volume_alerts
+
+    rows = spark.sql("SELECT timestamp'2020-01-01' + make_interval(0, 0, 0, cast(id / 10 AS int)) AS ts FROM range(100)").where("date(ts) <> date'2020-01-06'")
+    got = {str(r.day): (r.n_rows, r.alert) for r in volume_alerts(rows, "ts").collect()}
+    assert len(got) == 10 and got["2020-01-06"] == (0, True) and sum(a for _, a in got.values()) == 1
+
+
 def test_log_sink(spark, tmp_path):
     from ebbtide.contracts import RUN_LOG_SCHEMA
 

@@ -112,7 +112,7 @@ def test_quality(spark, train):
     assert M.quality_findings(train).count() == 0
     batch = train.withColumn("i", F.substring(CUSTOMER, 2, 9).cast("int")).withColumns({
         "revenue_90d": F.when(F.col("i") < 201, F.lit(None).cast("double")).otherwise(F.col("revenue_90d")),
-        "active_days_ratio": F.when(F.col("i") < 51, F.lit(4.2)).otherwise(F.col("active_days_ratio")),
+        "active_days_ratio": F.when(F.col("i") < 51, F.lit(1.5)).otherwise(F.col("active_days_ratio")),
         "product_breadth_ratio": F.when(F.col("i") < 1, F.lit(-1.0)).otherwise(F.col("product_breadth_ratio")),
         "orders_90d": F.lit(1.0), "revenue_30d": F.when(F.col("i") < 400, F.lit(float("nan"))).otherwise(F.col("revenue_30d")),
     }).drop("i")

@@ -120,9 +120,9 @@ def test_squashed_scores_keep_the_ranking_but_fail_calibration(spark):
     scored = _scored(spark, [(int(rng.random() < p), p) for p in [rng.random() for _ in range(300)]])
     panel = by(ranking.metric_panel(campaign.damaged_scores(scored)), "model")
     whole = ranking.metric_panel(scored).first()
-    assert panel["miscalibrated_m"].roc_auc == pytest.approx(whole.roc_auc)
-    assert panel["miscalibrated_m"].brier > whole.brier + 0.05
-    assert panel["noisy_ranking_m"].roc_auc < whole.roc_auc - 0.05
+    assert panel["overconfident_m"].roc_auc == pytest.approx(whole.roc_auc)
+    assert panel["overconfident_m"].brier > whole.brier + 0.05
+    assert panel["scrambled_m"].roc_auc < whole.roc_auc - 0.05
 
 
 def test_decisions(spark):
