@@ -35,7 +35,7 @@ from ebbtide.llm.words import SPACED, cut, mix, pieces, span_hashes
 
 SHINGLE = 4
 PERCENT = 85
-PART_POSTINGS = 2 << 20  # postings of one part of the inverted lists
+PART_POSTINGS = 1 << 20  # postings of one part of the inverted lists, and those a task packs at once
 BLOCK = 512  # sets of one block of a candidate group
 BUCKET_ROWS = 2048  # sets that a verifying task takes at once
 MOST_SUBSETS = 5000  # a set beyond so many subsets is never small
@@ -116,6 +116,24 @@ def postings(docs: DataFrame, least: int, parts: int) -> DataFrame:
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            ids, sizes, hashes = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            owner = np.repeat(np.arange(len(ids)), sizes)
+            part = (hashes >> np.uint64(33)).astype(np.int64) % parts
+            order = np.lexsort((owner, part))
+            hashes, owner, part = hashes[order], owner[order], part[order]
+            edges = np.searchsorted(part, np.arange(parts + 1))
+            rows = []
+            for p in np.flatnonzero(np.diff(edges)).tolist():
+                a, b = edges[p], edges[p + 1]
+                own, counts = np.unique(owner[a:b], return_counts=True)
+                rows.append((p, _bytes(ids[own]), _bytes(sizes[own].astype(np.int32)), _bytes(counts.astype(np.int32)), _bytes(hashes[a:b])))
+            if rows:
+                yield _packed(rows)
+
         for batch in pieces(batches):
             s = Sets(batch.column("text"))
             _, at = np.unique(s.ids, return_index=True)
@@ -125,19 +143,11 @@ def postings(docs: DataFrame, least: int, parts: int) -> DataFrame:
                 done.clear()
             sizes = s.sizes[at]
             pick = np.repeat(s.first[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
-            hashes, owner = s.values[pick], np.repeat(np.arange(len(at)), sizes)
-            part = (hashes >> np.uint64(33)).astype(np.int64) % parts
-            order = np.lexsort((owner, part))
-            hashes, owner, part = hashes[order], owner[order], part[order]
-            edges = np.searchsorted(part, np.arange(parts + 1))
-            rows = []
-            for p in range(parts):
-                a, b = edges[p], edges[p + 1]
-                if a < b:
-                    own, counts = np.unique(owner[a:b], return_counts=True)
-                    rows.append((p, _bytes(s.ids[at[own]]), _bytes(sizes[own].astype(np.int32)), _bytes(counts.astype(np.int32)), _bytes(hashes[a:b])))
-            if rows:
-                yield _packed(rows)
+            held.append((s.ids[at], sizes, s.values[pick]))
+            if sum(len(h[2]) for h in held) >= PART_POSTINGS:
+                yield from flush()
+        if held:
+            yield from flush()
 
     return docs.select("text").mapInArrow(job, _BLOCKS)
 

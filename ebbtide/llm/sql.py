@@ -20,3 +20,35 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN hits USING (doc_id) LEFT JOIN owners USING (doc_id)
 """
+
+_BASE32 = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+# Five hexadecimal digits are twenty bits, which are four letters of base 32.
+_LETTERS = "||".join(f"substr({_BASE32}, CAST((CAST('0x' || substr(h, {5 * k + 1}, 5) AS BIGINT) >> {15 - 5 * j}) & 31 AS INT) + 1, 1)" for k in range(8) for j in range(4))
+
+SQL["op7_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+t AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS top FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_LETTERS} AS payload_digest,
+       CASE WHEN top IS NULL OR page_id IS NOT DISTINCT FROM top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN top IS NULL OR page_id IS NOT DISTINCT FROM top THEN NULL ELSE top END AS refers_to
+FROM t
+"""
+
+SQL["op5_chat_formatting"] = """
+WITH t AS (
+  SELECT conv_id, turn, role, text, conv_id || ':' || turn AS id, coalesce(role IN ('assistant', 'tool'), false) AS is_result,
+         CASE role WHEN 'system' THEN 'configure' WHEN 'user' THEN 'reply' END AS name,
+         CASE WHEN coalesce(role IN ('assistant', 'tool'), false) THEN conv_id || ':' || (turn - 1) END AS call_id
+  FROM conversations),
+turns AS (SELECT DISTINCT conv_id, turn FROM t WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+islands AS (SELECT conv_id, turn, turn - row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS island FROM turns),
+depths AS (SELECT conv_id, turn, turn - min(turn) OVER (PARTITION BY conv_id, island) AS depth, turn > 0 AND turn = min(turn) OVER (PARTITION BY conv_id, island) AS dangling FROM islands),
+calls AS (SELECT id, arg_min(name, (name, role, text)) AS name FROM t WHERE NOT is_result AND id IS NOT NULL GROUP BY id),
+answers AS (SELECT r.call_id, count(*) AS n FROM t r JOIN calls c ON r.call_id = c.id GROUP BY 1)
+SELECT t.conv_id, t.turn, CASE WHEN is_result THEN 'result' ELSE 'call' END AS kind, coalesce(depth, 0) AS depth, t.call_id, coalesce(n, 0) AS n_results,
+  CASE WHEN dangling THEN 'dangling' WHEN NOT is_result AND n IS NULL THEN 'open' WHEN is_result AND c.id IS NULL THEN 'unanswerable' ELSE 'linked' END AS status,
+  CASE WHEN is_result THEN '' WHEN t.name IS NULL THEN 'unknown tool ' WHEN text IS NULL THEN 'missing ' || CASE t.name WHEN 'reply' THEN 'prompt' ELSE 'instructions' END ELSE '' END AS errors,
+  CASE WHEN is_result THEN '{"call_id":' || coalesce(to_json(t.call_id)::VARCHAR, 'null') || ',"content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"id":' || coalesce(to_json(t.id)::VARCHAR, 'null') || ',"name":' || coalesce(to_json(c.name)::VARCHAR, 'null') || ',"type":"result"}'
+       ELSE '{"arguments":{' || CASE WHEN text IS NULL THEN '' ELSE CASE WHEN t.role = 'system' THEN '"instructions":' ELSE '"prompt":' END || to_json(text)::VARCHAR || ',' END || '"turn":' || t.turn || '},"id":' || coalesce(to_json(t.id)::VARCHAR, 'null') || ',"name":' || coalesce(to_json(t.name)::VARCHAR, 'null') || ',"type":"call"}' END AS json
+FROM t LEFT JOIN depths d ON d.conv_id = t.conv_id AND d.turn = t.turn LEFT JOIN calls c ON c.id = t.call_id LEFT JOIN answers a ON a.call_id = t.id AND NOT is_result
+"""

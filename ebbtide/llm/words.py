@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 4 << 20  # texts handled at once in a task; a longer text is handled on its own
+PIECE_BYTES = 1 << 20  # texts handled at once in a task; a longer text is handled on its own
 
 _BYTE = np.arange(256)
 LOWER = np.where((_BYTE >= 65) & (_BYTE <= 90), _BYTE + 32, _BYTE).astype(np.uint8)
