@@ -234,10 +234,10 @@ def extra_window(events: DataFrame, asofs: list[str], days: int) -> DataFrame:
         f"orders_{days}d": "cast(count(invoice_no) AS double)", f"revenue_{days}d": money_sql("sum(u)")})
 
 
-def align_features(frame: DataFrame, strict: bool = True) -> DataFrame:
-    """The contract columns in order; a missing one is an error, or a default when not strict."""
+def align_features(frame: DataFrame, strict: bool = True, keep: list[str] = []) -> DataFrame:
+    """The contract columns in order, after those to keep; a missing one is an error, or a default when not strict."""
     missing = [f for f in FEATURES if f not in frame.columns]
     if missing and strict:
         raise ValueError(f"missing feature columns: {missing}")
     default = {f: F.lit("Unknown") if f not in NUMERIC else F.lit(0.0) for f in missing}
-    return frame.select(*[default[f].alias(f) if f in default else F.col(f) for f in FEATURES])
+    return frame.select(*keep, *[default[f].alias(f) if f in default else F.col(f) for f in FEATURES])

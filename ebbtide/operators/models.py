@@ -15,6 +15,7 @@ from ebbtide.contracts import ASOF, CUSTOMER, FAMILY, FEATURES, LABEL, NUMERIC
 from ebbtide.functions.ordered import ranked
 from ebbtide.operators.ranking import rank_metrics
 from ebbtide.operators.scoring import prior_score, recency_score
+from ebbtide.session import checkpoint_folder
 
 POOLED = "__infrequent__"
 MIN_LEVEL_ROWS = 20
@@ -87,29 +88,34 @@ def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 2000, tol: fl
 
 
 def _boosting(rounds: int, s: BoostingSettings, seed: int) -> GBTClassifier:
+    # A checkpoint every tenth round cuts the lineage, which would otherwise grow with every tree.
     return GBTClassifier(
         featuresCol="features", labelCol=LABEL, maxIter=rounds, stepSize=s.step, maxDepth=s.depth, minInstancesPerNode=s.min_leaf,
-        subsamplingRate=s.subsample, featureSubsetStrategy=s.feature_share, seed=seed, cacheNodeIds=False)
+        subsamplingRate=s.subsample, featureSubsetStrategy=s.feature_share, seed=seed, cacheNodeIds=False, checkpointInterval=10)
 
 
 def tune_rounds(train: DataFrame, settings: BoostingSettings = BoostingSettings(), seed: int = 42) -> dict:
     """Boosting rounds found on an inner split in time: all but the last as-of day fit, the last decides.
 
-    The validation fold stays untouched. The count grows with the ratio of rows for the final fit.
+    Boosting stops by itself when another tree makes the held loss worse, and keeps the trees up to the best
+    one. With a single as-of day a fifth of its customers, by hash, is held instead. The validation fold stays
+    untouched. The count grows with the ratio of rows for the final fit.
     """
     days = [r[0] for r in train.select(ASOF).distinct().orderBy(ASOF).collect()]
-    if len(days) < 2:
-        return {"tuned": False, "rounds": settings.max_rounds, "cap": settings.max_rounds}
-    inner, held = train.where(F.col(ASOF) < F.lit(days[-1])), train.where(F.col(ASOF) == F.lit(days[-1]))
+    held = F.col(ASOF) == F.lit(days[-1]) if len(days) > 1 else F.pmod(F.xxhash64(CUSTOMER), F.lit(5)) == 0
+    marked = train.withColumn("held", held)
+    inner = marked.where(~F.col("held"))
     prepared = Pipeline(stages=preprocessing(inner, scale=False)).fit(inner)
-    probe = _boosting(settings.max_rounds, settings, seed).fit(prepared.transform(inner))
-    losses = probe.evaluateEachIteration(prepared.transform(held))
-    best = min(range(len(losses)), key=losses.__getitem__) + 1
+    checkpoint_folder(train.sparkSession)
+    probe = _boosting(settings.max_rounds, settings, seed).setValidationIndicatorCol("held")
+    probe = probe.copy({probe.validationTol: 0.0})
+    best = probe.fit(prepared.transform(marked)).getNumTrees
     rounds = max(int(best * train.count() / max(inner.count(), 1)), settings.least_rounds)
     return {"tuned": True, "best_inner": best, "rounds": rounds, "cap": settings.max_rounds}
 
 
 def fit_boosted(train: DataFrame, rounds: int, settings: BoostingSettings = BoostingSettings(), seed: int = 42) -> PipelineModel:
+    checkpoint_folder(train.sparkSession)
     return Pipeline(stages=[*preprocessing(train, scale=False), _boosting(rounds, settings, seed)]).fit(train)
 
 
@@ -121,10 +127,10 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
 def fit_isotonic(valid_scores: DataFrame) -> IsotonicRegressionModel:
     """Monotone map from scores to observed rates on the validation fold; the base model stays as it is.
 
-    Scores are put into cells of one millionth, weighted by their rows. That bounds the points the
-    fitting step brings together, whatever the size of the fold.
+    Rows with equal scores are one weighted point; MLlib pools violators inside partitions before it brings
+    the remaining blocks together.
     """
-    cells = valid_scores.groupBy(F.round("p", 6).alias("p")).agg(F.avg(LABEL).alias("rate"), F.count("*").cast("double").alias("rows"))
+    cells = valid_scores.groupBy("p").agg(F.avg(LABEL).alias("rate"), F.count("*").cast("double").alias("rows"))
     return IsotonicRegression(featuresCol="p", labelCol="rate", weightCol="rows", predictionCol="calibrated").fit(cells)
 
 
@@ -132,18 +138,17 @@ def calibrate(model: IsotonicRegressionModel, scores: DataFrame) -> DataFrame:
     return model.transform(scores).withColumn("p", F.col("calibrated")).drop("calibrated")
 
 
-def fit_tiers(table: DataFrame, settings: BoostingSettings = BoostingSettings(), seed: int = 42) -> DataFrame:
+def score_tiers(table: DataFrame, logistic: PipelineModel, boosted: PipelineModel) -> DataFrame:
     """Scored rows of the four tiers: base rate, recency rule, logistic regression, calibrated boosted trees.
 
     Everything is learned on the train fold, calibration on the validation fold.
     """
     train, valid = table.where("fold = 'train'"), table.where("fold = 'valid'")
-    boosted = fit_boosted(train, tune_rounds(train, settings, seed)["rounds"], settings, seed)
     isotonic = fit_isotonic(predict(boosted, valid))
     tiers = {
         "trivial_prior": table.withColumn("p", prior_score(train)),
         "heuristic_recency": table.withColumn("p", recency_score(train)),
-        "baseline_logistic": predict(fit_logistic(train), table),
+        "baseline_logistic": predict(logistic, table),
         "candidate_boosted": calibrate(isotonic, predict(boosted, table)),
     }
     parts = [rows.select(F.lit(name).alias("model"), "fold", ASOF, CUSTOMER, F.col(LABEL).alias("y"), "p") for name, rows in tiers.items()]
@@ -153,6 +158,12 @@ def fit_tiers(table: DataFrame, settings: BoostingSettings = BoostingSettings(),
     return out
 
 
+def fit_tiers(table: DataFrame, settings: BoostingSettings = BoostingSettings(), seed: int = 42) -> DataFrame:
+    """``score_tiers`` with models fitted on the spot."""
+    train = table.where("fold = 'train'")
+    return score_tiers(table, fit_logistic(train), fit_boosted(train, tune_rounds(train, settings, seed)["rounds"], settings, seed))
+
+
 def permutation_importance(model: PipelineModel, rows: DataFrame, repeats: int = 5, seed: int = 42) -> DataFrame:
     """(feature, auc_drop_mean, auc_drop_std): loss of AUC when one column is shuffled.
 

@@ -123,22 +123,21 @@ def log_by_model(log: DataFrame) -> DataFrame:
 
 
 def operational_metrics(log: DataFrame, rules: ServingRules = ServingRules()) -> DataFrame:
-    """Latency percentiles, breach flag, mean probability and positive rate of the latest predictions,
-    and miss and staleness counts over the whole log.
-
-    The recent window is a fixed number of rows: a top-k, so each task keeps at most that many.
-    """
-    recent = log.where(~F.col("lookup_miss")).orderBy(F.desc("served_at"), F.desc("request_id")).limit(rules.recent_window)
-    window = recent.agg(
-        F.count("*").alias("n_recent"), F.avg("latency_ms").alias("latency_mean"),
-        F.percentile("latency_ms", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))).alias("_q"),
-        F.avg("probability").alias("mean_probability"), F.avg(F.col("prediction").cast("double")).alias("positive_rate"))
-    whole = log.agg(
+    """Per day of the log: requests, misses, stale servings, and latency percentiles, breach flag, mean
+    probability and positive rate of the predictions that were made."""
+    daily = log.withColumn("day", F.to_date("served_at"))
+    made = daily.where(~F.col("lookup_miss"))
+    whole = daily.groupBy("day").agg(
         F.count("*").alias("requests_total"), F.count_if("lookup_miss").alias("lookup_misses"),
         F.count_if(F.col("feature_staleness_days") > 0).alias("stale_servings"))
-    quantile = lambda i: F.round(F.element_at("_q", i), 6)
-    return attach_row(window, whole).select(
-        "requests_total", "lookup_misses", "stale_servings", "n_recent", F.round("latency_mean", 6).alias("latency_mean"),
-        quantile(1).alias("latency_p50"), quantile(2).alias("latency_p95"), quantile(3).alias("latency_p99"),
-        (F.element_at("_q", 2) > rules.latency_slo_ms).alias("slo_breached"),
+    means = made.groupBy(F.col("day").alias("m_day")).agg(
+        F.count("*").alias("n_predictions"), F.avg("latency_ms").alias("latency_mean"),
+        F.avg("probability").alias("mean_probability"), F.avg(F.col("prediction").cast("double")).alias("positive_rate"))
+    quantiles = exact_quantiles(made, "latency_ms", [(1, 2), (19, 20), (99, 100)], ["day"]).select(F.col("day").alias("q_day"), "quantiles")
+    quantile = lambda i: F.round(F.get("quantiles", F.lit(i)), 6)
+    joined = whole.join(means, F.col("day").eqNullSafe(F.col("m_day")), "left").join(quantiles, F.col("day").eqNullSafe(F.col("q_day")), "left")
+    return joined.select(
+        "day", "requests_total", "lookup_misses", "stale_servings", F.coalesce("n_predictions", F.lit(0)).alias("n_predictions"), F.round("latency_mean", 6).alias("latency_mean"),
+        quantile(0).alias("latency_p50"), quantile(1).alias("latency_p95"), quantile(2).alias("latency_p99"),
+        (F.get("quantiles", F.lit(1)) > rules.latency_slo_ms).alias("slo_breached"),
         F.round("mean_probability", 6).alias("mean_probability"), F.round("positive_rate", 6).alias("positive_rate"))

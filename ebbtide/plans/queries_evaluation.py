@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ebbtide.contracts import ASOF, CUSTOMER
 from ebbtide.operators import campaign, ranking
@@ -108,9 +108,8 @@ def model_comparison(spark: SparkSession, folder: str) -> DataFrame:
 
 def _with_incumbent(panel: DataFrame) -> DataFrame:
     """The linear scorer plays the live model, the recency rule has none to compare with."""
-    live = panel.where("model = 'linear_fixed'").select("fold", F.col("roc_auc").alias("live_auc"))
-    return panel.join(F.broadcast(live), "fold").withColumn(
-        "incumbent_auc", F.when(F.col("model") != "recency_rule", F.col("live_auc")))
+    live = F.max(F.when(F.col("model") == "linear_fixed", F.col("roc_auc"))).over(W.partitionBy("fold"))
+    return panel.withColumn("incumbent_auc", F.when(F.col("model") != "recency_rule", live))
 
 
 @query

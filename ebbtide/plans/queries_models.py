@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ebbtide.contracts import ASOF, CUSTOMER, LABEL
-from ebbtide.operators import campaign, models, outcomes, ranking, scoring
+from ebbtide.operators import aging, campaign, features, models, outcomes, ranking, scoring
 from ebbtide.plans.queries_features import shown
 from ebbtide.plans.registry import query
 from ebbtide.settings import STAR
 from ebbtide.sources.stages import Stages
 
-# Boosting with few rounds, to keep a single query short; the settings default to 600.
-QUICK = models.BoostingSettings(max_rounds=10, least_rounds=5)
-
-
 def _folds(spark: SparkSession, folder: str) -> DataFrame:
     return Stages(spark, folder).training()
 
@@ -33,26 +29,24 @@ def rare_level_pooling(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def train_logreg(spark: SparkSession, folder: str) -> DataFrame:
-    table = _folds(spark, folder)
-    scored = _as_scored(models.predict(models.fit_logistic(table.where("fold = 'train'")), table), "baseline_logistic")
-    return ranking.rank_metrics(scored)
+    stages = Stages(spark, folder)
+    return ranking.rank_metrics(_as_scored(models.predict(stages.logistic(), stages.training()), "baseline_logistic"))
 
 
 @query
 def train_gbt(spark: SparkSession, folder: str) -> DataFrame:
-    table = _folds(spark, folder)
-    train = table.where("fold = 'train'")
-    found = models.tune_rounds(train, QUICK, STAR.seed)
-    model = models.fit_boosted(train, found["rounds"], QUICK, STAR.seed)
-    scored = _as_scored(models.predict(model, table), "candidate_boosted")
+    """Boosted trees with the searched number of rounds."""
+    stages = Stages(spark, folder)
+    scored = _as_scored(models.predict(stages.boosted(), stages.training()), "candidate_boosted")
+    found = stages.rounds().first()
     return ranking.rank_metrics(scored).withColumns({"rounds": F.lit(found["rounds"]), "configured_cap": F.lit(found["cap"])})
 
 
 @query
 def calibrate_isotonic(spark: SparkSession, folder: str) -> DataFrame:
     """Brier score per fold before and after calibrating the logistic scores on the validation fold."""
-    table = _folds(spark, folder)
-    rows = models.predict(models.fit_logistic(table.where("fold = 'train'")), table)
+    stages = Stages(spark, folder)
+    rows = models.predict(stages.logistic(), stages.training())
     fitted = models.fit_isotonic(rows.where("fold = 'valid'"))
     before, after = _as_scored(rows, "raw"), _as_scored(models.calibrate(fitted, rows), "calibrated")
     return ranking.threshold_metrics(before.unionByName(after)).select("model", "fold", "n", "brier", "log_loss")
@@ -60,34 +54,54 @@ def calibrate_isotonic(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def scored_long(spark: SparkSession, folder: str) -> DataFrame:
-    """All four tiers fitted and scored; rows and mean score per model and fold."""
-    scored = models.fit_tiers(_folds(spark, folder), QUICK, STAR.seed)
-    return scored.groupBy("model", "fold").agg(F.count("*").alias("n"), F.avg("y").alias("base_rate"), F.avg("p").alias("mean_p"))
+    """All four tiers scored; rows and mean score per model and fold."""
+    return Stages(spark, folder).fitted().groupBy("model", "fold").agg(F.count("*").alias("n"), F.avg("y").alias("base_rate"), F.avg("p").alias("mean_p"))
+
+
+@query
+def fitted_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistical metrics of the four tiers, fitted ones included."""
+    return shown(ranking.metric_panel(Stages(spark, folder).fitted()))
 
 
-def _importance(spark: SparkSession, folder: str) -> DataFrame:
-    table = _folds(spark, folder)
-    model = models.fit_logistic(table.where("fold = 'train'"))
-    return models.permutation_importance(model, table.where("fold = 'valid'"), repeats=5, seed=STAR.seed)
+@query
+def fitted_campaign(spark: SparkSession, folder: str) -> DataFrame:
+    """Campaign value of the four tiers."""
+    return shown(campaign.campaign_value(Stages(spark, folder).fitted(), STAR.economics))
+
+
+@query
+def fitted_gates(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether a tier may be promoted over the logistic model, which is the live one."""
+    panel = ranking.metric_panel(Stages(spark, folder).fitted())
+    live = F.max(F.when(F.col("model") == "baseline_logistic", F.col("roc_auc"))).over(W.partitionBy("fold"))
+    return campaign.promotion_decision(campaign.gate_checks(panel.withColumn("incumbent_auc", live), STAR.gates))
+
+
+@query
+def fitted_stability(spark: SparkSession, folder: str) -> DataFrame:
+    """Metrics of the four tiers per as-of day."""
+    return shown(ranking.snapshot_stability(Stages(spark, folder).fitted()))
 
 
 @query
 def perm_importance(spark: SparkSession, folder: str) -> DataFrame:
-    return _importance(spark, folder)
+    return Stages(spark, folder).importance()
 
 
 @query
 def importance_by_family(spark: SparkSession, folder: str) -> DataFrame:
-    return models.importance_by_family(_importance(spark, folder))
+    return models.importance_by_family(Stages(spark, folder).importance())
 
 
 @query
 def score_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole feature store scored by the logistic pipeline, with decisions."""
+    """The whole feature store re-aged to a week after it was built, scored by the stored logistic model, with decisions."""
     stages = Stages(spark, folder)
-    model = models.fit_logistic(stages.training().where("fold = 'train'"))
-    store = stages.feature_store()
-    return scoring.decide(models.predict(model, store).select(CUSTOMER, "p"), STAR.serving, STAR.economics)
+    moment = F.date_add(F.lit(STAR.system_asof).cast("date"), 7)
+    store = aging.reage(stages.feature_store(), moment, ranges=STAR.ranges)
+    rows = features.align_features(store, keep=[CUSTOMER])
+    return scoring.decide(models.predict(stages.logistic(), rows).select(CUSTOMER, "p"), STAR.serving, STAR.economics)
 
 
 @query

@@ -28,6 +28,12 @@ def local_session(cpus: int | str = "*", app: str = "ebbtide", memory: str = "8g
     return spark
 
 
+def checkpoint_folder(spark: SparkSession) -> None:
+    """Give the Spark context a checkpoint folder where the cluster's own setting has not done so."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by the cluster; a private one only in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -85,7 +85,6 @@ class ServingRules:
     high_risk: float = 0.70
     medium_risk: float = 0.40
     latency_slo_ms: float = 150.0
-    recent_window: int = 5000
     top_contributions: int = 5
 
 

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbtide.contracts import ASOF, CUSTOMER, FEATURES
-from ebbtide.operators import monitoring, scoring, snapshots
+from ebbtide.operators import models, monitoring, scoring, snapshots
 from ebbtide.operators.features import asof_features, top_countries
 from ebbtide.settings import STAR, Settings
 from ebbtide.sources import star
-from ebbtide.sources.warehouse import Warehouse, by_day
+from ebbtide.sources.warehouse import Warehouse, by_day, source_state
 
 
 class Stages:
     def __init__(self, spark: SparkSession, folder: str, settings: Settings = STAR):
         self.spark, self.folder, self.settings = spark, folder, settings
-        self._tables = Warehouse(spark, folder.rstrip("/"))
+        self._tables = Warehouse(spark, f"{folder.rstrip('/')}|{settings!r}|{source_state(spark, folder)}")
 
     def events(self) -> DataFrame:
         return self._tables.table("events", lambda: by_day(star.canonical_events(self.spark, self.folder)))
@@ -39,6 +40,33 @@ class Stages:
     def scored(self) -> DataFrame:
         return self._tables.table("scored", lambda: scoring.scored_long(self.training()))
 
+    def logistic(self) -> PipelineModel:
+        return self._tables.model("logistic", lambda: models.fit_logistic(self.training().where("fold = 'train'")))
+
+    def rounds(self) -> DataFrame:
+        """One row: what the round search found."""
+        def found() -> DataFrame:
+            return self.spark.createDataFrame([models.tune_rounds(self.training().where("fold = 'train'"), seed=self.settings.seed)])
+
+        return self._tables.table("rounds", found)
+
+    def boosted(self) -> PipelineModel:
+        def fit() -> PipelineModel:
+            return models.fit_boosted(self.training().where("fold = 'train'"), self.rounds().first()["rounds"], seed=self.settings.seed)
+
+        return self._tables.model("boosted", fit)
+
+    def fitted(self) -> DataFrame:
+        """Scored rows of the four tiers, by the stored models."""
+        return self._tables.table("fitted", lambda: models.score_tiers(self.training(), self.logistic(), self.boosted()))
+
+    def importance(self) -> DataFrame:
+        """Permutation importance of the stored logistic model on the validation fold."""
+        def build() -> DataFrame:
+            return models.permutation_importance(self.logistic(), self.training().where("fold = 'valid'"), repeats=5, seed=self.settings.seed)
+
+        return self._tables.table("importance", build)
+
     def profile(self) -> monitoring.Profile:
         """The training profile, frozen when first needed and only read afterwards."""
         train = self.training().where("fold = 'train'")

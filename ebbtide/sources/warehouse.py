@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from hashlib import sha256
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from ebbtide.session import shared_folder
@@ -17,12 +18,29 @@ from ebbtide.session import shared_folder
 _SCHEMAS: dict = {}
 
 
+def source_state(spark: SparkSession, folder: str) -> str:
+    """Names, sizes and times of the tables in a folder: other files make other stage tables."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [(f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files.listStatus(path)] if files.exists(path) else []
+    return repr(sorted(found))
+
+
 class Warehouse:
+    """Stage tables and fitted models of one set of inputs and settings; ``name`` must tell both."""
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         key = sha256(name.encode()).hexdigest()[:12]
         self.root = f"{shared_folder(spark)}/ebbtide/{spark.sparkContext.applicationId}/{key}"
 
+    def model(self, name: str, fit: Callable[[], PipelineModel]) -> PipelineModel:
+        """The fitted model ``name``: loaded when it was saved before, else fitted and saved."""
+        path = f"{self.root}/models/{name}"
+        if not self._done(f"{path}/metadata"):
+            fit().write().overwrite().save(path)
+        return PipelineModel.load(path)
+
     def _done(self, path: str) -> bool:
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
         return hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop)

@@ -17,8 +17,7 @@ chosen AS (SELECT rank, customer_id, p, risk_band, expected_value FROM ranked WH
 LOG = f"""{SCORES}, log AS (SELECT event_id AS request_id, CAST(user_id AS VARCHAR) AS customer_id, ts AS served_at, value AS latency_ms, event_type AS model_id,
   p AS probability, CAST(p >= 0.5 AS INTEGER) AS prediction, p IS NULL AS lookup_miss,
   greatest(date_diff('day', DATE '2024-01-15', CAST(ts AS DATE)), 0) AS feature_staleness_days
-  FROM events LEFT JOIN ss ON ss.customer_id = CAST(user_id AS VARCHAR)),
-recent AS (SELECT * FROM log WHERE NOT lookup_miss ORDER BY served_at DESC, request_id DESC LIMIT 5000)"""
+  FROM events LEFT JOIN ss ON ss.customer_id = CAST(user_id AS VARCHAR))"""
 D0, D1 = "2001-05-01", "2001-05-08"
 LO, HI = STAR.ranges["recency_days"]
 
@@ -62,11 +61,11 @@ SELECT customer_id, {rounded(REAGED)}, age AS feature_staleness_days, 'feature_s
   round(sum(CAST(expected_value AS DECIMAL(18,3)))::DOUBLE, 3) AS total_expected_value FROM chosen""",
     "score_summary": f"{SCORES} SELECT count(*) AS n, round(avg(p), 6) AS mean_p, round(median(p), 6) AS p50 FROM ss",
     "predlog_by_model": f"""{LOG} SELECT model_id, count(*) AS n, round(avg(probability), 4) AS mean_prob, round(avg(latency_ms), 4) AS mean_latency_ms FROM log GROUP BY 1""",
-    "ops_metrics": f"""{LOG}, w AS (SELECT count(*) AS n_recent, round(avg(latency_ms), 6) AS latency_mean, round(quantile_cont(latency_ms, 0.5), 6) AS latency_p50,
+    "ops_metrics": f"""{LOG}, w AS (SELECT CAST(served_at AS DATE) AS day, count(*) AS n_predictions, round(avg(latency_ms), 6) AS latency_mean, round(quantile_cont(latency_ms, 0.5), 6) AS latency_p50,
   round(quantile_cont(latency_ms, 0.95), 6) AS latency_p95, round(quantile_cont(latency_ms, 0.99), 6) AS latency_p99, quantile_cont(latency_ms, 0.95) > 150 AS slo_breached,
-  round(avg(probability), 6) AS mean_probability, round(avg(prediction), 6) AS positive_rate FROM recent),
-a AS (SELECT count(*) AS requests_total, count(*) FILTER (lookup_miss) AS lookup_misses, count(*) FILTER (feature_staleness_days > 0) AS stale_servings FROM log)
-SELECT * FROM a, w""",
+  round(avg(probability), 6) AS mean_probability, round(avg(prediction), 6) AS positive_rate FROM log WHERE NOT lookup_miss GROUP BY 1),
+a AS (SELECT CAST(served_at AS DATE) AS day, count(*) AS requests_total, count(*) FILTER (lookup_miss) AS lookup_misses, count(*) FILTER (feature_staleness_days > 0) AS stale_servings FROM log GROUP BY 1)
+SELECT * REPLACE (coalesce(n_predictions, 0) AS n_predictions) FROM a LEFT JOIN w USING (day)""",
     "flagship": f"""WITH {SCORED}, s AS (SELECT *, row_number() OVER (ORDER BY p DESC, customer_id) AS rank, count(*) OVER () AS n FROM scored
   WHERE model = 'recency_rule' AND snapshot_date = DATE '2001-01-31')
 SELECT rank, s.customer_id, round(p, 6) AS p, CASE WHEN p >= 0.70 THEN 'high' WHEN p >= 0.40 THEN 'medium' ELSE 'low' END AS risk_band,
