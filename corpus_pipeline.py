@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ebbtide.llm import bpe, decontaminate, jaccard, linededup, quality
-from ebbtide.llm.shared import written
+from ebbtide.llm.shared import ship, written
 
 #: Encoding cannot be written in SQL; the stages are tested against brute force.
 ORACLE_SQL = None
@@ -17,26 +17,31 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    ship(spark)
     return quality.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without runs of lines that stand earlier in the corpus."""
+    ship(spark)
     return linededup.deduplicated(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near duplicates: the one with the smallest id."""
+    ship(spark)
     return jaccard.representatives(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that also stand in benchmark items."""
+    ship(spark)
     return decontaminate.removed(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of the text decoded from them."""
+    ship(spark)
     return bpe.encoded(docs)
 
 

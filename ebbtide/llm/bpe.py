@@ -17,6 +17,7 @@ import json
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import sha256
+from io import BytesIO
 from itertools import chain
 from uuid import uuid4
 
@@ -26,7 +27,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ebbtide.llm.shared import new_folder, store
+from ebbtide.llm.shared import put
 from ebbtide.llm.words import buffers, pieces
 
 LEXICON_WORDS = 1 << 17  # bound of the transducer; other words are merged on their own
@@ -279,23 +280,16 @@ class Lexicon:
 
 def publish(spark: SparkSession, arrays: dict[str, np.ndarray]) -> str:
     """Put the lexicon's files where every executor can fetch and map them; returns their common name."""
-    name = f"lexicon-{uuid4().hex[:12]}"
-    files, folder = store(new_folder(spark, "lexicon"))
-    files.create_dir(folder, recursive=True)
-    scheme = "" if files.type_name == "local" else spark.conf.get("spark.checkpoint.dir").split("/")[0] + "//"
+    name, files = f"lexicon-{uuid4().hex[:12]}", {}
     for key in Lexicon.ARRAYS:
-        path = f"{folder}/{name}-{key}.npy"
-        with files.open_output_stream(path) as out:
-            np.save(_Writable(out), np.ascontiguousarray(arrays[key]), allow_pickle=False)
-        spark.sparkContext.addFile(f"{scheme}{path}")
+        out = BytesIO()
+        np.save(out, np.ascontiguousarray(arrays[key]), allow_pickle=False)
+        files[f"{name}-{key}.npy"] = out.getvalue()
+    for uri in put(spark, "lexicon", files):
+        spark.sparkContext.addFile(uri)
     return name
 
 
-class _Writable:
-    def __init__(self, stream):
-        self.write = stream.write
-
-
 _mapped: dict[str, Lexicon] = {}
 
 
@@ -389,10 +383,6 @@ def lexicon_of(docs: DataFrame, vocabulary: Vocabulary, size: int = LEXICON_WORD
     return publish(docs.sparkSession, Lexicon.build(frequent_words(docs, size), vocabulary))
 
 
-def _slim(known: tuple) -> int:
-    return len(known[0])
-
-
 def encoded(docs: DataFrame, path: str | None = None, lexicon_words: int = LEXICON_WORDS, with_ids: bool = True) -> DataFrame:
     """Per document: doc_id, n_tokens, ids (when asked for), and digests of the ids and of the text decoded from them."""
     path = path or vocabulary_file()

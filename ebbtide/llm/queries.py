@@ -3,19 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ebbtide.llm import bpe, decontaminate, jaccard, licenses, linededup, lm, quality, sharding, toolcalls, warc
-from ebbtide.llm.shared import new_folder
+from ebbtide.llm.shared import new_folder, ship
 from ebbtide.llm.sql import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def _query(function):
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from io import BytesIO
+from pathlib import Path
 from uuid import uuid4
+from zipfile import ZipFile
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import ebbtide
 from ebbtide.session import shared_folder
 
 
@@ -20,6 +24,32 @@ def store(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path if ":" in path.split("/")[0] else f"file://{path}")
 
 
+def put(spark: SparkSession, name: str, files: dict[str, bytes]) -> list[str]:
+    """Write small files to a fresh shared folder; returns their URIs, for executors to fetch."""
+    folder = new_folder(spark, name)
+    system, path = store(folder)
+    system.create_dir(path, recursive=True)
+    for file, content in files.items():
+        with system.open_output_stream(f"{path}/{file}", compression=None) as out:
+            out.write(content)
+    return [f"{folder}/{file}" for file in files]
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once an application, for those that do not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        top, packed = Path(ebbtide.__file__).parent, BytesIO()
+        with ZipFile(packed, "w") as out:
+            for file in sorted(top.rglob("*.py")):
+                out.write(file, file.relative_to(top.parent).as_posix())
+        context.addPyFile(put(spark, "code", {f"ebbtide-{uuid4().hex[:8]}.zip": packed.getvalue()})[0])
+        _shipped.add(context.applicationId)
+
+
 def written(frame: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder: cuts the lineage, survives lost executors."""
     path = new_folder(frame.sparkSession, name)
