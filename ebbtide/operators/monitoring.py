@@ -154,9 +154,9 @@ def severity(psi: Column, thresholds: MonitorThresholds) -> Column:
 
 
 def ks_two_sample(reference: DataFrame, batch: DataFrame, thresholds: MonitorThresholds = MonitorThresholds()) -> DataFrame:
-    """(feature, n_ref, n_batch, ks_stat, ks_pvalue): largest gap between the two distribution functions.
+    """(feature, n_ref, n_batch, ks_stat, ks_pvalue, low_power): largest gap between the two distribution functions.
 
-    The p-value is the asymptotic Kolmogorov series; small batches get neither number.
+    The p-value is the asymptotic Kolmogorov series; batches too small for it to say much are marked.
     """
     both = long_values(reference).selectExpr("feature", "value", "1L AS r", "0L AS b").unionByName(
         long_values(batch).selectExpr("feature", "value", "0L AS r", "1L AS b")).where("value IS NOT NULL")
@@ -167,9 +167,9 @@ def ks_two_sample(reference: DataFrame, batch: DataFrame, thresholds: MonitorThr
     lam = "sqrt(cast(n_ref AS double) * n_batch / (n_ref + n_batch)) * d"
     series = "2D * aggregate(sequence(1, 100), 0D, (acc, k) -> acc + CASE WHEN k % 2 = 1 THEN 1D ELSE -1D END * exp(-2D * k * k * lam * lam))"
     p = f"CASE WHEN lam < 0.04D THEN 1D ELSE least(greatest({series}, 0D), 1D) END"
-    enough = f"n_batch >= {thresholds.ks_min_rows} AND n_ref > 0"
+    enough = "n_batch > 0 AND n_ref > 0"
     return stat.withColumn("lam", F.expr(lam)).selectExpr(
-        "feature", "n_ref", "n_batch", f"CASE WHEN {enough} THEN d END AS ks_stat", f"CASE WHEN {enough} THEN {p} END AS ks_pvalue")
+        "feature", "n_ref", "n_batch", f"CASE WHEN {enough} THEN d END AS ks_stat", f"CASE WHEN {enough} THEN {p} END AS ks_pvalue", f"n_batch < {thresholds.ks_min_rows} AS low_power")
 
 
 def feature_drift(profile: Profile, train: DataFrame, batch: DataFrame, thresholds: MonitorThresholds = MonitorThresholds()) -> DataFrame:
@@ -277,34 +277,35 @@ def quality_rollup(findings: DataFrame) -> DataFrame:
 
 def suite(profile: Profile, batch: DataFrame, name: str, reference_scores: DataFrame | None = None, batch_scores: DataFrame | None = None,
           ranges: dict = RANGES, thresholds: MonitorThresholds = MonitorThresholds()) -> DataFrame:
-    """(batch, check, severity, passed), one row per check and an overall row with the action to take.
+    """(batch, check, severity, passed, low_power), one row per check and an overall row with the action to take.
 
-    A schema break ends the suite before any data is read; drift is skipped on batches that are too small.
+    A schema break ends the suite before any data is read; drift of small batches is reported and marked.
     The status of the drift check follows from PSI alone; ``feature_drift`` has the details per feature.
     """
     schema = schema_findings(batch)
     broken = bool(schema["missing"] or schema["wrong_type"])
     spark = batch.sparkSession
-    one = spark.range(1).select(F.lit("schema").alias("check"), F.lit("alert" if broken else "ok").alias("severity"))
+    sure = F.lit(False).alias("low_power")
+    one = spark.range(1).select(F.lit("schema").alias("check"), F.lit("alert" if broken else "ok").alias("severity"), sure)
     if broken:
-        checks = one.unionByName(spark.range(1).select(F.lit("data_quality").alias("check"), F.lit("skipped").alias("severity")))
+        checks = one.unionByName(spark.range(1).select(F.lit("data_quality").alias("check"), F.lit("skipped").alias("severity"), sure))
     else:
-        quality = quality_rollup(quality_findings(batch, ranges, thresholds)).select(F.lit("data_quality").alias("check"), "severity")
+        quality = quality_rollup(quality_findings(batch, ranges, thresholds)).select(F.lit("data_quality").alias("check"), "severity", sure)
         size = batch.agg(F.count("*")).scalar()
         drift = drift_rollup(psi_table(profile, batch, [], thresholds), thresholds).select(
-            F.lit("feature_drift").alias("check"), F.when(size < thresholds.min_rows, F.lit("skipped")).otherwise(F.col("severity")).alias("severity"))
+            F.lit("feature_drift").alias("check"), "severity", (size < thresholds.min_rows).alias("low_power"))
         checks = one.unionByName(quality).unionByName(drift)
         if reference_scores is not None and batch_scores is not None:
-            scores = prediction_drift(reference_scores, batch_scores, thresholds).select(F.lit("prediction_drift").alias("check"), "severity")
+            scores = prediction_drift(reference_scores, batch_scores, thresholds).select(F.lit("prediction_drift").alias("check"), "severity", sure)
             checks = checks.unionByName(scores)
     order = F.create_map(*[x for s, r in RANK.items() for x in (F.lit(s), F.lit(r))])
     # At most four checks: listed once, so that the overall row does not run them again.
     worst = F.max(F.struct(F.element_at(order, F.col("severity")).alias("r"), "severity"))["severity"]
-    listed = checks.agg(F.collect_list(F.struct("check", "severity")).alias("each"), worst.alias("worst"))
-    rows = listed.select(F.inline(F.concat("each", F.array(F.struct(F.lit("overall").alias("check"), F.col("worst").alias("severity"))))))
+    listed = checks.agg(F.collect_list(F.struct("check", "severity", "low_power")).alias("each"), worst.alias("worst"), F.bool_or("low_power").alias("weak"))
+    rows = listed.select(F.inline(F.concat("each", F.array(F.struct(F.lit("overall").alias("check"), F.col("worst").alias("severity"), F.col("weak").alias("low_power"))))))
     action = F.when(F.col("check") == "overall", F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in ACTIONS.items() for x in kv]), F.col("severity")), F.lit("no action")))
     passed = F.when(F.col("check") == "data_quality", ~F.col("severity").isin("alert", "skipped")).otherwise(F.col("severity").isin("ok", "skipped"))
-    return rows.select(F.lit(name).alias("batch"), "check", "severity", passed.alias("passed"), action.alias("action"))
+    return rows.select(F.lit(name).alias("batch"), "check", "severity", passed.alias("passed"), action.alias("action"), "low_power")
 
 
 # --- damaged batches for negative controls -------------------------------------------------------

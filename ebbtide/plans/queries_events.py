@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -31,9 +31,10 @@ def events_until(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def daily_partitions(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per day of the last 90 days with events, the unit of the by-day sink."""
-    days = retail.day_range(Stages(spark, folder).events(), last_days=90)
-    return days.groupBy("event_date").agg(F.count("*").alias("n_rows"))
+    """All events written by day and read back: rows per day."""
+    path = _scratch(spark, "by-day")
+    retail.write_by_day(Stages(spark, folder).events(), path)
+    return spark.read.parquet(path).groupBy("event_date").agg(F.count("*").alias("n_rows"))
 
 
 @query
@@ -60,8 +61,9 @@ def merge_new_events(spark: SparkSession, folder: str) -> DataFrame:
     """A later, overlapping delivery merged into the events up to a day: the rows it adds."""
     cleaned = cleaning.clean_events(_lines(spark, folder))
     existing = cleaned.where(F.col("event_date") <= F.lit(CUT).cast("date"))
-    incoming = cleaned.where(F.col("event_date") > F.date_sub(F.lit(CUT).cast("date"), 30))
-    return merge.new_events(merge.in_days_of(existing, date(2001, 3, 2), date(2001, 12, 31)), incoming)
+    first = date.fromisoformat(CUT) - timedelta(days=29)
+    incoming = cleaned.where(F.col("event_date") >= F.lit(first))
+    return merge.new_events(merge.in_days_of(existing, first, date.max), incoming)
 
 
 @query

@@ -169,7 +169,7 @@ def monitoring_suite(spark: SparkSession, folder: str) -> DataFrame:
         M.suite(profile, late, "injected", scores[0], late_scores, STAR.ranges, STAR.monitor),
         M.suite(profile, batch.drop("orders_90d"), "lost_column", ranges=STAR.ranges, thresholds=STAR.monitor),
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("batch", "check", "severity", "passed")
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("batch", "check", "severity", "passed", "low_power")
 
 
 @query

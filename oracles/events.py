@@ -5,8 +5,7 @@ from oracles.base import EV, RAW, units
 SQL = {
     "events_canonical": f"WITH {EV} SELECT * FROM ev",
     "events_until": f"WITH {EV} SELECT * FROM ev WHERE event_date <= DATE '2000-08-31'",
-    "daily_partitions": f"""WITH {EV}, days AS (SELECT DISTINCT event_date FROM ev ORDER BY 1 DESC LIMIT 90)
-SELECT event_date, count(*) AS n_rows FROM ev WHERE event_date >= (SELECT min(event_date) FROM days) GROUP BY 1""",
+    "daily_partitions": f"WITH {EV} SELECT event_date, count(*) AS n_rows FROM ev GROUP BY 1",
     "clean_events": f"WITH {RAW} SELECT * FROM clean",
     "cleaning_audit": f"""WITH {RAW},
 c AS (SELECT count(*) AS n0, count(*) FILTER (failed = 1) AS f1, count(*) FILTER (failed = 2) AS f2, count(*) FILTER (failed = 3) AS f3,

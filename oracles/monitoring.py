@@ -61,7 +61,7 @@ kt AS (SELECT *, sum(r) OVER w AS cr, sum(b) OVER w AS cb, sum(r) OVER (PARTITIO
   FROM kc WINDOW w AS (PARTITION BY feature ORDER BY value)),
 kd AS (SELECT feature, CAST(n_ref AS BIGINT) AS n_ref, CAST(n_batch AS BIGINT) AS n_batch, max(abs(cr / n_ref::DOUBLE - cb / n_batch::DOUBLE)) AS d FROM kt GROUP BY ALL),
 kl AS (SELECT *, sqrt(n_ref::DOUBLE * n_batch / (n_ref + n_batch)) * d AS lam FROM kd),
-ks AS (SELECT feature, n_ref, n_batch, CASE WHEN n_batch >= 20 THEN d END AS ks_stat, CASE WHEN n_batch >= 20 THEN CASE WHEN lam < 0.04 THEN 1 ELSE
+ks AS (SELECT feature, n_ref, n_batch, n_batch < 20 AS low_power, CASE WHEN n_batch > 0 AND n_ref > 0 THEN d END AS ks_stat, CASE WHEN n_batch > 0 AND n_ref > 0 THEN CASE WHEN lam < 0.04 THEN 1 ELSE
   least(greatest(2 * list_sum(list_transform(range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 1 ELSE -1 END * exp(-2.0 * k * k * lam * lam))), 0), 1) END END AS ks_pvalue FROM kl)"""
 
 DRIFT = f"""{PROFILE}, {KS}, {psi('te', 'ps')}, {quantiles('lte', 'bq', [(1, 2)])},
@@ -138,7 +138,7 @@ SQL = {
     "psi_numeric": f"{PROFILE}, {psi('te', 'ps')} SELECT feature, round(psi, 6) AS psi, {SEV} AS severity FROM ps WHERE feature <> 'country_grp'",
     "psi_categorical": f"""{PROFILE}, tx AS (SELECT * REPLACE (CASE WHEN country_grp = 'Other' THEN 'Elsewhere' ELSE country_grp END AS country_grp) FROM te), {psi('tx', 'ps')}
 SELECT feature, round(psi, 6) AS psi, (SELECT n_unseen FROM ps_bt) AS n_unseen, {SEV} AS severity FROM ps WHERE feature = 'country_grp'""",
-    "ks_two_sample": f"{PROFILE}, {KS} SELECT feature, n_ref, n_batch, round(ks_stat, 6) AS ks_stat, round(ks_pvalue, 6) AS ks_pvalue FROM ks",
+    "ks_two_sample": f"{PROFILE}, {KS} SELECT feature, n_ref, n_batch, round(ks_stat, 6) AS ks_stat, round(ks_pvalue, 6) AS ks_pvalue, low_power FROM ks",
     "feature_drift": f"""{DRIFT} SELECT feature, kind, {', '.join(f'round({c}, 6) AS {c}' for c in ('psi', 'ks_stat', 'ks_pvalue', 'ref_mean', 'batch_mean', 'mean_shift_in_ref_sd', 'ref_p50', 'batch_p50'))},
   ks_flag, n_unseen, severity FROM drift""",
     "top_drifting": f"{DRIFT} SELECT feature, kind, round(psi, 6) AS psi, severity FROM drift ORDER BY drift.psi DESC, feature LIMIT 8",
@@ -175,9 +175,10 @@ pe AS (SELECT CASE WHEN len(u) < 3 THEN [0.5] ELSE u[2:len(u) - 1] END AS edges
 rr AS (SELECT *, {SEV} AS severity FROM pr), ri AS (SELECT *, {SEV} AS severity FROM pi), small AS (SELECT count(*) < 200 AS skip FROM te),
 checks AS (SELECT 'real' AS batch, 'schema' AS "check", 'ok' AS severity UNION ALL SELECT 'injected', 'schema', 'ok' UNION ALL SELECT 'lost_column', 'schema', 'alert'
   UNION ALL SELECT 'lost_column', 'data_quality', 'skipped' UNION ALL SELECT 'real', 'data_quality', {WORST} FROM fr UNION ALL SELECT 'injected', 'data_quality', {WORST} FROM fi
-  UNION ALL SELECT 'real', 'feature_drift', CASE WHEN skip THEN 'skipped' ELSE severity END FROM small, ({rollup('rr')})
-  UNION ALL SELECT 'injected', 'feature_drift', CASE WHEN skip THEN 'skipped' ELSE severity END FROM small, ({rollup('ri')})
+  UNION ALL SELECT 'real', 'feature_drift', severity FROM ({rollup('rr')})
+  UNION ALL SELECT 'injected', 'feature_drift', severity FROM ({rollup('ri')})
   UNION ALL SELECT 'real', 'prediction_drift', {SEV} FROM dr UNION ALL SELECT 'injected', 'prediction_drift', {SEV} FROM di),
 every AS (SELECT * FROM checks UNION ALL SELECT batch, 'overall', CASE WHEN bool_or(severity = 'alert') THEN 'alert' WHEN bool_or(severity = 'warn') THEN 'warn' ELSE 'ok' END FROM checks GROUP BY batch)
-SELECT batch, "check", severity, CASE WHEN "check" = 'data_quality' THEN severity NOT IN ('alert', 'skipped') ELSE severity IN ('ok', 'skipped') END AS passed FROM every""",
+SELECT batch, "check", severity, CASE WHEN "check" = 'data_quality' THEN severity NOT IN ('alert', 'skipped') ELSE severity IN ('ok', 'skipped') END AS passed,
+  batch <> 'lost_column' AND "check" IN ('feature_drift', 'overall') AND skip AS low_power FROM every, small""",
 }

@@ -81,7 +81,7 @@ def test_ks_by_brute_force(spark, train):
     gap = np.abs(np.searchsorted(a, points, "right") / len(a) - np.searchsorted(b, points, "right") / len(b)).max()
     assert got.ks_stat == pytest.approx(gap) and 0 <= got.ks_pvalue <= 1
     tiny = M.ks_two_sample(train, batch.limit(10)).first()
-    assert tiny.ks_stat is None and tiny.ks_pvalue is None
+    assert tiny.low_power and 0 <= tiny.ks_stat <= 1 and 0 <= tiny.ks_pvalue <= 1 and not got.low_power
 
 
 def test_near_constant_reference_has_one_bin(spark, train):
@@ -130,7 +130,8 @@ def test_suite(spark, train, profile):
     assert broken == {"schema": ("alert", False), "data_quality": ("skipped", False), "overall": ("alert", False)}
     text = M.schema_findings(train.withColumn("recency_days", F.lit("x")).withColumn("more", F.lit(1)))
     assert text == {"missing": [], "unexpected": ["more"], "wrong_type": ["recency_days"]}
-    assert status(train.limit(150))["feature_drift"] == ("skipped", True)
+    small = by(M.suite(profile, train.limit(150), "b"), "check")
+    assert small["feature_drift"].low_power and small["overall"].low_power and small["feature_drift"].severity in ("ok", "warn", "alert")
     assert status(_batch(spark, 6, shift=6.0))["overall"][0] == "alert"
 
 
