@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ebbtide.llm.components import components
 from ebbtide.llm.shared import attach, written
-from ebbtide.llm.words import SPACED, cut, mix, pieces, span_hashes
+from ebbtide.llm.words import SPACED, cut, give_back, mix, pieces, span_hashes
 
 SHINGLE = 4
 PERCENT = 85
@@ -192,6 +192,7 @@ def shared_shingles(blocks: DataFrame, targets: int) -> DataFrame:
             a, b = edges[q], edges[q + 1]
             own, at, counts = np.unique(sets[a:b], return_index=True, return_counts=True)
             rows.append((q, _bytes(own), _bytes(sizes[a:b][at].astype(np.int32)), _bytes(counts.astype(np.int32)), _bytes(hashes[a:b]), _bytes(length[a:b].astype(np.int32))))
+        give_back()
         return pa.Table.from_batches([_packed(rows)] if rows else [], schema=_PACKED)
 
     return blocks.groupBy("part").applyInArrow(job, _BLOCKS + ", lengths binary")
@@ -225,6 +226,7 @@ def survivors(shared: DataFrame, percent: int = PERCENT) -> DataFrame:
             keys = np.concatenate([mix(rare ^ mix(np.full(1, levels[k] + d, np.uint64))) for d in (0, 1)])  # the own level, and the one above
             out.append((int(sets[starts[k]]), int(n[k]), _bytes(np.sort(own)), keys.view(np.int64)))
         columns = list(zip(*out)) or [[], [], [], []]
+        give_back()
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())))], names=["set_id", "n", "shingles", "keys"])
 
     return shared.groupBy("part").applyInArrow(job, _SURVIVORS)
@@ -313,6 +315,7 @@ def verified(sets: DataFrame, groups: DataFrame, percent: int = PERCENT) -> Data
             for x, y in _links(own[:cut_at], own[cut_at:] if i[begin] != j[begin] else None, size[begin:end], percent):
                 a.append(int(node[begin + x]))
                 b.append(int(node[begin + y]))
+        give_back()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return shipped.groupBy("bucket").applyInArrow(job, "a long, b long")

@@ -6,6 +6,8 @@ or as not white space), so words can be cut on the encoded text.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -107,6 +109,13 @@ def cut(texts: pa.Array, kept: np.ndarray = LETTERS, lower: bool = True) -> Word
     return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets), span_hashes(_BYTE_CODE[shown], starts, ends))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between tasks, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most ``limit`` bytes of text each, or one row."""
     for batch in batches:
@@ -118,6 +127,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
             yield batch.slice(at, to - at)
             at = to
+    give_back()
 
 
 def strings(values: list[bytes] | list[str]) -> pa.Array:
