@@ -29,8 +29,8 @@ def realised_outcomes(log: DataFrame, events: DataFrame, now: str, horizon_days:
     return next_purchase_within(mature, events, "scored_on", horizon_days).withColumn("y", F.when(F.col("bought"), 0).otherwise(1))
 
 
-def early_engagement(contacts: DataFrame, events: DataFrame, since: str = "contacted_on", days: int = 14) -> DataFrame:
-    """Contacted customers, those who bought within the first days, and their share, per risk band."""
-    return next_purchase_within(contacts, events, since, days).groupBy("risk_band").agg(
+def early_engagement(contacts: DataFrame, events: DataFrame, since: str = "contacted_on", days: int = 14, by: list[str] = []) -> DataFrame:
+    """Contacted customers, those who bought within the first days, and their share, per risk band (and ``by``)."""
+    return next_purchase_within(contacts, events, since, days).groupBy(*by, "risk_band").agg(
         F.count("*").alias("n_contacted"), F.count_if("bought").alias("n_engaged"),
         F.round(F.avg(F.col("bought").cast("int")), 6).alias("engagement_rate"))

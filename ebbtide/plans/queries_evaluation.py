@@ -124,10 +124,12 @@ def promotion_decision(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def gate_negative_control(spark: SparkSession, folder: str) -> DataFrame:
-    damaged = campaign.damaged_scores(_scored(spark, folder).where("model = 'linear_fixed' AND fold = 'valid'"))
-    live = ranking.rank_metrics(_scored(spark, folder).where("model = 'linear_fixed' AND fold = 'valid'"))
-    panel = ranking.metric_panel(damaged).join(F.broadcast(live.select("fold", F.col("roc_auc").alias("incumbent_auc"))), "fold")
-    return campaign.gate_checks(panel, STAR.gates)
+    """Damaged versions of every model's scores against the model itself."""
+    scored = _scored(spark, folder)
+    live = ranking.rank_metrics(scored).select(F.col("model").alias("whole"), F.col("fold").alias("of_fold"), F.col("roc_auc").alias("incumbent_auc"))
+    panel = ranking.metric_panel(campaign.damaged_scores(scored))
+    same = (F.regexp_replace("model", "^(scrambled|overconfident)_", "") == F.col("whole")) & (F.col("fold") == F.col("of_fold"))
+    return campaign.gate_checks(panel.join(F.broadcast(live), same).drop("whole", "of_fold"), STAR.gates)
 
 
 @query

@@ -27,35 +27,44 @@ def rare_level_pooling(spark: SparkSession, folder: str) -> DataFrame:
     return pooled.groupBy(F.col("level_of").alias("level")).agg(F.count("*").alias("n"))
 
 
+def _checked(scored: DataFrame) -> DataFrame:
+    """Rows and base rate per fold, and whether every score is a probability."""
+    valid = F.coalesce((F.col("p") >= 0) & (F.col("p") <= 1), F.lit(False))
+    return scored.groupBy("model", "fold").agg(F.count("*").alias("n"), F.round(F.avg("y"), 6).alias("base_rate"), F.bool_and(valid).alias("p_valid"))
+
+
 @query
 def train_logreg(spark: SparkSession, folder: str) -> DataFrame:
+    """The logistic tier per fold, and its first-order condition: in training, weighted residuals add up to nothing."""
     stages = Stages(spark, folder)
-    return ranking.rank_metrics(_as_scored(models.predict(stages.logistic(), stages.training()), "baseline_logistic"))
+    scored = _as_scored(models.predict(stages.logistic(), stages.training()), "baseline_logistic")
+    class_gap = F.abs(F.avg(F.when(F.col("y") == 1, 1 - F.col("p"))) - F.avg(F.when(F.col("y") == 0, F.col("p"))))
+    settled = scored.where("fold = 'train'").agg((class_gap < 1e-3).alias("settled")).scalar()
+    return _checked(scored).withColumn("settled", settled)
 
 
 @query
 def train_gbt(spark: SparkSession, folder: str) -> DataFrame:
-    """Boosted trees with the searched number of rounds."""
+    """The boosted tier per fold, and whether the searched rounds keep their bounds."""
     stages = Stages(spark, folder)
     scored = _as_scored(models.predict(stages.boosted(), stages.training()), "candidate_boosted")
-    found = stages.rounds().first()
-    return ranking.rank_metrics(scored).withColumns({"rounds": F.lit(found["rounds"]), "configured_cap": F.lit(found["cap"])})
+    found, bounds = stages.rounds().first(), models.BoostingSettings()
+    kept = found["rounds"] >= bounds.least_rounds and found["best_inner"] <= found["cap"] == bounds.max_rounds
+    return _checked(scored).withColumn("rounds_in_bounds", F.lit(kept))
 
 
 @query
 def calibrate_isotonic(spark: SparkSession, folder: str) -> DataFrame:
-    """Brier score per fold before and after calibrating the logistic scores on the validation fold."""
-    stages = Stages(spark, folder)
-    rows = models.predict(stages.logistic(), stages.training())
-    fitted = models.fit_isotonic(rows.where("fold = 'valid'"))
-    before, after = _as_scored(rows, "raw"), _as_scored(models.calibrate(fitted, rows), "calibrated")
-    return ranking.threshold_metrics(before.unionByName(after)).select("model", "fold", "n", "brier", "log_loss")
+    """Brier score and log loss of the linear scores on the validation fold, before and after their isotonic fit."""
+    rows = Stages(spark, folder).scored().where("model = 'linear_fixed' AND fold = 'valid'").withColumnRenamed("y", LABEL)
+    before, after = _as_scored(rows, "raw"), _as_scored(models.calibrate(models.fit_isotonic(rows), rows), "calibrated")
+    return shown(ranking.threshold_metrics(before.unionByName(after)).select("model", "fold", "n", "brier", "log_loss"))
 
 
 @query
 def scored_long(spark: SparkSession, folder: str) -> DataFrame:
-    """All four tiers scored; rows and mean score per model and fold."""
-    return Stages(spark, folder).fitted().groupBy("model", "fold").agg(F.count("*").alias("n"), F.avg("y").alias("base_rate"), F.avg("p").alias("mean_p"))
+    """All four tiers scored: rows, base rate and validity per model and fold."""
+    return _checked(Stages(spark, folder).fitted())
 
 
 @query
@@ -114,10 +123,10 @@ def delayed_label_auc(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def early_engagement(spark: SparkSession, folder: str) -> DataFrame:
-    """Test-day customers by risk band and whether they bought within two weeks."""
+    """Scored customers by model, fold and risk band, and whether they bought within two weeks."""
     stages = Stages(spark, folder)
-    test = stages.scored().where("model = 'linear_fixed' AND fold = 'test'").select(CUSTOMER, F.col(ASOF).alias("contacted_on"), "p")
-    return outcomes.early_engagement(scoring.decide(test), stages.events())
+    scored = stages.scored().select("model", "fold", CUSTOMER, F.col(ASOF).alias("contacted_on"), "p")
+    return outcomes.early_engagement(scoring.decide(scored), stages.events(), by=["model", "fold"])
 
 
 @query

@@ -115,11 +115,11 @@ SELECT model, fold, round(part, 6) AS part, n, CAST(n_pos AS BIGINT) AS n_pos, r
     "promotion_gates": f"{GATES} SELECT * FROM checks",
     "promotion_decision": f"""{GATES} SELECT model, fold, bool_and(passed) AS promote, coalesce(string_agg(gate, ',' ORDER BY gate) FILTER (NOT passed), '') AS failed_gates,
   CASE WHEN bool_and(passed) THEN 'PROMOTE' ELSE 'DO_NOT_PROMOTE' END AS decision FROM checks GROUP BY model, fold""",
-    "gate_negative_control": f"""{S}, live AS (SELECT * FROM scored WHERE model = 'linear_fixed' AND fold = 'valid'), {auc('live', 'fold', 'la')},
+    "gate_negative_control": f"""{S}, live AS (SELECT * FROM scored), {auc('live', 'model, fold', 'la')},
 dam AS (SELECT 'scrambled_' || model AS model, fold, snapshot_date, customer_id, y,
     round(least(greatest(0.4::DOUBLE * p + 0.6::DOUBLE * (CAST('0x' || substr(md5(customer_id), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE), 1e-4), 1 - 1e-4), 9) AS p FROM live
   UNION ALL SELECT 'overconfident_' || model, fold, snapshot_date, customer_id, y, round(least(greatest(pow(p, 0.35::DOUBLE), 1e-4), 1 - 1e-4), 9) FROM live),
-{panel('dam')}, cand AS (SELECT panel.*, la.roc_auc AS incumbent_auc FROM panel JOIN la USING (fold)), {CHECKS} SELECT * FROM checks""",
+{panel('dam')}, cand AS (SELECT panel.*, la.roc_auc AS incumbent_auc FROM panel JOIN la ON la.fold = panel.fold AND la.model = regexp_replace(panel.model, '^(scrambled|overconfident)_', '')), {CHECKS} SELECT * FROM checks""",
     "snapshot_stability": f"{STAB} SELECT model, snapshot_date, fold, n, {_rounded(['churn_rate', 'roc_auc', 'precision_at_top_quintile'])} FROM st",
     "generalisation_gap": f"""{STAB} SELECT model, round(avg(roc_auc) FILTER (fold = 'train'), 6) AS auc_in_sample, round(avg(roc_auc) FILTER (fold <> 'train'), 6) AS auc_out_of_sample,
   round(avg(roc_auc) FILTER (fold = 'train') - avg(roc_auc) FILTER (fold <> 'train'), 6) AS gap FROM st GROUP BY model""",
