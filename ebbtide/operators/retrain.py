@@ -15,11 +15,12 @@ SIGNALS = [
 ]
 
 
-def nightly_signals(batches: DataFrame, auc: DataFrame, promotion_auc: DataFrame, drift: DataFrame, quality: DataFrame, events: DataFrame, settings: Settings) -> DataFrame:
+def nightly_signals(batches: DataFrame, auc: DataFrame, promotion_auc: DataFrame, drift: DataFrame, quality: DataFrame, events: DataFrame, settings: Settings, broken: list[date] = []) -> DataFrame:
     """Signals on the night each later snapshot's labels mature.
 
     ``batches`` has the as-of days to judge, ``auc`` (as-of, roc_auc) of the live model, ``promotion_auc``
-    one value, ``drift`` the rollup per as-of day, ``quality`` the findings per as-of day.
+    one value, from the fold it was promoted on, ``drift`` the rollup per as-of day, ``quality`` the findings
+    per as-of day, ``broken`` the as-of days whose batch does not have the contract's columns.
     """
     horizon, trained = settings.label.horizon_days, max(settings.split.train)
     nights = batches.select(ASOF).distinct().withColumn("night", F.date_add(ASOF, horizon))
@@ -36,7 +37,7 @@ def nightly_signals(batches: DataFrame, auc: DataFrame, promotion_auc: DataFrame
         .select(
             "night", F.datediff("night", F.lit(trained).cast("date")).alias("model_age_days"), mature.alias("new_labelled_snapshots"),
             "recent_auc", promotion_auc.scalar().alias("auc_at_promotion"), F.coalesce("drift_share", F.lit(0.0)).alias("drift_share"),
-            F.coalesce("drift_status", F.lit("ok")).alias("drift_status"), F.lit(True).alias("schema_ok"),
+            F.coalesce("drift_status", F.lit("ok")).alias("drift_status"), (~F.col(ASOF).isin(broken) if broken else F.lit(True)).alias("schema_ok"),
             (F.coalesce("n_alarms", F.lit(0)) == 0).alias("data_quality_ok"), F.coalesce("rows_since_training", F.lit(0)).alias("rows_since_training")))
 
 

@@ -184,9 +184,11 @@ def retrain_signals(spark: SparkSession, folder: str) -> DataFrame:
     stages, later = Stages(spark, folder), _later(spark, folder)
     rule = stages.scored().where("model = 'recency_rule'")
     auc = ranking.rank_metrics(rule.where("fold != 'train'"), [ASOF])
-    promoted = ranking.rank_metrics(rule.where("fold = 'train'"), ["model"]).select("roc_auc")
+    promoted = ranking.rank_metrics(rule.where("fold = 'valid'"), ["model"]).select("roc_auc")
     quality = M.quality_findings(later, STAR.ranges, STAR.monitor, [ASOF])
-    return shown(retrain.nightly_signals(later, auc, promoted, drift_by_snapshot(spark, folder), quality, stages.events(), STAR))
+    schema = M.schema_findings(later)
+    broken = [r[0] for r in later.select(ASOF).distinct().collect()] if schema["missing"] or schema["wrong_type"] else []
+    return shown(retrain.nightly_signals(later, auc, promoted, drift_by_snapshot(spark, folder), quality, stages.events(), STAR, broken))
 
 
 @query

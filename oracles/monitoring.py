@@ -121,7 +121,7 @@ LATER = "later AS (SELECT * FROM tt WHERE fold IN ('valid', 'purged', 'test'))"
 SIGNALS = f"""{PROFILE}, {LATER}, {psi('later', 'pl', 'snapshot_date')}, dl AS (SELECT *, {SEV} AS severity FROM pl),
 dr AS ({rollup('dl', 'snapshot_date')}), fi AS ({findings('later', STAR.ranges, 'snapshot_date')}),
 {SCORED[SCORED.index('prm AS'):]}, sx AS (SELECT * FROM scored WHERE model = 'recency_rule' AND fold <> 'train'), {auc('sx', 'snapshot_date', 'sa')},
-sp AS (SELECT * FROM scored WHERE model = 'recency_rule' AND fold = 'train'), {auc('sp', 'model', 'pa')},
+sp AS (SELECT * FROM scored WHERE model = 'recency_rule' AND fold = 'valid'), {auc('sp', 'model', 'pa')},
 nights AS (SELECT DISTINCT snapshot_date, snapshot_date + 90 AS night FROM later),
 sig AS (SELECT night, night - DATE '{LAST}' AS model_age_days, (SELECT count(*) FROM (SELECT unnest([{MONTHS}]) AS d) WHERE d + 90 <= night) AS new_labelled_snapshots,
   sa.roc_auc AS recent_auc, (SELECT roc_auc FROM pa) AS auc_at_promotion, drift_share, dr.severity AS drift_status, true AS schema_ok,
