@@ -83,8 +83,9 @@ def score_summary(scores: DataFrame) -> DataFrame:
 
 
 def feature_lookup(requests: DataFrame, store: DataFrame) -> DataFrame:
-    """Stored features for each request; one store row per customer, the latest."""
-    return requests.join(latest_per_customer(store), CUSTOMER)
+    """Each request with stored features of the customer, the latest, or marked as a miss."""
+    found = latest_per_customer(store).withColumn("_found", F.lit(True))
+    return requests.join(found, CUSTOMER, "left").withColumn("lookup_miss", F.col("_found").isNull()).drop("_found")
 
 
 def cold_start(requests: DataFrame, store: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ebbtide.contracts import SOURCE_TS_PATTERN
+from ebbtide.contracts import SOURCE_COLUMNS, SOURCE_TS_PATTERN
 from ebbtide.functions.exact import money, units
 from ebbtide.operators import cleaning, explore, merge
 from ebbtide.plans.registry import query
@@ -186,3 +186,13 @@ def revenue_top_share(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def ingest_volume_alert(spark: SparkSession, folder: str) -> DataFrame:
     return explore.volume_alerts(star.table(spark, folder, "events"), "ts")
+
+
+@query
+def schema_contract(spark: SparkSession, folder: str) -> DataFrame:
+    """The contract's columns in the raw extract: lines, and lines with a value."""
+    raw = star.raw_extract(spark, folder)
+    retail.check_columns(raw.columns)
+    filled = raw.agg(F.count("*").alias("n"), *[F.count(c).alias(c) for c in SOURCE_COLUMNS])
+    listed = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_filled")) for c in SOURCE_COLUMNS])
+    return filled.select(F.inline(listed), F.col("n").alias("n_lines"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbtide.contracts import ASOF, CUSTOMER, NUMERIC, feature_catalogue
 from ebbtide.operators import monitoring as M
-from ebbtide.operators import ranking, retrain, scoring
+from ebbtide.operators import features, ranking, retrain, scoring
 from ebbtide.plans.queries_features import shown
 from ebbtide.plans.registry import query
 from ebbtide.settings import STAR
@@ -195,3 +195,20 @@ def retrain_signals(spark: SparkSession, folder: str) -> DataFrame:
 def retrain_decision(spark: SparkSession, folder: str) -> DataFrame:
     decided = retrain.retrain_decision(retrain_signals(spark, folder), STAR.retrain)
     return decided.select("night", "should_retrain", "urgency", F.array_join("fired", ",").alias("fired"), F.array_join("blocked_by", ",").alias("blocked_by"))
+
+
+@query
+def feature_schema_check(spark: SparkSession, folder: str) -> DataFrame:
+    """What the schema check says of a batch that lost a column, gained one and has one as text, with the batch's rows."""
+    batch = _batch(spark, folder)
+    found = M.schema_findings(batch.drop("orders_90d").withColumns({"tenure_days": F.col("tenure_days").cast("string"), "note": F.lit("x")}))
+    listed = F.array(*[F.struct(F.lit(k).alias("finding"), F.lit(c).alias("column_name")) for k, cs in found.items() for c in cs])
+    return batch.where("fold IS NOT NULL").groupBy().agg(F.count("*").alias("n_rows")).select(F.inline(listed), "n_rows")
+
+
+@query
+def align_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Batch rows that arrive in another order and without two columns, put into contract order with defaults."""
+    batch = _batch(spark, folder)
+    arrived = batch.select(CUSTOMER, *sorted(set(features.FEATURES) - {"recency_days", "country_grp"}, reverse=True))
+    return shown(features.align_features(arrived, strict=False, keep=[CUSTOMER]))

@@ -18,7 +18,7 @@ STORED, LATER = "2001-05-01", "2001-05-08"
 def _requests(spark: SparkSession, folder: str) -> DataFrame:
     """One request per row of the events table; the user asks for the customer of the same number."""
     return star.table(spark, folder, "events").select(
-        F.col("event_id").alias("request_id"), F.col("user_id").cast("string").alias(CUSTOMER), F.col("ts").alias("served_at"),
+        F.col("event_id").alias("request_id"), (F.col("user_id") * 11).cast("string").alias(CUSTOMER), F.col("ts").alias("served_at"),
         F.col("value").alias("latency_ms"), F.col("event_type").alias("model_id"))
 
 
@@ -45,7 +45,7 @@ def feature_store(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def feature_lookup(spark: SparkSession, folder: str) -> DataFrame:
     found = scoring.feature_lookup(_requests(spark, folder), Stages(spark, folder).feature_store())
-    return shown(found.select("request_id", CUSTOMER, "recency_days", "orders_90d", "revenue_180d", "country_grp"))
+    return shown(found.select("request_id", CUSTOMER, "recency_days", "orders_90d", "revenue_180d", "country_grp", "lookup_miss"))
 
 
 @query

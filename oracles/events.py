@@ -63,4 +63,6 @@ SELECT n, rank AS n_top, round(100.0::DOUBLE * cum / total, 4) AS pct_revenue FR
 d AS (SELECT g.day, coalesce(n_rows, 0) AS n_rows FROM (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM c) g LEFT JOIN c USING (day)),
 m AS (SELECT *, quantile_cont(n_rows::DOUBLE, 0.5) OVER (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS median_before FROM d)
 SELECT *, coalesce(n_rows < 0.5 * median_before, false) AS alert FROM m""",
+    "schema_contract": f"WITH {RAW} SELECT unnest(['InvoiceNo', 'StockCode', 'Description', 'Quantity', 'InvoiceDate', 'UnitPrice', 'CustomerID', 'Country']) AS column_name, "
+    "unnest([count(invoice_no), count(stock_code), count(description), count(quantity), count(event_ts), count(unit_price), count(customer_id), count(country)]) AS n_filled, count(*) AS n_lines FROM raw",
 }

@@ -181,4 +181,6 @@ checks AS (SELECT 'real' AS batch, 'schema' AS "check", 'ok' AS severity UNION A
 every AS (SELECT * FROM checks UNION ALL SELECT batch, 'overall', CASE WHEN bool_or(severity = 'alert') THEN 'alert' WHEN bool_or(severity = 'warn') THEN 'warn' ELSE 'ok' END FROM checks GROUP BY batch)
 SELECT batch, "check", severity, CASE WHEN "check" = 'data_quality' THEN severity NOT IN ('alert', 'skipped') ELSE severity IN ('ok', 'skipped') END AS passed,
   batch <> 'lost_column' AND "check" IN ('feature_drift', 'overall') AND skip AS low_power FROM every, small""",
+    "feature_schema_check": f"""{T} SELECT unnest(['missing', 'unexpected', 'unexpected', 'wrong_type']) AS finding, unnest(['orders_90d', 'fold', 'note', 'tenure_days']) AS column_name, count(*) AS n_rows FROM te""",
+    "align_features": f"""{T} SELECT customer_id, 0.0::DOUBLE AS recency_days, 'Unknown' AS country_grp, {', '.join(f'round({c}, 6) AS {c}' for c in NUMERIC if c != 'recency_days')} FROM te""",
 }

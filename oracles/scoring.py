@@ -14,10 +14,10 @@ dd AS (SELECT customer_id, p, 0.5::DOUBLE AS threshold, CAST(p >= 0.5 AS INTEGER
   round(p * 0.30::DOUBLE * 45.0::DOUBLE - 8.0::DOUBLE, 3) AS expected_value FROM ss),
 ranked AS (SELECT *, row_number() OVER (ORDER BY p DESC, customer_id) AS rank, count(*) OVER () AS n FROM dd),
 chosen AS (SELECT rank, customer_id, p, risk_band, expected_value FROM ranked WHERE rank <= CAST(floor(n * 0.20::DOUBLE) AS BIGINT))"""
-LOG = f"""{SCORES}, log AS (SELECT event_id AS request_id, CAST(user_id AS VARCHAR) AS customer_id, ts AS served_at, value AS latency_ms, event_type AS model_id,
+LOG = f"""{SCORES}, log AS (SELECT event_id AS request_id, CAST(user_id * 11 AS VARCHAR) AS customer_id, ts AS served_at, value AS latency_ms, event_type AS model_id,
   p AS probability, CAST(p >= 0.5 AS INTEGER) AS prediction, p IS NULL AS lookup_miss,
   greatest(date_diff('day', DATE '2024-01-15', CAST(ts AS DATE)), 0) AS feature_staleness_days
-  FROM events LEFT JOIN ss ON ss.customer_id = CAST(user_id AS VARCHAR))"""
+  FROM events LEFT JOIN ss ON ss.customer_id = CAST(user_id * 11 AS VARCHAR))"""
 D0, D1 = "2001-05-01", "2001-05-08"
 LO, HI = STAR.ranges["recency_days"]
 
@@ -43,10 +43,10 @@ scored AS (
 
 SQL = {
     "feature_store": f"{STORE} SELECT customer_id, snapshot_date, {rounded(NUMERIC)}, country_grp, snapshot_date AS feature_timestamp FROM store",
-    "feature_lookup": f"""{STORE} SELECT event_id AS request_id, customer_id, round(recency_days, 6) AS recency_days, round(orders_90d, 6) AS orders_90d,
-  round(revenue_180d, 6) AS revenue_180d, country_grp FROM events JOIN store ON customer_id = CAST(user_id AS VARCHAR)""",
-    "cold_start_ids": f"""{STORE} SELECT CAST(user_id AS VARCHAR) AS customer_id, count(*) AS n_requests FROM events
-  WHERE CAST(user_id AS VARCHAR) NOT IN (SELECT customer_id FROM store) GROUP BY 1""",
+    "feature_lookup": f"""{STORE} SELECT event_id AS request_id, CAST(user_id * 11 AS VARCHAR) AS customer_id, round(recency_days, 6) AS recency_days, round(orders_90d, 6) AS orders_90d,
+  round(revenue_180d, 6) AS revenue_180d, country_grp, store.customer_id IS NULL AS lookup_miss FROM events LEFT JOIN store ON store.customer_id = CAST(user_id * 11 AS VARCHAR)""",
+    "cold_start_ids": f"""{STORE} SELECT CAST(user_id * 11 AS VARCHAR) AS customer_id, count(*) AS n_requests FROM events
+  WHERE CAST(user_id * 11 AS VARCHAR) NOT IN (SELECT customer_id FROM store) GROUP BY 1""",
     "reage_features": f"""{STORE}, base_rows AS (SELECT *, CAST(customer_id AS INTEGER) % 15 AS age FROM store), {AGED}
 SELECT customer_id, {rounded(REAGED)}, age AS feature_staleness_days, 'feature_store' AS feature_source FROM re""",
     "skew_audit": f"{SKEW} SELECT customer_id, active_in_interval, feature, {rounded(['stored', 'reaged', 'recomputed', 'skew_after_reaging', 'error_if_stale'])} FROM audit",

@@ -138,5 +138,6 @@ def test_decisions(spark):
 def test_store_lookup(spark):
     store = spark.createDataFrame([("a", date(2024, 1, 1), 1.0), ("a", date(2024, 2, 1), 2.0), ("b", date(2024, 1, 1), 3.0)], "customer_id string, feature_timestamp date, x double")
     asked = spark.createDataFrame([("a",), ("a",), ("z",)], "customer_id string")
-    assert [r.x for r in scoring.feature_lookup(asked, store).collect()] == [2.0, 2.0]
+    got = sorted((r.customer_id, r.x, r.lookup_miss) for r in scoring.feature_lookup(asked, store).collect())
+    assert got == [("a", 2.0, False), ("a", 2.0, False), ("z", None, True)]
     assert [r.customer_id for r in scoring.cold_start(asked, store).collect()] == ["z"]
