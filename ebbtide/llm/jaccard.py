@@ -27,6 +27,8 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ebbtide.llm.components import components
@@ -108,97 +110,106 @@ def document_sets(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(job, "doc_id long, set_id long, n long")
 
 
-_BLOCKS = "part int, sets binary, sizes binary, counts binary, hashes binary"
+_BLOCKS = "part int, chunk long, owners binary, hashes binary"
+_SHARED = _BLOCKS + ", lengths binary"
+_CHUNK_SETS = 50_000  # sets of a chunk: their numbers fit in two bytes
+
+
+def _packed(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * (len(rows[0]) - 2)]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["part", "chunk", "owners", "hashes", "lengths"][: len(kinds)])
 
 
 def postings(docs: DataFrame, least: int, parts: int) -> DataFrame:
-    """Shingles of all sets of at least this size, packed by part of the inverted lists; equal sets once a task and piece."""
+    """Shingles of all sets of at least this size, packed by part of the inverted lists.
+
+    A task gathers its sets in chunks and names a set by its place in the chunk, so a posting takes ten bytes
+    however many parts there are. Ids and sizes of a chunk's sets go once to a part of their own, ``parts``
+    and up. Equal sets are sent once a task.
+    """
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        chunk = TaskContext.get().partitionId() << 24
 
         def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal chunk
             ids, sizes, hashes = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            owner = np.repeat(np.arange(len(ids)), sizes)
+            owner = np.repeat(np.arange(len(ids), dtype=np.uint16), sizes)
             part = (hashes >> np.uint64(33)).astype(np.int64) % parts
-            order = np.lexsort((owner, part))
-            hashes, owner, part = hashes[order], owner[order], part[order]
-            edges = np.searchsorted(part, np.arange(parts + 1))
-            rows = []
-            for p in np.flatnonzero(np.diff(edges)).tolist():
-                a, b = edges[p], edges[p + 1]
-                own, counts = np.unique(owner[a:b], return_counts=True)
-                rows.append((p, _bytes(ids[own]), _bytes(sizes[own].astype(np.int32)), _bytes(counts.astype(np.int32)), _bytes(hashes[a:b])))
+            order = np.argsort(part, kind="stable")
+            hashes, owner = hashes[order], owner[order]
+            edges = np.searchsorted(part[order], np.arange(parts + 1))
+            rows = [(p, chunk, _bytes(owner[edges[p] : edges[p + 1]]), _bytes(hashes[edges[p] : edges[p + 1]])) for p in np.flatnonzero(np.diff(edges)).tolist()]
             if rows:
-                yield _packed(rows)
+                yield _packed([*rows, (parts + chunk % parts, chunk, _bytes(ids), _bytes(sizes.astype(np.int64)))])
+            chunk += 1
 
         for batch in pieces(batches):
             s = Sets(batch.column("text"))
-            _, at = np.unique(s.ids, return_index=True)
-            at = np.array([k for k in at.tolist() if s.sizes[k] >= least and int(s.ids[k]) not in done], np.int64)
-            done.update(s.ids[at].tolist())
+            _, every = np.unique(s.ids, return_index=True)
+            every = [k for k in every.tolist() if s.sizes[k] >= least and int(s.ids[k]) not in done]
+            done.update(s.ids[every].tolist())
             if len(done) > 1 << 20:
                 done.clear()
-            sizes = s.sizes[at]
-            pick = np.repeat(s.first[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
-            held.append((s.ids[at], sizes, s.values[pick]))
-            if sum(len(h[2]) for h in held) >= PART_POSTINGS:
-                yield from flush()
+            for begin in range(0, len(every), _CHUNK_SETS):
+                at = np.array(every[begin : begin + _CHUNK_SETS], np.int64)
+                if held and sum(len(h[0]) for h in held) + len(at) > _CHUNK_SETS:
+                    yield from flush()
+                sizes = s.sizes[at]
+                pick = np.repeat(s.first[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+                held.append((s.ids[at], sizes, s.values[pick]))
+                if sum(len(h[2]) for h in held) >= PART_POSTINGS:
+                    yield from flush()
         if held:
             yield from flush()
 
     return docs.select("text").mapInArrow(job, _BLOCKS)
 
 
-def _packed(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), *[pa.binary()] * (len(rows[0]) - 1)]
-    names = ["part", "sets", "sizes", "counts", "hashes", "lengths"][: len(kinds)]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+def _starts(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
 
 
-def _unpack(table: pa.Table, lengths: bool = False) -> list[np.ndarray]:
-    """Set, its size, shingle (and list length) of every posting of a part; a set that several tasks sent counts once."""
-    kinds = (("sets", np.int64), ("sizes", np.int32), ("counts", np.int32), ("hashes", np.uint64), *([("lengths", np.int32)] if lengths else []))
-    sets, sizes, counts, *values = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in kinds)
-    owner = np.repeat(np.arange(len(sets)), counts)
-    if not lengths:
-        once = np.zeros(len(sets), bool)
-        once[np.unique(sets, return_index=True)[1]] = True
-        values = [v[once[owner]] for v in values]
-        owner = owner[once[owner]]
-    return [sets[owner], sizes[owner], *values]
+def _column(table: pa.Table, name: str, kind: type) -> list[np.ndarray]:
+    return [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
 
 
-def shared_shingles(blocks: DataFrame, targets: int) -> DataFrame:
-    """The postings whose inverted list has two sets or more, with the list's length, packed by set."""
+def shared_shingles(blocks: DataFrame, parts: int) -> DataFrame:
+    """The postings whose inverted list has two entries or more, with the list's length, packed by chunk.
+
+    Copies of a set in several tasks have entries of their own; that keeps shingles, and drops none.
+    """
+    schema = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), *((c, pa.binary()) for c in ("owners", "hashes", "lengths"))])
 
     def job(table: pa.Table) -> pa.Table:
-        sets, sizes, hashes = _unpack(table)
-        order = np.argsort(hashes, kind="stable")
-        sets, sizes, hashes = sets[order], sizes[order], hashes[order]
-        starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
-        runs = np.diff(np.append(starts, len(hashes)))
-        length = np.repeat(runs, runs)
-        many = length > 1
-        sets, sizes, hashes, length = sets[many], sizes[many], hashes[many], length[many]
-        target = (mix(sets.view(np.uint64)) % np.uint64(targets)).astype(np.int64)
-        order = np.lexsort((sets, target))
-        sets, sizes, hashes, length, target = sets[order], sizes[order], hashes[order], length[order], target[order]
-        edges = np.searchsorted(target, np.arange(targets + 1))
-        rows = []
-        for q in np.flatnonzero(np.diff(edges)).tolist():
-            a, b = edges[q], edges[q + 1]
-            own, at, counts = np.unique(sets[a:b], return_index=True, return_counts=True)
-            rows.append((q, _bytes(own), _bytes(sizes[a:b][at].astype(np.int32)), _bytes(counts.astype(np.int32)), _bytes(hashes[a:b]), _bytes(length[a:b].astype(np.int32))))
+        if table.column("part")[0].as_py() >= parts:  # what chunks consist of, passed on to where they are put together
+            rows = [(r["part"] - parts, r["chunk"], r["owners"], r["hashes"], None) for r in table.to_pylist()]
+            return pa.Table.from_batches([_packed(rows)], schema=schema)
+        owners, hashes, chunks = _column(table, "owners", np.uint16), _column(table, "hashes", np.uint64), table.column("chunk").to_numpy()
+        source = np.repeat(np.arange(len(chunks)), [len(x) for x in owners])
+        owner, values = np.concatenate(owners), np.concatenate(hashes)
+        order = np.argsort(values, kind="stable")
+        starts = _starts(values[order])
+        runs = np.diff(np.append(starts, len(values)))
+        length = np.empty(len(values), np.uint16)
+        length[order] = np.repeat(np.minimum(runs, 65535), runs)
+        many = np.flatnonzero(length > 1)
+        many = many[np.argsort(chunks[source[many]], kind="stable")]
+        rows, of_chunk = [], chunks[source[many]]
+        edges = np.append(_starts(of_chunk), len(many))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            own = many[a:b]
+            rows.append((int(of_chunk[a]) % parts, int(of_chunk[a]), _bytes(owner[own]), _bytes(values[own]), _bytes(length[own])))
         give_back()
-        return pa.Table.from_batches([_packed(rows)] if rows else [], schema=_PACKED)
+        return pa.Table.from_batches([_packed(rows)] if rows else [], schema=schema)
 
-    return blocks.groupBy("part").applyInArrow(job, _BLOCKS + ", lengths binary")
+    return blocks.groupBy("part").applyInArrow(job, _SHARED)
 
 
-_PACKED = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("sets", "sizes", "counts", "hashes", "lengths"))])
 _SURVIVORS = "set_id long, n long, shingles binary, keys array<long>"
 
 
@@ -211,21 +222,27 @@ def survivors(shared: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Sets that can have a partner: their shared shingles, and the keys under which they meet every partner."""
 
     def job(table: pa.Table) -> pa.Table:
-        sets, sizes, hashes, length = _unpack(table, lengths=True)
-        order = np.lexsort((hashes, length, sets))
-        sets, sizes, hashes = sets[order], sizes[order].astype(np.int64), hashes[order]
-        starts = np.flatnonzero(np.concatenate([[True], sets[1:] != sets[:-1]])) if len(sets) else np.zeros(0, np.int64)
-        counts = np.diff(np.append(starts, len(sets)))
-        n = sizes[starts]
-        looked_up = n - -(-percent * n // 100) + 1 - (n - counts)  # the set's own shingles come first and meet nobody
-        out = []
-        levels = _level(np.maximum(n, 1), percent)
-        for k in np.flatnonzero(looked_up > 0).tolist():
-            own = hashes[starts[k] : starts[k] + counts[k]]
-            rare = own[: looked_up[k]]
-            keys = np.concatenate([mix(rare ^ mix(np.full(1, levels[k] + d, np.uint64))) for d in (0, 1)])  # the own level, and the one above
-            out.append((int(sets[starts[k]]), int(n[k]), _bytes(np.sort(own)), keys.view(np.int64)))
-        columns = list(zip(*out)) or [[], [], [], []]
+        out: dict[int, tuple] = {}
+        for chunk in pc.unique(table.column("chunk")).to_pylist():
+            own = table.filter(pc.equal(table.column("chunk"), chunk))
+            facts, entries = own.filter(pc.is_null(own.column("lengths"))), own.filter(pc.is_valid(own.column("lengths")))
+            if not entries.num_rows:
+                continue
+            ids, sizes = _column(facts, "owners", np.int64)[0], _column(facts, "hashes", np.int64)[0]
+            owner, hashes, length = (np.concatenate(_column(entries, c, t)) for c, t in (("owners", np.uint16), ("hashes", np.uint64), ("lengths", np.uint16)))
+            order = np.lexsort((hashes, length, owner))
+            owner, hashes = owner[order], hashes[order]
+            starts = _starts(owner)
+            counts = np.diff(np.append(starts, len(owner)))
+            n, names = sizes[owner[starts]], ids[owner[starts]]
+            looked_up = n - -(-percent * n // 100) + 1 - (n - counts)  # the set's own shingles come first and meet nobody
+            levels = _level(np.maximum(n, 1), percent)
+            for k in np.flatnonzero(looked_up > 0).tolist():
+                mine = hashes[starts[k] : starts[k] + counts[k]]
+                rare = mine[: looked_up[k]]
+                keys = np.concatenate([mix(rare ^ mix(np.full(1, levels[k] + d, np.uint64))) for d in (0, 1)])  # the own level, and the one above
+                out[int(names[k])] = (int(names[k]), int(n[k]), _bytes(np.sort(mine)), keys.view(np.int64))
+        columns = list(zip(*out.values())) or [[], [], [], []]
         give_back()
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())))], names=["set_id", "n", "shingles", "keys"])
 
@@ -329,7 +346,8 @@ def joined(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     small = boundary(histogram, percent)
     least = listed_from(small, percent)
     parts = max(1, -(-sum(n * k for n, k in histogram.items() if n >= least) // PART_POSTINGS))
-    able = written(survivors(shared_shingles(postings(docs, least, parts), parts), percent), "jaccard-survivors")
+    able = survivors(shared_shingles(postings(docs, least, parts), parts), percent)
+    able = written(able.dropDuplicates(["set_id", "n"]), "jaccard-survivors")
     found = able
     if small:
         few = written(small_sets(docs, small, percent).dropDuplicates(["set_id", "n"]), "jaccard-small")
