@@ -14,6 +14,9 @@ from ebbtide.llm.shared import ship, written
 #: Encoding cannot be written in SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
+#: Near duplicates here share 80 percent of their shingles of five words; op8_jaccard_join has values of its own.
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
@@ -30,7 +33,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near duplicates: the one with the smallest id."""
     ship(spark)
-    return jaccard.representatives(docs)
+    return jaccard.representatives(docs, NEAR_PERCENT, NEAR_SHINGLE)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """N-gram Jaccard join of documents, size-aware: small sets by their subsets, large sets by inverted lists.
 
-A document's set holds its distinct shingles of four words. Equal sets are one set from the start. Two sets
-link when their Jaccard similarity is 0.85 or more, so they have a known least overlap.
+A document's set holds its distinct shingles of SHINGLE words. Equal sets are one set from the start. Two sets
+link when their Jaccard similarity is PERCENT or more, so they have a known least overlap. Both can be given:
+``op8_jaccard_join`` takes the values below, the stage of the pipeline takes its own.
 
 * Small sets (up to a boundary that a cost model takes from the histogram of sizes) write down all their
   subsets of the least overlaps they can have with partners; linked small sets share one.
@@ -14,8 +15,8 @@ without listing pairs. Groups are cut into blocks; a task takes a pair of blocks
 its sets, counts overlaps exactly, and returns the links that connect them. All links between different sets
 are found or implied by others; components follow from them.
 
-Defined results: null texts and texts without words have the empty set and link with nothing; fewer than four
-words are one shingle; repeated rows are rows of one set; a component is named by its smallest doc_id; other
+Defined results: null texts and texts without words have the empty set and link with nothing; fewer words
+than a shingle are one shingle; repeated rows are rows of one set; a component is named by its smallest doc_id; other
 columns are not read. Shingles and sets are told apart by 64-bit hashes.
 """
 
@@ -75,11 +76,11 @@ def listed_from(small: int, percent: int = PERCENT) -> int:
 class Sets:
     """Distinct shingles of every text of a piece: values[first[i]:first[i + 1]], ascending."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, shingle: int = SHINGLE):
         words = cut(texts, SPACED)
-        at, grams = words.grams(SHINGLE)
+        at, grams = words.grams(shingle)
         owner = words.text_of()[at]
-        short = np.flatnonzero((words.counts > 0) & (words.counts < SHINGLE))
+        short = np.flatnonzero((words.counts > 0) & (words.counts < shingle))
         if len(short):
             owner = np.concatenate([owner, short])
             grams = np.concatenate([grams, span_hashes(words.hashes, words.first[short], words.first[short + 1])])
@@ -99,12 +100,12 @@ def _bytes(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
 
 
-def document_sets(docs: DataFrame) -> DataFrame:
+def document_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, set_id, n of every row."""
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            s = Sets(batch.column("text"))
+            s = Sets(batch.column("text"), shingle)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(s.ids), pa.array(s.sizes.astype(np.int64))], names=["doc_id", "set_id", "n"])
 
     return docs.select("doc_id", "text").mapInArrow(job, "doc_id long, set_id long, n long")
@@ -120,7 +121,7 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["part", "chunk", "owners", "hashes", "lengths"][: len(kinds)])
 
 
-def postings(docs: DataFrame, least: int, parts: int) -> DataFrame:
+def postings(docs: DataFrame, least: int, parts: int, shingle: int = SHINGLE) -> DataFrame:
     """Shingles of all sets of at least this size, packed by part of the inverted lists.
 
     A task gathers its sets in chunks and names a set by its place in the chunk, so a posting takes ten bytes
@@ -148,7 +149,7 @@ def postings(docs: DataFrame, least: int, parts: int) -> DataFrame:
             chunk += 1
 
         for batch in pieces(batches):
-            s = Sets(batch.column("text"))
+            s = Sets(batch.column("text"), shingle)
             _, every = np.unique(s.ids, return_index=True)
             every = [k for k in every.tolist() if s.sizes[k] >= least and int(s.ids[k]) not in done]
             done.update(s.ids[every].tolist())
@@ -249,12 +250,12 @@ def survivors(shared: DataFrame, percent: int = PERCENT) -> DataFrame:
     return shared.groupBy("part").applyInArrow(job, _SURVIVORS)
 
 
-def small_sets(docs: DataFrame, small: int, percent: int = PERCENT) -> DataFrame:
+def small_sets(docs: DataFrame, small: int, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """Sets up to the boundary, keyed by their subsets of every least overlap with a small partner."""
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            s, out = Sets(batch.column("text")), {}
+            s, out = Sets(batch.column("text"), shingle), {}
             for k in np.flatnonzero((s.sizes > 0) & (s.sizes <= small)).tolist():
                 if int(s.ids[k]) in out:
                     continue
@@ -338,19 +339,19 @@ def verified(sets: DataFrame, groups: DataFrame, percent: int = PERCENT) -> Data
     return shipped.groupBy("bucket").applyInArrow(job, "a long, b long")
 
 
-def joined(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def joined(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    rows = written(document_sets(docs), "jaccard-rows")
+    rows = written(document_sets(docs, shingle), "jaccard-rows")
     own = written(rows.where("n > 0").groupBy("set_id", "n").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies")), "jaccard-sets")
     histogram = {r["n"]: r["k"] for r in own.groupBy("n").agg(F.count("*").alias("k")).collect()}  # bounded by the longest text
     small = boundary(histogram, percent)
     least = listed_from(small, percent)
     parts = max(1, -(-sum(n * k for n, k in histogram.items() if n >= least) // PART_POSTINGS))
-    able = survivors(shared_shingles(postings(docs, least, parts), parts), percent)
+    able = survivors(shared_shingles(postings(docs, least, parts, shingle), parts), percent)
     able = written(able.dropDuplicates(["set_id", "n"]), "jaccard-survivors")
     found = able
     if small:
-        few = written(small_sets(docs, small, percent).dropDuplicates(["set_id", "n"]), "jaccard-small")
+        few = written(small_sets(docs, small, percent, shingle).dropDuplicates(["set_id", "n"]), "jaccard-small")
         found = able.unionByName(few)
     groups = components(hubs(found))
     groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
@@ -365,12 +366,12 @@ def joined(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def representatives(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def representatives(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """One row of every component, with all its columns: that of the smallest doc_id.
 
     Documents with the empty set all stay; of rows equal in id and text one stays.
     """
-    found = joined(docs, percent)
+    found = joined(docs, percent, shingle)
     names = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
     kept = docs.join(names.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
     same = W.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")

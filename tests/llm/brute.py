@@ -21,18 +21,18 @@ def passage(seed, n):
     return " ".join(f"w{seed}x{k}" for k in range(n))
 
 
-def shingles(text):
+def shingles(text, size=4):
     words = PLAIN.findall(lower(text))
-    if len(words) < 4:
+    if len(words) < size:
         return {tuple(words)} if words else set()
-    return {tuple(words[k : k + 4]) for k in range(len(words) - 3)}
+    return {tuple(words[k : k + size]) for k in range(len(words) - size + 1)}
 
 
-def components(rows):
+def components(rows, percent=85, size=4):
     """(doc_id, text) -> {doc_id: (set size, smallest doc_id reachable)} over all pairs."""
     sets = {}
     for i, t in rows:
-        sets.setdefault(i, shingles(t))
+        sets.setdefault(i, shingles(t, size))
     root = {i: i for i in sets}
 
     def find(x):
@@ -44,7 +44,7 @@ def components(rows):
     for n, a in enumerate(ids):
         for b in ids[n + 1 :]:
             both = len(sets[a] & sets[b])
-            if sets[a] and sets[b] and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+            if sets[a] and sets[b] and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
     return {i: (len(sets[i]), find(i)) for i in ids}

@@ -288,6 +288,17 @@ def test_one_document_of_each_group_stays(spark):
     assert jaccard.joined(frame(spark, [])).count() == 0
 
 
+def test_the_stage_takes_five_words_and_eighty_percent(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    base = passage("n", 60).split()
+    rows = [(k, t) for k, (_, t) in enumerate(_near(1))]
+    rows += [(1000, " ".join(base)), (1001, " ".join(base[:30] + ["other"] + base[31:])), (1002, " ".join(base[:52])), (1003, " ".join([*base[:8], "other", *base[8:]]))]
+    rows += [(2000 + n, " ".join(base[:n])) for n in range(4, 60, 3)]
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, frame(spark, rows), "").collect()}
+    want = {c for _, c in brute.components(rows, 80, 5).values()}
+    assert kept == want and want != {c for _, c in brute.components(rows).values()}
+
+
 # --- scoring
 
 
