@@ -6,6 +6,11 @@ fingerprint. So any run of whole lines with REACH words or more that stands twic
 common. Every fingerprint is held against its first occurrence (by document id, then line), the match is
 extended line by line both ways, and the later run is deleted. Runs of fewer than GRAM words never are.
 
+A fingerprint may stand first in another context than the run. So the shortest stretches of at least REACH
+words that begin or end with a line are held against first occurrences of their own, and the later ones are
+deleted. They cover every run of REACH words or more, and each has a fingerprint that stands twice, so only
+stretches around such fingerprints are joined.
+
 Defined results: null texts stay null and empty ones empty; lines are compared without white space at their
 ends; lines without words are deleted only inside a run; a document may end up with an empty text, its row
 stays; rows equal in id and text are one document and get the same result; rows with equal ids and other
@@ -58,15 +63,17 @@ def fingerprints(lines: DataFrame, gram: int = GRAM, reach: int = REACH) -> Data
     return rows.select("doc_id", "dig", least.alias("m")).select("doc_id", "dig", F.col("m.line").alias("line"), F.col("m.g").alias("print")).distinct()
 
 
-def matches(prints: DataFrame) -> DataFrame:
-    """Fingerprints that stand earlier too: (doc_id, dig, first_id, first_dig, shift, lines)."""
+def _met(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """Rows whose key stands twice, with its first occurrence: ``first`` (doc_id, dig, line)."""
     firsts = written(
-        prints.groupBy("print").agg(F.min(F.struct("doc_id", "dig", "line")).alias("first"), F.count("*").alias("n")).where("n > 1"), "dedup-firsts",
+        rows.groupBy(key).agg(F.min(F.struct("doc_id", "dig", "line")).alias("first"), F.count("*").alias("n")).where("n > 1"), f"{name}-firsts",
     )
-    met = attach(prints, firsts, "print", "n", ["doc_id", "dig", "line"])
-    here = F.struct("doc_id", "dig", "line")
-    later = met.where(F.col("first").isNotNull() & (here > F.col("first")))
-    return later.groupBy(
+    return attach(rows, firsts, key, "n", ["doc_id", "dig", "line"]).where("first IS NOT NULL")
+
+
+def matches(met: DataFrame) -> DataFrame:
+    """Fingerprints that stand earlier too: (doc_id, dig, first_id, first_dig, shift, lines)."""
+    return met.where(F.struct("doc_id", "dig", "line") > F.col("first")).groupBy(
         "doc_id", "dig", F.col("first.doc_id").alias("first_id"), F.col("first.dig").alias("first_dig"), (F.col("line") - F.col("first.line")).alias("shift"),
     ).agg(F.collect_list("line").alias("anchors"))
 
@@ -98,10 +105,47 @@ def repeated_runs(lines: DataFrame, found: DataFrame) -> DataFrame:
     return runs.groupBy("doc_id", "dig").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs"))
 
 
+def repeated_stretches(lines: DataFrame, met: DataFrame, reach: int = REACH) -> DataFrame:
+    """doc_id, dig, a, b: the places of stretches of at least ``reach`` words that stand earlier, in whatever context."""
+    doc = W.partitionBy("doc_id", "dig")
+    every = lines.select("doc_id", "dig", F.posexplode("lines").alias("line", "x")).select(
+        "doc_id", "dig", "line", F.col("x.h").alias("h"), F.col("x.at").alias("at"), F.col("x.n").cast("long").alias("n"), F.lit(False).alias("shared"),
+    )
+    marks = met.select("doc_id", "dig", "line", F.lit(True).alias("shared"))
+    rows = every.unionByName(marks, allowMissingColumns=True).repartition("doc_id", "dig").groupBy("doc_id", "dig", "line").agg(*[F.max(c).alias(c) for c in ("h", "at", "n", "shared")])
+    rows = rows.withColumn("end", F.sum("n").over(doc.orderBy("line").rowsBetween(W.unboundedPreceding, 0))).withColumn("begin", F.col("end") - F.col("n"))
+
+    def stretch(over: W) -> Column:
+        of = lambda f, c: f(c).over(over)
+        return F.struct(
+            of(F.min, "line").alias("line"), of(F.min, "at").alias("a"), of(F.max, "at").alias("b"), of(F.min, "begin").alias("begin"), of(F.max, "end").alias("end"),
+            of(F.max, "shared").alias("shared"), F.xxhash64(of(F.collect_list, "h")).alias("stretch"),
+        )
+
+    rows = rows.withColumns({"onward": stretch(doc.orderBy("begin").rangeBetween(0, reach - 1)), "back": stretch(doc.orderBy("end").rangeBetween(1 - reach, 0))})
+    # A stretch that is still long enough without its last line is not the shortest from its first; all others are found from there.
+    back = F.when(F.col("begin") - F.col("back.begin") >= reach, F.col("back"))
+    found = F.filter(F.array("onward", back), lambda x: x["shared"] & (x["end"] - x["begin"] >= reach))
+    found = rows.select("doc_id", "dig", F.explode(found).alias("x")).select("doc_id", "dig", "x.line", "x.a", "x.b", "x.stretch")
+    met = _met(written(found, "dedup-stretches"), "stretch", "dedup-stretches")
+    return met.where(F.struct("doc_id", "dig", "line") > F.col("first")).select("doc_id", "dig", "a", "b")
+
+
+def merged(runs: DataFrame) -> DataFrame:
+    """doc_id, dig, runs: overlapping and adjoining places (a, b) of every document as one."""
+    order = W.partitionBy("doc_id", "dig").orderBy("a", "b")
+    new = F.coalesce(F.col("a") > F.max("b").over(order.rowsBetween(W.unboundedPreceding, -1)) + 1, F.lit(True))
+    apart = runs.withColumn("new", new.cast("int")).withColumn("island", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    whole = apart.groupBy("doc_id", "dig", "island").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    return whole.groupBy("doc_id", "dig").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+
+
 def deduplicated(docs: DataFrame, gram: int = GRAM, reach: int = REACH) -> DataFrame:
     """The documents without later repeated runs of lines."""
     lines = written(line_table(docs), "dedup-lines")
-    runs = repeated_runs(lines, matches(fingerprints(lines, gram, reach)))
+    met = written(_met(fingerprints(lines, gram, reach), "print", "dedup"), "dedup-met")
+    runs = repeated_runs(lines, matches(met)).select("doc_id", "dig", F.inline("runs"))
+    runs = merged(runs.unionByName(repeated_stretches(lines, met, reach)))
     runs = runs.select(F.col("doc_id").alias("__id"), F.col("dig").alias("__dig"), "runs").withColumnRenamed("runs", "__runs")
     joined = docs.withColumn("__of", F.xxhash64("text")).join(
         runs.hint("shuffle_hash"), (F.col("__of") == F.col("__dig")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left",

@@ -50,8 +50,25 @@ def components(rows, percent=85, size=4):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-def line_dedup(rows, gram=25, reach=50, key=hash, digest=hash):
-    """Winnowed grams against their first occurrence, extended both ways; ``key`` maps a gram's lines, ``digest`` a text to its hash."""
+def long_runs(rows, reach=50, digest=hash):
+    """{row: places of lines} of all runs of ``reach`` words or more that stand earlier anywhere, by comparing all places with all."""
+    out, spots = defaultdict(set), []
+    for d in sorted({r for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r[0] or 0, digest(r[1]))):
+        own = [(x.strip(" \t\n\x0b\x0c\r"), at, len(PLAIN.findall(x))) for at, x in enumerate(d[1].split("\n"))]
+        own = [x for x in own if x[2]]
+        spots += [(d, own, k) for k in range(len(own))]
+    for n, (d, own, i) in enumerate(spots):
+        for _, other, k in spots[:n]:
+            size = 0
+            while i + size < len(own) and k + size < len(other) and own[i + size][0] == other[k + size][0]:
+                size += 1
+            if sum(x[2] for x in own[i : i + size]) >= reach:
+                out[d].update(range(own[i][1], own[i + size - 1][1] + 1))
+    return out
+
+
+def line_dedup(rows, gram=25, reach=50, key=hash, digest=hash, also=None):
+    """Winnowed grams against their first occurrence, extended both ways; ``key`` maps a gram's lines, ``digest`` a text to its hash, ``also`` a row to more places that go."""
     docs = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, digest(r[1])))
     lines = {}
     for d in docs:
@@ -77,7 +94,7 @@ def line_dedup(rows, gram=25, reach=50, key=hash, digest=hash):
             first.setdefault(h, (d, i))
     out = []
     for d in rows:
-        drop = set()
+        drop = set((also or {}).get(d, ()))
         for h, i in prints.get(d, ()):
             e, k = first[h]
             if (e, k) == (d, i):
@@ -101,4 +118,4 @@ def minimax(sizes, shards):
     return best[-1]
 
 
-__all__ = ["Counter", "components", "frame", "line_dedup", "lower", "minimax", "passage", "shingles"]
+__all__ = ["Counter", "components", "frame", "line_dedup", "long_runs", "lower", "minimax", "passage", "shingles"]

@@ -93,6 +93,22 @@ def test_repeated_passages_go_and_the_first_stays(spark):
     assert linededup.deduplicated(frame(spark, [])).count() == 0
 
 
+def test_every_repeated_run_goes_wherever_its_lines_stand_first(spark):
+    x, y, z, long, one, two = (passage(n, k) for n, k in (("x", 26), ("y", 27), ("z", 28), ("long", 60), ("one", 6), ("two", 7)))
+    rows = [(k, f"{passage(f'e{k}', 9)}\n{line}\n{passage(f'f{k}', 9)}") for k, line in enumerate([x, y, z, long, x + "\n" + z])]
+    rows += [(10 + k, f"{passage(f'g{k}', 9)}\n{x}\n \n{y}\n{z}\n{passage(f'h{k}', 9)}") for k in range(3)]
+    rows += [(20 + k, f"{passage(f'i{k}', 9)}\n{one}\n{long}\n{one}\n{two}\n{passage(f'j{k}', 9)}") for k in range(3)]
+    texts = spark.createDataFrame([(t,) for _, t in rows], "t string").select("t", F.xxhash64("t").alias("h"))
+    digest = {r["t"]: r["h"] for r in texts.collect()}.get
+    gone = brute.long_runs(rows, digest=digest)
+    assert [len(gone[r]) for r in rows[5:]] == [0, 4, 4, 1, 4, 4]
+    key = _gram_key(spark, [t for _, t in rows])
+    want = brute.line_dedup(rows, key=key, digest=digest, also=gone)
+    got = linededup.deduplicated(frame(spark, rows)).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(want) != Counter(brute.line_dedup(rows, key=key, digest=digest))
+    assert dict(want)[11] == f"{passage('g1', 9)}\n{passage('h1', 9)}" and dict(want)[22] == f"{passage('i2', 9)}\n{passage('j2', 9)}"
+
+
 # --- sharding
 
 
