@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ebbtide.contracts import ASOF, CUSTOMER, FAMILY, FEATURES, LABEL, NUMERIC
 from ebbtide.functions.ordered import ranked
@@ -30,6 +31,7 @@ class BoostingSettings:
     subsample: float = 0.9
     feature_share: str = "0.8"
     least_rounds: int = 20
+    patience: int = 50  # rounds without gain that end the search
 
 
 def frequent_levels(rows: DataFrame, column: str, min_rows: int = MIN_LEVEL_ROWS) -> DataFrame:
@@ -94,24 +96,60 @@ def _boosting(rounds: int, s: BoostingSettings, seed: int) -> GBTClassifier:
         subsamplingRate=s.subsample, featureSubsetStrategy=s.feature_share, seed=seed, cacheNodeIds=False, checkpointInterval=10)
 
 
+def auc_by_round(model: GBTClassificationModel, held: DataFrame) -> list[float]:
+    """AUC of prepared rows after every tree of a model with a leaf column.
+
+    A row's leaf in every tree comes with one pass; the leaves' values, which the model bounds, are broadcast,
+    and running sums per row are rated in one grouped aggregate.
+    """
+    leaves = []
+    for k, (tree, weight) in enumerate(zip(model.trees, model.treeWeights)):
+        values = re.findall(r"Predict: (\S+)", tree.toDebugString)  # left to right, as leaves are numbered
+        leaves += [(k, float(n), weight * float(v)) for n, v in enumerate(values)]
+    table = held.sparkSession.createDataFrame(leaves, "tree int, leaf double, value double")
+    rows = model.transform(held).select(CUSTOMER, ASOF, F.col(LABEL).alias("y"), F.posexplode(vector_to_array(model.getLeafCol())).alias("tree", "leaf"))
+    sums = F.sum("value").over(W.partitionBy(CUSTOMER, ASOF).orderBy("tree").rowsBetween(W.unboundedPreceding, 0))
+    scored = rows.join(F.broadcast(table), ["tree", "leaf"]).select("tree", "y", sums.alias("p"))
+    found = {r["tree"]: r["roc_auc"] for r in rank_metrics(scored, ["tree"]).select("tree", "roc_auc").collect()}
+    return [found[k] if found.get(k) is not None else 0.5 for k in range(len(model.trees))]
+
+
+def best_round(aucs: list[float], patience: int) -> tuple[int, bool]:
+    """Rounds up to the first best AUC, and whether ``patience`` rounds without gain ended the search."""
+    best = 0
+    for k, auc in enumerate(aucs):
+        if auc > aucs[best]:
+            best = k
+        elif k - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
 def tune_rounds(train: DataFrame, settings: BoostingSettings = BoostingSettings(), seed: int = 42) -> dict:
     """Boosting rounds found on an inner split in time: all but the last as-of day fit, the last decides.
 
-    Boosting stops by itself when another tree makes the held loss worse, and keeps the trees up to the best
-    one. With a single as-of day a fifth of its customers, by hash, is held instead. The validation fold stays
-    untouched. The count grows with the ratio of rows for the final fit.
+    The search ends when ``patience`` rounds bring no better AUC on the held day, or at the cap. MLlib cannot go
+    on from a model, so fits of twice as many rounds follow each other; their first trees are the same, since
+    a tree's seed is that of its round. With a single as-of day a fifth of its customers, by hash, is held instead. The
+    validation fold stays untouched. The count grows with the ratio of rows for the final fit.
     """
     days = [r[0] for r in train.select(ASOF).distinct().orderBy(ASOF).collect()]
     held = F.col(ASOF) == F.lit(days[-1]) if len(days) > 1 else F.pmod(F.xxhash64(CUSTOMER), F.lit(5)) == 0
-    marked = train.withColumn("held", held)
-    inner = marked.where(~F.col("held"))
+    inner = train.where(~held)
     prepared = Pipeline(stages=preprocessing(inner, scale=False)).fit(inner)
     checkpoint_folder(train.sparkSession)
-    probe = _boosting(settings.max_rounds, settings, seed).setValidationIndicatorCol("held")
-    probe = probe.copy({probe.validationTol: 0.0})
-    best = probe.fit(prepared.transform(marked)).getNumTrees
-    rounds = max(int(best * train.count() / max(inner.count(), 1)), settings.least_rounds)
-    return {"tuned": True, "best_inner": best, "rounds": rounds, "cap": settings.max_rounds}
+    fitted, rated = prepared.transform(inner).persist(), prepared.transform(train.where(held)).persist()
+    searched = min(2 * settings.patience, settings.max_rounds)
+    while True:
+        probe = _boosting(searched, settings, seed)
+        best, stopped = best_round(auc_by_round(probe.copy({probe.leafCol: "leaf"}).fit(fitted), rated), settings.patience)
+        if stopped or searched == settings.max_rounds:
+            break
+        searched = min(2 * searched, settings.max_rounds)
+    rounds = max(int(best * train.count() / max(fitted.count(), 1)), settings.least_rounds)
+    fitted.unpersist()
+    rated.unpersist()
+    return {"tuned": True, "best_inner": best, "rounds": rounds, "cap": settings.max_rounds, "searched": searched}
 
 
 def fit_boosted(train: DataFrame, rounds: int, settings: BoostingSettings = BoostingSettings(), seed: int = 42) -> PipelineModel:

@@ -45,11 +45,12 @@ def train_logreg(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def train_gbt(spark: SparkSession, folder: str) -> DataFrame:
-    """The boosted tier per fold, and whether the searched rounds keep their bounds."""
+    """The boosted tier per fold, and whether the searched rounds keep their bounds: the cap, or the patience after the best."""
     stages = Stages(spark, folder)
     scored = _as_scored(models.predict(stages.boosted(), stages.training()), "candidate_boosted")
     found, bounds = stages.rounds().first(), models.BoostingSettings()
     kept = found["rounds"] >= bounds.least_rounds and found["best_inner"] <= found["cap"] == bounds.max_rounds
+    kept = kept and (found["searched"] == found["cap"] or found["searched"] - found["best_inner"] >= bounds.patience)
     return _checked(scored).withColumn("rounds_in_bounds", F.lit(kept))
 
 

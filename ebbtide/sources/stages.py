@@ -48,17 +48,17 @@ class Stages:
         def found() -> DataFrame:
             return self.spark.createDataFrame([models.tune_rounds(self.training().where("fold = 'train'"), seed=self.settings.seed)])
 
-        return self._tables.table("rounds", found)
+        return self._tables.table("rounds_by_auc", found)
 
     def boosted(self) -> PipelineModel:
         def fit() -> PipelineModel:
             return models.fit_boosted(self.training().where("fold = 'train'"), self.rounds().first()["rounds"], seed=self.settings.seed)
 
-        return self._tables.model("boosted", fit)
+        return self._tables.model("boosted_by_auc", fit)
 
     def fitted(self) -> DataFrame:
         """Scored rows of the four tiers, by the stored models."""
-        return self._tables.table("fitted", lambda: models.score_tiers(self.training(), self.logistic(), self.boosted()))
+        return self._tables.table("fitted_by_auc", lambda: models.score_tiers(self.training(), self.logistic(), self.boosted()))
 
     def importance(self) -> DataFrame:
         """Permutation importance of the stored logistic model on the validation fold."""

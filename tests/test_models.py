@@ -65,3 +65,18 @@ def test_balanced_weights_and_pooling(table):
     assert sorted(r.level for r in kept.collect()) == ["FR", "UK"]
     pooled = models.pool_rare(table, "country_grp", kept)
     assert pooled.where(F.col("country_grp") == models.POOLED).count() == 4
+
+
+def test_search_goes_on_through_rounds_without_gain(table):
+    assert models.best_round([0.6, 0.7, 0.69, 0.69, 0.8, 0.8, 0.7, 0.7], 3) == (5, True)
+    assert models.best_round([0.6, 0.7, 0.69, 0.69, 0.69, 0.9], 3) == (2, True) and models.best_round([0.5, 0.6, 0.5], 3) == (2, False)
+    train = table.where("fold = 'train'")
+    settings = models.BoostingSettings(max_rounds=12, depth=3, least_rounds=2, step=0.5, patience=4)
+    found = models.tune_rounds(train, settings)
+    assert found["searched"] == 12 or found["searched"] - found["best_inner"] >= 4
+    ready = models.Pipeline(stages=models.preprocessing(train, scale=False)).fit(train).transform(train).cache()
+    probe = models._boosting(3, settings, 42)
+    model = probe.copy({probe.leafCol: "leaf"}).fit(ready)
+    scored = model.transform(ready).select("fold", F.col(LABEL).alias("y"), models.vector_to_array("rawPrediction")[1].alias("p"))
+    aucs = models.auc_by_round(model, ready)
+    assert len(aucs) == 3 and aucs[-1] == pytest.approx(ranking.rank_metrics(scored, ["fold"]).first().roc_auc)
