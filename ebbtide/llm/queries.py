@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, decontaminate, jaccard, licenses, linededup, lm, quality, sharding, toolcalls, warc
+from ebbtide.llm import bpe, decontaminate, divergence, jaccard, licenses, linededup, lm, quality, sharding, toolcalls, warc
 from ebbtide.llm.shared import new_folder, ship
 from ebbtide.llm.sql import SQL  # noqa: F401
 
@@ -78,3 +78,8 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.joined(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))

@@ -52,3 +52,33 @@ SELECT t.conv_id, t.turn, CASE WHEN is_result THEN 'result' ELSE 'call' END AS k
        ELSE '{"arguments":{' || CASE WHEN text IS NULL THEN '' ELSE CASE WHEN t.role = 'system' THEN '"instructions":' ELSE '"prompt":' END || to_json(text)::VARCHAR || ',' END || '"turn":' || t.turn || '},"id":' || coalesce(to_json(t.id)::VARCHAR, 'null') || ',"name":' || coalesce(to_json(t.name)::VARCHAR, 'null') || ',"type":"call"}' END AS json
 FROM t LEFT JOIN depths d ON d.conv_id = t.conv_id AND d.turn = t.turn LEFT JOIN calls c ON c.id = t.call_id LEFT JOIN answers a ON a.call_id = t.id AND NOT is_result
 """
+
+SQL["op13_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+groups AS (SELECT DISTINCT lang, source FROM d),
+langs AS (SELECT lang, count(*) AS v, sum(total) AS whole FROM kept GROUP BY lang),
+own AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT lang, source, sum(n) AS n_all FROM own GROUP BY ALL),
+dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(o.n, 0) + 2)) // (coalesce(s.n_all, 0) + 2 * l.v) AS p,
+         1 + (1000000000::HUGEINT * (k.total + 2)) // (l.whole + 2 * l.v) AS q
+  FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang)
+  LEFT JOIN own o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term
+  LEFT JOIN sizes s ON s.lang = g.lang AND s.source = g.source),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+         FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM dense WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS k
+  FROM (SELECT 'pair' AS part, * FROM pairs UNION ALL SELECT 'term', * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(k AS INT) AS rank FROM ranked WHERE part = 'pair' OR k <= 10
+"""
