@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, decontaminate, divergence, jaccard, licenses, linededup, lm, quality, sharding, toolcalls, warc
+from ebbtide.llm import bpe, decontaminate, divergence, jaccard, licenses, linededup, lm, quality, sharding, suffixes, toolcalls, warc, whitening
 from ebbtide.llm.shared import new_folder, ship
 from ebbtide.llm.sql import SQL  # noqa: F401
 
@@ -83,3 +83,13 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(table(spark, sf_dir, "documents"))
