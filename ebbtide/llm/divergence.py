@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ebbtide.llm.shared import written
+from ebbtide.llm.shared import stored
 from ebbtide.llm.words import LOWER, give_back
 
 LEAST_DOCS = 10  # documents of a language a kept term stands in
@@ -151,7 +151,7 @@ def source_pairs(kept: DataFrame, groups: DataFrame) -> DataFrame:
 
 def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP_TERMS) -> DataFrame:
     """lang, source, part ('pair' or 'term'), item, value, rank."""
-    kept = written(kept_terms(docs, least), "terms")
-    groups = written(_groups(docs, kept), "groups")
+    kept = stored(kept_terms(docs, least), "terms")
+    groups = stored(_groups(docs, kept), "groups")
     parts = [frame.select("lang", "source", F.lit(part).alias("part"), "item", "value", "rank") for part, frame in (("pair", source_pairs(kept, groups)), ("term", distinctive_terms(kept, groups, top)))]
     return parts[0].unionByName(parts[1])

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ebbtide.llm.shared import attach, written
+from ebbtide.llm.shared import attach, stored
 from ebbtide.llm.words import _BYTE_CODE, buffers, give_back, pieces, span_hashes
 
 LENGTH = 50
@@ -192,7 +192,7 @@ def fragments(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 
 def shared_anchors(docs: DataFrame) -> DataFrame:
-    """id, anchor: anchors of a document that another document has as well."""
+    """id, anchors: anchors of a document that another document has as well."""
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, anchors, held = [], [], 0
@@ -205,13 +205,15 @@ def shared_anchors(docs: DataFrame) -> DataFrame:
             i, a = i[fresh], a[fresh]
             first = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
             size = np.diff(np.append(first, len(a)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a[first]), pa.array(i[first]), pa.array(i[first + size - 1]), pa.nulls(len(first), pa.list_(pa.int64()))], names=["meet", "low", "high", "known"]
+            )
             known = np.repeat(size > 1, size)  # two documents of this chunk have it
-            top = i[first + size - 1]
-            for rows in (
-                [np.zeros(len(first), bool), a[first], i[first], top],
-                [np.ones(int(known.sum()), bool), a[known], i[known], i[known]],
-            ):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["known", "anchor", "low", "high"])
+            order = np.argsort(i[known], kind="stable")
+            i, a = i[known][order], a[known][order]
+            first = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else i
+            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(i)).astype(np.int32)), pa.array(a))
+            yield pa.RecordBatch.from_arrays([pa.array(i[first]), pa.array(i[first]), pa.array(i[first]), lists], names=["meet", "low", "high", "known"])
 
         for batch in pieces(batches):
             text, _, _, anchor, data, _ = fragments(batch.column("text"))
@@ -225,20 +227,20 @@ def shared_anchors(docs: DataFrame) -> DataFrame:
         if ids:
             yield from flush()
 
-    rows = docs.select("doc_id", "text").mapInArrow(job, "known boolean, anchor long, low long, high long")
-    # Known rows only pass by: they spread over the tasks instead of meeting at their anchor.
-    rows = rows.withColumn("meet", F.when(F.col("known"), F.xxhash64("anchor", "low")).otherwise(F.col("anchor")))
-    of_anchor = Window.partitionBy("known", "meet")
+    # Rows of one document only meet at their anchor; lists of what is known already pass by, each on its own.
+    rows = docs.select("doc_id", "text").mapInArrow(job, "meet long, low long, high long, known array<long>")
+    of_anchor = Window.partitionBy("meet", F.col("known").isNull())
     met = rows.withColumns({"least": F.min("low").over(of_anchor), "most": F.max("high").over(of_anchor)})
-    return met.where("known OR (low = high AND least < most)").select(F.col("low").alias("id"), "anchor")
+    fresh = met.where("known IS NOT NULL OR (low = high AND least < most)")
+    return fresh.groupBy(F.col("low").alias("id")).agg(F.flatten(F.collect_list(F.coalesce("known", F.array("meet")))).alias("anchors"))
 
 
 def shared_fragments(docs: DataFrame) -> DataFrame:
     """id, row, at, windows, anchor, mark, content: fragments at shared anchors; a task sends the bytes of equal ones once."""
-    lists = shared_anchors(docs).groupBy("id").agg(F.collect_list("anchor").alias("anchors"))
+    lists = stored(shared_anchors(docs), "anchors")
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[int] = set()
+        sent: dict[int, int] = {}
         for batch in pieces(batches):
             text, start, windows, anchor, data, offsets = fragments(batch.column("text"))
             wanted = batch.column("anchors")
@@ -256,15 +258,16 @@ def shared_fragments(docs: DataFrame) -> DataFrame:
                 sent.clear()
             contents = []
             raw = data.tobytes()
-            for m, a, b in zip(mark.tolist(), start.tolist(), end.tolist()):
-                if m in sent:
+            owner = batch.column("doc_id").take(pa.array(text))
+            for m, i, a, b in zip(mark.tolist(), owner.to_pylist(), start.tolist(), end.tolist()):
+                if sent.get(m, i + 1) <= i:
                     contents.append(None)
-                else:
-                    sent.add(m)
+                else:  # always for the smallest document of a task
+                    sent[m] = i
                     contents.append(raw[a:b])
             take = pa.array(text)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(take), batch.column("row").take(take), pa.array(start - offsets[text]), pa.array(windows.astype(np.int8)), pa.array(anchor), pa.array(mark), pa.array(contents, pa.binary())],
+                [owner, batch.column("row").take(take), pa.array(start - offsets[text]), pa.array(windows.astype(np.int8)), pa.array(anchor), pa.array(mark), pa.array(contents, pa.binary())],
                 names=["id", "row", "at", "windows", "anchor", "mark", "content"],
             )
 
@@ -272,22 +275,22 @@ def shared_fragments(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(job, "id long, row long, at long, windows byte, anchor long, mark long, content binary")
 
 
-def _sorted_masks(contents: DataFrame, bucket_bytes: int) -> DataFrame:
+def _sorted_masks(contents: DataFrame, buckets: int) -> DataFrame:
     """mark, mask: by suffix arrays over buckets of whole anchors."""
-    total = contents.agg(F.coalesce(F.sum(F.col("windows") + LENGTH), F.lit(0)).alias("n")).first()["n"]
-    buckets = max(1, -(-total // bucket_bytes))
 
     def job(table: pa.Table) -> pa.Table:
-        anchor = table.column("anchor").to_numpy()
-        _, place, count = np.unique(anchor, return_inverse=True, return_counts=True)
-        table = table.filter(pa.array(count[place] > 1))  # a fragment alone has nothing to meet
-        masks = repeated_windows(table.column("content").to_pylist(), table.column("low").to_numpy()) if table.num_rows else np.zeros(0, np.int64)
-        found = np.flatnonzero(masks)
+        anchor, mark, owner = (table.column(c).to_numpy() for c in ("anchor", "mark", "id"))
+        order = np.lexsort((owner, mark))
+        chosen = order[np.append(True, mark[order][1:] != mark[order][:-1])]  # of each fragment the smallest document
+        _, place, count = np.unique(anchor[chosen], return_inverse=True, return_counts=True)
+        chosen = chosen[count[place] > 1]  # a fragment alone has nothing to meet
+        masks = repeated_windows(table.column("content").take(pa.array(chosen)).to_pylist(), owner[chosen]) if len(chosen) else np.zeros(0, np.int64)
+        found = masks != 0
         give_back()
-        return pa.table({"mark": table.column("mark").take(pa.array(found)), "mask": pa.array(masks[found])})
+        return pa.table({"mark": pa.array(mark[chosen[found]]), "mask": pa.array(masks[found])})
 
     bucketed = contents.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
-    return bucketed.select("bucket", "anchor", "mark", "low", "content").groupBy("bucket").applyInArrow(job, "mark long, mask long")
+    return bucketed.select("bucket", "anchor", "mark", "id", "content").groupBy("bucket").applyInArrow(job, "mark long, mask long")
 
 
 def _window_masks(contents: DataFrame) -> DataFrame:
@@ -306,6 +309,7 @@ def _window_masks(contents: DataFrame) -> DataFrame:
                 names=["mark", "low", "place", "window"],
             )
 
+    contents = contents.groupBy("mark").agg(F.min("id").alias("low"), F.max("content").alias("content"))
     windows = contents.select("mark", "low", "content").mapInArrow(job, "mark long, low long, place int, window long")
     least = windows.groupBy("window").agg(F.min("low").alias("least"), F.count("*").alias("n"))
     met = attach(windows, least, "window", "n", ["mark", "place"]).where("least < low")
@@ -323,19 +327,22 @@ def buffers_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def repeated(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, most_fragments: int = MOST_FRAGMENTS) -> DataFrame:
     """id, row, at, mask: for fragments of documents (``row`` tells rows of one id apart) the windows that go."""
     own = docs.where("doc_id IS NOT NULL AND length(text) > 0").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = written(shared_fragments(own), "fragments")
-    grouped = found.groupBy("anchor", "mark").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"), F.first("windows").alias("windows"), F.max("content").alias("content"))
-    contents = written(grouped, "contents")
-    crowded = contents.groupBy("anchor").count().where(F.col("count") > most_fragments).select("anchor")
-    masks = _sorted_masks(contents.join(crowded, "anchor", "left_anti"), bucket_bytes).unionByName(_window_masks(contents.join(crowded, "anchor", "left_semi")))
-    table = contents.select("mark", "low", "high", "n").join(masks, "mark", "left").where("high > low OR mask IS NOT NULL").drop("high")
+    found = stored(shared_fragments(own), "fragments")
+    grouped = found.groupBy("anchor", "mark").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"), F.max("windows").alias("windows"))
+    marks = stored(grouped, "marks")
+    total = marks.agg(F.coalesce(F.sum(F.col("windows") + LENGTH), F.lit(0)).alias("n")).first()["n"]
+    crowded = marks.groupBy("anchor").count().where(F.col("count") > most_fragments).select("anchor")
+    contents = found.where("content IS NOT NULL").select("id", "anchor", "mark", "content")
+    masks = _sorted_masks(contents.join(crowded, "anchor", "left_anti"), max(1, -(-total // bucket_bytes))).unionByName(_window_masks(contents.join(crowded, "anchor", "left_semi")))
+    masks = stored(masks, "masks")
+    table = stored(marks.select("mark", "low", "high", "n").join(masks, "mark", "left").where("high > low OR mask IS NOT NULL").drop("high"), "repeated")
     met = attach(found.select("id", "row", "at", "windows", "mark"), table, "mark", "n", ["id", "at"]).where("low IS NOT NULL")
     return met.select("id", "row", "at", F.when(F.col("id") > F.col("low"), F.expr("shiftleft(1L, windows) - 1")).otherwise(F.coalesce("mask", F.lit(0))).alias("mask")).where("mask <> 0")
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_bytes, kept (the remaining bytes) and spans (removed runs of bytes, as begin and end) of every row."""
-    marks = repeated(docs, **options).groupBy(F.col("id").alias("doc_id"), "row").agg(F.collect_list(F.struct("at", "mask")).alias("marks"))
+    marks = stored(repeated(docs, **options).groupBy(F.col("id").alias("doc_id"), "row").agg(F.collect_list(F.struct("at", "mask")).alias("marks")), "spans")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row")).join(marks, ["doc_id", "row"], "left")
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ebbtide.llm.shared import written
+from ebbtide.llm.shared import stored
 
 GRID, SHIFT = 64, 1_000_000
 COMPONENTS = 16
@@ -275,7 +275,7 @@ def triangle(fit: DataFrame, centre: Centre, d: int) -> np.ndarray:
     def of_triangles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return reduced(row.values.to_numpy().reshape(-1, d) for batch in batches for row in batch.column(0))
 
-    parts = written(fit.select("x").mapInArrow(of_rows, "r array<double>"), "triangles")
+    parts = stored(fit.select("x").mapInArrow(of_rows, "r array<double>"), "triangles")
     n = parts.count()
     while n > 1:
         n = -(-n // MERGED)
@@ -293,7 +293,7 @@ def whitened(embeddings: DataFrame, components: int = COMPONENTS, column: str =
     spark = embeddings.sparkSession
     empty = spark.createDataFrame([], REPORT + ", identity_error double")
     rows = whole_numbers(embeddings, column, key)
-    fit = written(rows.select("x").distinct(), "distinct-vectors")
+    fit = stored(rows.select("x").distinct(), "distinct-vectors")
     d = fit.select(F.coalesce(F.max(F.size("x")), F.lit(0)).alias("d")).first()["d"]
     if not d:
         return empty
