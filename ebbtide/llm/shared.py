@@ -72,6 +72,14 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def drop(table: DataFrame) -> None:
+    """Delete the files of a table that ``stored`` made, when all that was read from it is stored in turn."""
+    files = table.inputFiles()
+    if files:
+        system, path = store(files[0].rsplit("/", 1)[0])
+        system.delete_dir(path)
+
+
 #: A key is hot when it holds more than one of so many rows; at most that many keys can be.
 HOT_ONE_OF = 2000
 

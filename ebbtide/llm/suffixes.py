@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ebbtide.llm.shared import attach, stored
+from ebbtide.llm.shared import attach, drop, stored
 from ebbtide.llm.words import _BYTE_CODE, buffers, give_back, pieces, span_hashes
 
 LENGTH = 50
@@ -33,6 +33,7 @@ STRETCH = LENGTH - GRAM + 1  # grams in a window, and the most windows of a frag
 CHUNK_BYTES = 8 << 20  # text whose anchors a task compares before it hands them on
 BUCKET_BYTES = 2 << 20
 MOST_FRAGMENTS = 20_000  # different fragments of an anchor that go to one bucket
+MOST_BROADCAST = 200_000  # crowded anchors that are sent to every task; more are joined by a shuffle
 HELD_FRAGMENTS = 500_000  # fragments a task remembers to send their bytes once
 _GAP = 255  # between fragments; no byte of UTF-8
 
@@ -235,9 +236,11 @@ def shared_anchors(docs: DataFrame) -> DataFrame:
     return fresh.groupBy(F.col("low").alias("id")).agg(F.flatten(F.collect_list(F.coalesce("known", F.array("meet")))).alias("anchors"))
 
 
-def shared_fragments(docs: DataFrame) -> DataFrame:
-    """id, row, at, windows, anchor, mark, content: fragments at shared anchors; a task sends the bytes of equal ones once."""
-    lists = stored(shared_anchors(docs), "anchors")
+def shared_fragments(docs: DataFrame, lists: DataFrame) -> DataFrame:
+    """id, row, at, windows, mark, anchor, content: fragments at shared anchors.
+
+    A task sends bytes and anchor of equal ones once, with their smallest document.
+    """
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: dict[int, int] = {}
@@ -256,23 +259,22 @@ def shared_fragments(docs: DataFrame) -> DataFrame:
             mark = span_hashes(_BYTE_CODE[data], start, end).view(np.int64)
             if len(sent) > HELD_FRAGMENTS:
                 sent.clear()
-            contents = []
+            contents, fresh = [], []
             raw = data.tobytes()
             owner = batch.column("doc_id").take(pa.array(text))
             for m, i, a, b in zip(mark.tolist(), owner.to_pylist(), start.tolist(), end.tolist()):
-                if sent.get(m, i + 1) <= i:
-                    contents.append(None)
-                else:  # always for the smallest document of a task
+                fresh.append(sent.get(m, i + 1) > i)
+                if fresh[-1]:
                     sent[m] = i
-                    contents.append(raw[a:b])
+                contents.append(raw[a:b] if fresh[-1] else None)
             take = pa.array(text)
             yield pa.RecordBatch.from_arrays(
-                [owner, batch.column("row").take(take), pa.array(start - offsets[text]), pa.array(windows.astype(np.int8)), pa.array(anchor), pa.array(mark), pa.array(contents, pa.binary())],
-                names=["id", "row", "at", "windows", "anchor", "mark", "content"],
+                [owner, batch.column("row").take(take), pa.array(start - offsets[text]), pa.array(windows.astype(np.int8)), pa.array(mark), pa.array(anchor, mask=~np.array(fresh)), pa.array(contents, pa.binary())],
+                names=["id", "row", "at", "windows", "mark", "anchor", "content"],
             )
 
     rows = docs.join(lists, docs["doc_id"] == lists["id"]).select("doc_id", F.xxhash64("text").alias("row"), "text", "anchors")
-    return rows.mapInArrow(job, "id long, row long, at long, windows byte, anchor long, mark long, content binary")
+    return rows.mapInArrow(job, "id long, row long, at long, windows byte, mark long, anchor long, content binary")
 
 
 def _sorted_masks(contents: DataFrame, buckets: int) -> DataFrame:
@@ -325,24 +327,38 @@ def buffers_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeated(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, most_fragments: int = MOST_FRAGMENTS) -> DataFrame:
-    """id, row, at, mask: for fragments of documents (``row`` tells rows of one id apart) the windows that go."""
+    """id, row (tells rows of one id apart), at, mask: of documents that lose bytes the fragments and which of their windows go."""
     own = docs.where("doc_id IS NOT NULL AND length(text) > 0").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = stored(shared_fragments(own), "fragments")
-    grouped = found.groupBy("anchor", "mark").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"), F.max("windows").alias("windows"))
+    lists = stored(shared_anchors(own), "anchors")
+    found = stored(shared_fragments(own, lists), "fragments")
+    drop(lists)
+    grouped = found.groupBy("mark").agg(F.max("anchor").alias("anchor"), F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"), F.max("windows").alias("windows"))
     marks = stored(grouped, "marks")
     total = marks.agg(F.coalesce(F.sum(F.col("windows") + LENGTH), F.lit(0)).alias("n")).first()["n"]
-    crowded = marks.groupBy("anchor").count().where(F.col("count") > most_fragments).select("anchor")
+    crowded = stored(marks.groupBy("anchor").count().where(F.col("count") > most_fragments).select("anchor"), "crowded")
     contents = found.where("content IS NOT NULL").select("id", "anchor", "mark", "content")
-    masks = _sorted_masks(contents.join(crowded, "anchor", "left_anti"), max(1, -(-total // bucket_bytes))).unionByName(_window_masks(contents.join(crowded, "anchor", "left_semi")))
+    buckets = max(1, -(-total // bucket_bytes))
+    many = crowded.count()
+    if many:
+        few = F.broadcast(crowded) if many <= MOST_BROADCAST else crowded
+        masks = _sorted_masks(contents.join(few, "anchor", "left_anti"), buckets).unionByName(_window_masks(contents.join(few, "anchor", "left_semi")))
+    else:
+        masks = _sorted_masks(contents, buckets)
     masks = stored(masks, "masks")
     table = stored(marks.select("mark", "low", "high", "n").join(masks, "mark", "left").where("high > low OR mask IS NOT NULL").drop("high"), "repeated")
+    drop(marks)
     met = attach(found.select("id", "row", "at", "windows", "mark"), table, "mark", "n", ["id", "at"]).where("low IS NOT NULL")
-    return met.select("id", "row", "at", F.when(F.col("id") > F.col("low"), F.expr("shiftleft(1L, windows) - 1")).otherwise(F.coalesce("mask", F.lit(0))).alias("mask")).where("mask <> 0")
+    gone = F.when(F.col("id") > F.col("low"), F.expr("shiftleft(1L, windows) - 1")).otherwise(F.coalesce("mask", F.lit(0)))
+    spans = met.select("id", "row", "at", gone.alias("mask")).where("mask <> 0").groupBy("id", "row").agg(F.collect_list("at").alias("at"), F.collect_list("mask").alias("mask"))
+    out = stored(spans, "spans")
+    for table in (found, masks, table):
+        drop(table)
+    return out
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_bytes, kept (the remaining bytes) and spans (removed runs of bytes, as begin and end) of every row."""
-    marks = stored(repeated(docs, **options).groupBy(F.col("id").alias("doc_id"), "row").agg(F.collect_list(F.struct("at", "mask")).alias("marks")), "spans")
+    marks = repeated(docs, **options).withColumnRenamed("id", "doc_id")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row")).join(marks, ["doc_id", "row"], "left")
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,7 +385,7 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
                 names=["doc_id", "n_bytes", "kept", "spans"],
             )
 
-    return rows.select("doc_id", "text", F.col("marks.at").alias("at"), F.col("marks.mask").alias("mask")).mapInArrow(
+    return rows.select("doc_id", "text", "at", "mask").mapInArrow(
         job, "doc_id long, n_bytes long, kept binary, spans array<struct<begin: long, end: long>>"
     )
 
