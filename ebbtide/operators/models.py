@@ -1,39 +1,24 @@
-"""Fitted tiers on MLlib: preprocessing, logistic regression, boosted trees, calibration, importance."""
+"""Fitted tiers: preprocessing, logistic regression and isotonic calibration on MLlib, boosted trees, importance."""
 
 from __future__ import annotations
 
-import re
-from dataclasses import dataclass
-
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ebbtide.contracts import ASOF, CUSTOMER, FAMILY, FEATURES, LABEL, NUMERIC
 from ebbtide.functions.ordered import ranked
+from ebbtide.operators import boosting
 from ebbtide.operators.ranking import rank_metrics
 from ebbtide.operators.scoring import prior_score, recency_score
-from ebbtide.session import checkpoint_folder
 
 POOLED = "__infrequent__"
 MIN_LEVEL_ROWS = 20
 
 
-@dataclass(frozen=True)
-class BoostingSettings:
-    max_rounds: int = 600
-    step: float = 0.05
-    depth: int = 5
-    min_leaf: int = 40
-    subsample: float = 0.9
-    feature_share: str = "0.8"
-    least_rounds: int = 20
-    patience: int = 50  # rounds without gain that end the search
-
-
 def frequent_levels(rows: DataFrame, column: str, min_rows: int = MIN_LEVEL_ROWS) -> DataFrame:
     """Levels with enough rows to keep their own column; a missing value is the level Unknown."""
     level = F.coalesce(column, F.lit("Unknown")).alias("level")
@@ -89,72 +74,13 @@ def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 2000, tol: fl
     return Pipeline(stages=[*preprocessing(train, scale=True), model]).fit(balanced(train))
 
 
-def _boosting(rounds: int, s: BoostingSettings, seed: int) -> GBTClassifier:
-    # A checkpoint every tenth round cuts the lineage, which would otherwise grow with every tree.
-    return GBTClassifier(
-        featuresCol="features", labelCol=LABEL, maxIter=rounds, stepSize=s.step, maxDepth=s.depth, minInstancesPerNode=s.min_leaf,
-        subsamplingRate=s.subsample, featureSubsetStrategy=s.feature_share, seed=seed, cacheNodeIds=False, checkpointInterval=10)
+def boosting_edges(train: DataFrame) -> DataFrame:
+    """Bins of the boosted tier, learned on the rows that fit it; rare countries have no column of their own."""
+    return boosting.bin_edges(train, sorted(r.level for r in frequent_levels(train, "country_grp").collect()))
 
 
-def auc_by_round(model: GBTClassificationModel, held: DataFrame) -> list[float]:
-    """AUC of prepared rows after every tree of a model with a leaf column.
-
-    A row's leaf in every tree comes with one pass; the leaves' values, which the model bounds, are broadcast,
-    and running sums per row are rated in one grouped aggregate.
-    """
-    leaves = []
-    for k, (tree, weight) in enumerate(zip(model.trees, model.treeWeights)):
-        values = re.findall(r"Predict: (\S+)", tree.toDebugString)  # left to right, as leaves are numbered
-        leaves += [(k, float(n), weight * float(v)) for n, v in enumerate(values)]
-    table = held.sparkSession.createDataFrame(leaves, "tree int, leaf double, value double")
-    rows = model.transform(held).select(CUSTOMER, ASOF, F.col(LABEL).alias("y"), F.posexplode(vector_to_array(model.getLeafCol())).alias("tree", "leaf"))
-    sums = F.sum("value").over(W.partitionBy(CUSTOMER, ASOF).orderBy("tree").rowsBetween(W.unboundedPreceding, 0))
-    scored = rows.join(F.broadcast(table), ["tree", "leaf"]).select("tree", "y", sums.alias("p"))
-    found = {r["tree"]: r["roc_auc"] for r in rank_metrics(scored, ["tree"]).select("tree", "roc_auc").collect()}
-    return [found[k] if found.get(k) is not None else 0.5 for k in range(len(model.trees))]
-
-
-def best_round(aucs: list[float], patience: int) -> tuple[int, bool]:
-    """Rounds up to the first best AUC, and whether ``patience`` rounds without gain ended the search."""
-    best = 0
-    for k, auc in enumerate(aucs):
-        if auc > aucs[best]:
-            best = k
-        elif k - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def tune_rounds(train: DataFrame, settings: BoostingSettings = BoostingSettings(), seed: int = 42) -> dict:
-    """Boosting rounds found on an inner split in time: all but the last as-of day fit, the last decides.
-
-    The search ends when ``patience`` rounds bring no better AUC on the held day, or at the cap. MLlib cannot go
-    on from a model, so fits of twice as many rounds follow each other; their first trees are the same, since
-    a tree's seed is that of its round. With a single as-of day a fifth of its customers, by hash, is held instead. The
-    validation fold stays untouched. The count grows with the ratio of rows for the final fit.
-    """
-    days = [r[0] for r in train.select(ASOF).distinct().orderBy(ASOF).collect()]
-    held = F.col(ASOF) == F.lit(days[-1]) if len(days) > 1 else F.pmod(F.xxhash64(CUSTOMER), F.lit(5)) == 0
-    inner = train.where(~held)
-    prepared = Pipeline(stages=preprocessing(inner, scale=False)).fit(inner)
-    checkpoint_folder(train.sparkSession)
-    fitted, rated = prepared.transform(inner).persist(), prepared.transform(train.where(held)).persist()
-    searched = min(2 * settings.patience, settings.max_rounds)
-    while True:
-        probe = _boosting(searched, settings, seed)
-        best, stopped = best_round(auc_by_round(probe.copy({probe.leafCol: "leaf"}).fit(fitted), rated), settings.patience)
-        if stopped or searched == settings.max_rounds:
-            break
-        searched = min(2 * searched, settings.max_rounds)
-    rounds = max(int(best * train.count() / max(fitted.count(), 1)), settings.least_rounds)
-    fitted.unpersist()
-    rated.unpersist()
-    return {"tuned": True, "best_inner": best, "rounds": rounds, "cap": settings.max_rounds, "searched": searched}
-
-
-def fit_boosted(train: DataFrame, rounds: int, settings: BoostingSettings = BoostingSettings(), seed: int = 42) -> PipelineModel:
-    checkpoint_folder(train.sparkSession)
-    return Pipeline(stages=[*preprocessing(train, scale=False), _boosting(rounds, settings, seed)]).fit(train)
+def predict_boosted(model: tuple[DataFrame, DataFrame], rows: DataFrame) -> DataFrame:
+    return boosting.predict(model, rows)
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -176,18 +102,18 @@ def calibrate(model: IsotonicRegressionModel, scores: DataFrame) -> DataFrame:
     return model.transform(scores).withColumn("p", F.col("calibrated")).drop("calibrated")
 
 
-def score_tiers(table: DataFrame, logistic: PipelineModel, boosted: PipelineModel) -> DataFrame:
+def score_tiers(table: DataFrame, logistic: PipelineModel, boosted: tuple[DataFrame, DataFrame]) -> DataFrame:
     """Scored rows of the four tiers: base rate, recency rule, logistic regression, calibrated boosted trees.
 
     Everything is learned on the train fold, calibration on the validation fold.
     """
     train, valid = table.where("fold = 'train'"), table.where("fold = 'valid'")
-    isotonic = fit_isotonic(predict(boosted, valid))
+    isotonic = fit_isotonic(predict_boosted(boosted, valid))
     tiers = {
         "trivial_prior": table.withColumn("p", prior_score(train)),
         "heuristic_recency": table.withColumn("p", recency_score(train)),
         "baseline_logistic": predict(logistic, table),
-        "candidate_boosted": calibrate(isotonic, predict(boosted, table)),
+        "candidate_boosted": calibrate(isotonic, predict_boosted(boosted, table)),
     }
     parts = [rows.select(F.lit(name).alias("model"), "fold", ASOF, CUSTOMER, F.col(LABEL).alias("y"), "p") for name, rows in tiers.items()]
     out = parts[0]
@@ -196,10 +122,12 @@ def score_tiers(table: DataFrame, logistic: PipelineModel, boosted: PipelineMode
     return out
 
 
-def fit_tiers(table: DataFrame, settings: BoostingSettings = BoostingSettings(), seed: int = 42) -> DataFrame:
+def fit_tiers(table: DataFrame, settings: boosting.BoostingSettings = boosting.BoostingSettings(), seed: int = 42) -> DataFrame:
     """``score_tiers`` with models fitted on the spot."""
     train = table.where("fold = 'train'")
-    return score_tiers(table, fit_logistic(train), fit_boosted(train, tune_rounds(train, settings, seed)["rounds"], settings, seed))
+    edges = boosting_edges(train)
+    trees = boosting.fit(train, edges, boosting.tune_rounds(train, edges, settings, seed)["rounds"], settings, seed)
+    return score_tiers(table, fit_logistic(train), (edges, trees))
 
 
 def permutation_importance(model: PipelineModel, rows: DataFrame, repeats: int = 5, seed: int = 42) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from ebbtide.contracts import ASOF, CUSTOMER, LABEL
-from ebbtide.operators import aging, campaign, features, models, outcomes, ranking, scoring
+from ebbtide.operators import aging, boosting, campaign, features, models, outcomes, ranking, scoring
 from ebbtide.plans.queries_features import shown
 from ebbtide.plans.registry import query
 from ebbtide.settings import STAR
@@ -47,8 +47,8 @@ def train_logreg(spark: SparkSession, folder: str) -> DataFrame:
 def train_gbt(spark: SparkSession, folder: str) -> DataFrame:
     """The boosted tier per fold, and whether the searched rounds keep their bounds: the cap, or the patience after the best."""
     stages = Stages(spark, folder)
-    scored = _as_scored(models.predict(stages.boosted(), stages.training()), "candidate_boosted")
-    found, bounds = stages.rounds().first(), models.BoostingSettings()
+    scored = _as_scored(models.predict_boosted(stages.boosted(), stages.training()), "candidate_boosted")
+    found, bounds = stages.rounds().first(), boosting.BoostingSettings()
     kept = found["rounds"] >= bounds.least_rounds and found["best_inner"] <= found["cap"] == bounds.max_rounds
     kept = kept and (found["searched"] == found["cap"] or found["searched"] - found["best_inner"] >= bounds.patience)
     return _checked(scored).withColumn("rounds_in_bounds", F.lit(kept))

@@ -6,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbtide.contracts import ASOF, CUSTOMER, FEATURES
-from ebbtide.operators import models, monitoring, scoring, snapshots
+from ebbtide.operators import boosting, models, monitoring, scoring, snapshots
 from ebbtide.operators.features import asof_features, top_countries
 from ebbtide.settings import STAR, Settings
 from ebbtide.sources import star
@@ -43,18 +43,22 @@ class Stages:
     def logistic(self) -> PipelineModel:
         return self._tables.model("logistic", lambda: models.fit_logistic(self.training().where("fold = 'train'")))
 
+    def boosting_edges(self) -> DataFrame:
+        return self._tables.table("boosting_edges", lambda: models.boosting_edges(self.training().where("fold = 'train'")))
+
     def rounds(self) -> DataFrame:
         """One row: what the round search found."""
         def found() -> DataFrame:
-            return self.spark.createDataFrame([models.tune_rounds(self.training().where("fold = 'train'"), seed=self.settings.seed)])
+            return self.spark.createDataFrame([boosting.tune_rounds(self.training().where("fold = 'train'"), self.boosting_edges(), seed=self.settings.seed)])
 
         return self._tables.table("rounds_by_auc", found)
 
-    def boosted(self) -> PipelineModel:
-        def fit() -> PipelineModel:
-            return models.fit_boosted(self.training().where("fold = 'train'"), self.rounds().first()["rounds"], seed=self.settings.seed)
+    def boosted(self) -> tuple[DataFrame, DataFrame]:
+        """Bins and trees of the boosted tier."""
+        def fit() -> DataFrame:
+            return boosting.fit(self.training().where("fold = 'train'"), self.boosting_edges(), self.rounds().first()["rounds"], seed=self.settings.seed)
 
-        return self._tables.model("boosted_by_auc", fit)
+        return self.boosting_edges(), self._tables.table("boosted_trees", fit)
 
     def fitted(self) -> DataFrame:
         """Scored rows of the four tiers, by the stored models."""

@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbtide.contracts import ASOF, CUSTOMER, LABEL, NUMERIC
-from ebbtide.operators import models, ranking
+from ebbtide.operators import boosting, models, ranking
 
-SMALL = models.BoostingSettings(max_rounds=4, depth=2, least_rounds=2)
+SMALL = boosting.BoostingSettings(max_rounds=4, leaves=4, step=0.3, least_rounds=2)
 
 
 @pytest.fixture(scope="module")
@@ -45,10 +45,11 @@ def test_logistic_and_importance(table, tmp_path):
 
 def test_boosting_rounds_and_calibration(table):
     train, valid = table.where("fold = 'train'"), table.where("fold = 'valid'")
-    found = models.tune_rounds(train, SMALL)
-    assert found["tuned"] and 1 <= found["best_inner"] <= 4 and found["rounds"] >= 2 and found["cap"] == 4
-    assert models.tune_rounds(train.where(F.col(ASOF) == "2024-01-31"), SMALL)["best_inner"] >= 1  # one day: split by customer
-    scores = models.predict(models.fit_boosted(train, found["rounds"], SMALL), table)
+    edges = models.boosting_edges(train)
+    found = boosting.tune_rounds(train, edges, SMALL)
+    assert found["tuned"] and 1 <= found["best_inner"] <= 4 and 2 <= found["rounds"] <= 4 and found["cap"] == found["searched"] == 4
+    assert boosting.tune_rounds(train.where(F.col(ASOF) == "2024-01-31"), edges, SMALL)["best_inner"] >= 1  # one day: split by customer
+    scores = models.predict_boosted((edges, boosting.fit(train, edges, found["rounds"], SMALL)), table)
     assert _auc(scores) > 0.85
     fitted = models.fit_isotonic(scores.where("fold = 'valid'"))
     after = models.calibrate(fitted, scores)
@@ -68,15 +69,80 @@ def test_balanced_weights_and_pooling(table):
 
 
 def test_search_goes_on_through_rounds_without_gain(table):
-    assert models.best_round([0.6, 0.7, 0.69, 0.69, 0.8, 0.8, 0.7, 0.7], 3) == (5, True)
-    assert models.best_round([0.6, 0.7, 0.69, 0.69, 0.69, 0.9], 3) == (2, True) and models.best_round([0.5, 0.6, 0.5], 3) == (2, False)
+    assert boosting.best_round([0.6, 0.7, 0.69, 0.69, 0.8, 0.8, 0.7, 0.7], 3) == (5, True)
+    assert boosting.best_round([0.6, 0.7, 0.69, 0.69, 0.69, 0.9], 3) == (2, True) and boosting.best_round([0.5, 0.6, 0.5], 3) == (2, False)
+    late = [0.6] + [0.5] * 49 + [0.7] + [0.6] * 60  # the best lies beyond 49 rounds without gain
+    assert boosting.best_round(late, 50) == (51, True) and boosting.best_round([0.6] + [0.5] * 50 + [0.7], 50) == (1, True)
+
+
+def _grown(bins, y, margin, s, features):
+    """A plain leaf-by-leaf tree on small data: (margin after it, leaves)."""
+    g, h = 1 / (1 + np.exp(-margin)) - y, None
+    p = 1 / (1 + np.exp(-margin))
+    h = p * (1 - p)
+    g, h = np.round(g * boosting.UNIT) / boosting.UNIT, np.round(h * boosting.UNIT) / boosting.UNIT
+    score = lambda rows: g[rows].sum() ** 2 / (h[rows].sum() + s.l2)
+
+    def best(rows):
+        options = []
+        for f in features:
+            for cut in range(boosting.BINS):
+                low = bins[rows, f] <= cut
+                a, b = rows[low], rows[~low]
+                if len(a) >= s.min_leaf and len(b) >= s.min_leaf:
+                    options.append((score(a) + score(b) - score(rows), -f, -cut))
+        top = max(options, default=None)
+        return None if top is None or top[0] <= 1e-12 else (top[0], -top[1], -top[2])
+
+    out, open_, left, leaves = margin.copy(), [np.arange(len(y))], s.leaves - 1, []
+    while open_ and left > 0:
+        found = sorted(((best(r), r) for r in open_ if best(r)), key=lambda x: -x[0][0])[:left]
+        open_ = []
+        for (_, f, cut), rows in found:
+            low = bins[rows, f] <= cut
+            for part in (rows[low], rows[~low]):
+                out[part] = margin[part] - s.step * g[part].sum() / (h[part].sum() + s.l2)
+                open_.append(part)
+        left -= len(found)
+    return out
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_trees_match_a_plain_version(table, small):
     train = table.where("fold = 'train'")
-    settings = models.BoostingSettings(max_rounds=12, depth=3, least_rounds=2, step=0.5, patience=4)
-    found = models.tune_rounds(train, settings)
-    assert found["searched"] == 12 or found["searched"] - found["best_inner"] >= 4
-    ready = models.Pipeline(stages=models.preprocessing(train, scale=False)).fit(train).transform(train).cache()
-    probe = models._boosting(3, settings, 42)
-    model = probe.copy({probe.leafCol: "leaf"}).fit(ready)
-    scored = model.transform(ready).select("fold", F.col(LABEL).alias("y"), models.vector_to_array("rawPrediction")[1].alias("p"))
-    aucs = models.auc_by_round(model, ready)
-    assert len(aucs) == 3 and aucs[-1] == pytest.approx(ranking.rank_metrics(scored, ["fold"]).first().roc_auc)
+    s = boosting.BoostingSettings(leaves=6, step=0.4, subsample=1.0, feature_share=1.0, min_leaf=15)
+    edges = models.boosting_edges(train)
+    run = boosting.Boosting(train, edges, F.lit(True), s, 1)
+    run.small = small
+    run.advance(3)
+    rows = run.rows.orderBy(CUSTOMER, ASOF).collect()
+    bins, y = np.array([r["bins"] for r in rows]), np.array([r["y"] for r in rows], float)
+    margin = np.zeros(len(y))
+    for k in range(3):
+        margin = _grown(bins, y, margin, s, range(run.width))
+        assert np.allclose([r["trail"][k] for r in rows], margin, atol=1e-9)
+    again = boosting.margins(run.table(3), run.rows.select("bins", F.col("margin").alias("was"))).collect()
+    assert all(r["margin"] == pytest.approx(r["was"], abs=1e-12) for r in again)
+
+
+def test_rounds_go_on_from_where_they_stand(table):
+    train = table.where("fold = 'train'")
+    edges, s = models.boosting_edges(train), boosting.BoostingSettings(leaves=4)
+    whole, parts = boosting.Boosting(train, edges, F.lit(True), s, 7), boosting.Boosting(train.repartition(5), edges, F.lit(True), s, 7)
+    whole.advance(4)
+    parts.small = False
+    parts.advance(1)
+    parts.small = True
+    parts.advance(3)
+    for a, b in zip(whole.trees, parts.trees, strict=True):
+        assert (a.feature, a.cut, a.left) == (b.feature, b.cut, b.left) and a.value == pytest.approx(b.value, abs=1e-6)
+
+
+def test_boosted_scores_of_missing_values(table):
+    train = table.where("fold = 'train'")
+    edges = models.boosting_edges(train)
+    trees = boosting.fit(train, edges, 2, SMALL)
+    holes = table.select(*[F.lit(None).cast("double").alias(c) if c in NUMERIC else F.lit(None).cast("string").alias(c) if c == "country_grp" else c for c in table.columns])
+    assert models.predict_boosted((edges, trees), holes).where("p IS NULL OR p <= 0 OR p >= 1").count() == 0
+    strange = table.withColumn("country_grp", F.lit("Atlantis")).withColumn("recency_days", F.lit(float("nan")))
+    assert models.predict_boosted((edges, trees), strange).where("p IS NULL").count() == 0
