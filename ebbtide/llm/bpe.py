@@ -28,12 +28,13 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbtide.llm.shared import put
-from ebbtide.llm.words import buffers, pieces
+from ebbtide.llm.words import buffers, give_back, pieces
 
 LEXICON_WORDS = 1 << 17  # bound of the transducer; other words are merged on their own
 CACHE_WORDS = 1 << 18  # words a task remembers between pieces
 #: Pre-tokenisation of byte-level vocabularies (fixed: the file's ids depend on it).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+PIECE = 4 << 20  # bytes of text whose new words are merged together
 _WIDE = 64  # longer words are merged one at a time
 
 
@@ -307,6 +308,7 @@ class Encoder:
         self.words = regex.compile(PATTERN).findall
         self.special = regex.compile("(" + "|".join(map(regex.escape, vocabulary.special)) + ")") if vocabulary.special else None
         self.known: dict[str, tuple[list[int], str, bytes]] = {}
+        self.decimal = [str(i) for i in range(vocabulary.size)]
 
     def split(self, text: str) -> list[str]:
         """The words of a text; special tokens stand for themselves."""
@@ -328,9 +330,12 @@ class Encoder:
         unseen = [k for k, x in enumerate(ids) if x is None]
         for k, x in zip(unseen, self.vocabulary.merge_many([coded[k] for k in unseen])):
             ids[k] = x
-        token = self.vocabulary.token_bytes
+        token, decimal = self.vocabulary.token_bytes, self.decimal
         for word, own in zip(new, ids):
-            self.known[word] = (own, ",".join(map(str, own)), b"".join([token[i] for i in own]))
+            if len(own) == 1:
+                self.known[word] = (own, decimal[own[0]], token[own[0]])
+            else:
+                self.known[word] = (own, ",".join([decimal[i] for i in own]), b"".join([token[i] for i in own]))
 
     def texts(self, texts: list[str | None]) -> Iterator[list[tuple[list[int], str, bytes]]]:
         """For each text its words as (ids, ids in decimal, bytes of the ids)."""
@@ -380,7 +385,9 @@ def frequent_words(docs: DataFrame, size: int) -> list[bytes]:
 
 def lexicon_of(docs: DataFrame, vocabulary: Vocabulary, size: int = LEXICON_WORDS) -> str:
     """Compile and publish the lexicon of the most frequent words."""
-    return publish(docs.sparkSession, Lexicon.build(frequent_words(docs, size), vocabulary))
+    name = publish(docs.sparkSession, Lexicon.build(frequent_words(docs, size), vocabulary))
+    give_back()  # the driver keeps none of it
+    return name
 
 
 def encoded(docs: DataFrame, path: str | None = None, lexicon_words: int = LEXICON_WORDS, with_ids: bool = True) -> DataFrame:
@@ -391,14 +398,14 @@ def encoded(docs: DataFrame, path: str | None = None, lexicon_words: int = LEXIC
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary, mapped(name))
-        for batch in pieces(batches):
+        for batch in pieces(batches, limit=PIECE):
             counts, digests, decoded, ids = [], [], [], []
             data, offsets = buffers(batch.column("text"))
             for k, words in enumerate(encoder.texts(batch.column("text").to_pylist())):
-                own = [w[0] for w in words]
+                own, decimal, raw = zip(*words) if words else ((), (), ())
                 counts.append(sum(map(len, own)))
-                digests.append(sha256(",".join([w[1] for w in words]).encode()).hexdigest())
-                back = b"".join([w[2] for w in words])
+                digests.append(sha256(",".join(decimal).encode()).hexdigest())
+                back = b"".join(raw)
                 if back != data[offsets[k] : offsets[k + 1]].tobytes():  # bytes that are no whole characters
                     back = back.decode("utf-8", "replace").encode()
                 decoded.append(sha256(back).hexdigest())

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ebbtide.llm.words import SPACED, Words, cut, pieces, span_hashes
+from ebbtide.llm.words import SPACED, Words, cut, give_back, pieces, span_hashes
 
 SAMPLE = 1000  # labelled documents the chain is fitted on, at most; the documented bound of the fit
 LEAST_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 20, 8, 30
@@ -200,7 +200,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").where("text IS NOT NULL").orderBy("doc_id").limit(sample).toArrow()
     lines = Lines(rows.column("text"))
     states = np.where(np.array(rows.column("quality").to_pylist(), dtype=int) > 0, CONTENT, BOILERPLATE) if rows.num_rows else np.zeros(0, int)
-    return fit(lines.features(), states[lines.text], lines.first) if len(lines.text) else (np.zeros((FEATURES, 2)), np.zeros((2, 2)))
+    model = fit(lines.features(), states[lines.text], lines.first) if len(lines.text) else (np.zeros((FEATURES, 2)), np.zeros((2, 2)))
+    del rows, lines, states
+    give_back()  # the driver keeps none of the texts
+    return model
 
 
 class Verdicts:
