@@ -232,3 +232,17 @@ def test_pieces_keep_every_row():
 
     batch = pa.record_batch({"text": pa.array(["abc", None, "x" * 50, "", "yy"])})
     assert [t for p in pieces([batch], limit=4) for t in p.column("text").to_pylist()] == batch.column("text").to_pylist()
+
+
+def test_narrow_pattern_cuts_like_the_wide_one():
+    import regex
+
+    random.seed(8)
+    wide, cut = regex.compile(bpe.PATTERN).findall, bpe.word_cutter()
+    for k in range(256):
+        for text in (chr(k), f"a{chr(k)}1", f" {chr(k)} {chr(k)}{chr(k)}b", f"{chr(k)}\n \t{chr(k)}"):
+            assert cut(text) == wide(text)
+    for top in (128, 256, 0x2FFF):
+        for _ in range(300):
+            text = "".join(random.choice((chr(random.randrange(top)), " ", "\n", "e", "7", "'", "ll")) for _ in range(60))
+            assert cut(text) == wide(text)
