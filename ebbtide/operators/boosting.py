@@ -27,7 +27,7 @@ from ebbtide.session import checkpoint_folder
 UNIT = 1 << 20  # gradients are summed in whole parts of this
 BINS = 64
 ROWS_OF_A_TASK = 200_000  # up to here one task runs a block of rounds; more rows are summed by an aggregate a pass
-BLOCK = 50  # rounds between two ratings of the held rows, with a checkpoint each
+BLOCK, SMALL_BLOCK = 25, 100  # rounds between two ratings of the held rows, with a checkpoint each; the second for few rows
 ROW = [CUSTOMER, ASOF, "y", "fits", "bins", "margin", "trail"]
 TREE = "tree int, depth int, feature array<int>, cut array<int>, left array<int>, value array<double>"
 
@@ -248,6 +248,7 @@ class Boosting:
         self.parts = max(1, -(-whole.count() // ROWS_OF_A_TASK))
         self.rows = whole.coalesce(self.parts).checkpoint()
         self.small = self.parts == 1
+        self.block = SMALL_BLOCK if self.small else BLOCK
 
     def advance(self, rounds: int) -> None:
         """Add ``rounds`` trees; the rows carry their margins after each of them until the next call."""
@@ -305,7 +306,7 @@ def tune_rounds(train: DataFrame, edges: DataFrame, s: BoostingSettings = Boosti
     held = F.col(ASOF) == F.lit(days[-1]) if len(days) > 1 else F.pmod(F.xxhash64(CUSTOMER), F.lit(5)) == 0
     run, aucs = Boosting(train, edges, ~held, s, seed), []
     while True:
-        run.advance(min(BLOCK, s.max_rounds - len(run.trees)))
+        run.advance(min(run.block, s.max_rounds - len(run.trees)))
         aucs += run.held_aucs() or [0.5] * (len(run.trees) - len(aucs))
         best, stopped = best_round(aucs, s.patience)
         if stopped or len(run.trees) == s.max_rounds:
@@ -319,7 +320,7 @@ def fit(train: DataFrame, edges: DataFrame, rounds: int, s: BoostingSettings = B
     """The trees, as a table."""
     run = Boosting(train, edges, F.lit(True), s, seed)
     while len(run.trees) < rounds:
-        run.advance(min(BLOCK, rounds - len(run.trees)))
+        run.advance(min(run.block, rounds - len(run.trees)))
     return run.table(rounds)
 
 
