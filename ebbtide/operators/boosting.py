@@ -2,11 +2,11 @@
 
 Features become bin numbers once. A round adds one tree to the margins, which are a column of the rows, so the search
 for the number of rounds goes on from where it stands and repeats none. A tree is grown from sums of gradients per
-(leaf, feature, bin): one aggregate gives those of all new leaves, and what reaches the driver is bounded by leaves,
+(leaf, feature, bin): one aggregate gives those of half of the new leaves, their parents the rest, and what reaches the driver is bounded by leaves,
 features and bins, whatever the number of rows. Up to ``ROWS_OF_A_TASK`` rows one task runs a block of rounds with the
 same sums, which saves a job a pass.
 Gradients are summed as whole numbers, so a fit does not depend on the order of rows or tasks. Trees are rows of a small
-table; a prediction walks them by array functions, without a UDF.
+table; a prediction walks all of them for an Arrow batch of rows at a time.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from random import Random
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ebbtide.contracts import ASOF, CUSTOMER, LABEL, NUMERIC
 from ebbtide.operators.ranking import rank_metrics
@@ -127,22 +128,24 @@ def _histograms(rows: DataFrame, node: Column, open_: list[int], shape: tuple[in
     return out
 
 
-def _best_split(cells: np.ndarray, features: list[int], s: BoostingSettings) -> tuple[float, int, int, tuple[float, float]] | None:
-    """Gain, feature, last bin of the left side and both leaf values of the best admissible split."""
-    left = np.cumsum(cells, axis=1)[:, :-1]
-    whole = cells[0].sum(0)
-    right = whole - left
-    score = lambda x: x[..., 0] ** 2 / (x[..., 1] + s.l2)
-    gain = score(left) + score(right) - score(whole)
-    ok = (left[..., 2] >= s.min_leaf) & (right[..., 2] >= s.min_leaf)
-    ok[[f for f in range(len(cells)) if f not in features]] = False
-    gain = np.where(ok, gain, -np.inf)
-    best = int(gain.argmax())
-    f, cut = divmod(best, gain.shape[1])
-    if not gain[f, cut] > 1e-12:
-        return None
+def _best_splits(cells: np.ndarray, features: list[int], s: BoostingSettings) -> list[tuple[float, int, int, tuple[float, float], int] | None]:
+    """For each leaf: gain, feature, last bin of the left side, both leaf values and the side (0, 1) with fewer rows, of
+    its best admissible split."""
+    features = sorted(features)
+    low = np.cumsum(np.moveaxis(cells[:, features], -1, 0), axis=-1)
+    whole, low = low[..., -1:], low[..., :-1]
+    high = whole - low
+    score = lambda x: x[0] ** 2 / (x[1] + s.l2)
+    gain = score(low) + score(high) - score(whole)
+    gain[(low[2] < s.min_leaf) | (high[2] < s.min_leaf)] = -np.inf
     value = lambda x: float(-s.step * x[0] / (x[1] + s.l2))
-    return float(gain[f, cut]), f, cut, (value(left[f, cut]), value(right[f, cut]))
+    out = []
+    for k, best in enumerate(gain.reshape(len(cells), -1).argmax(1)):
+        f, cut = divmod(int(best), gain.shape[2])
+        a, b = low[:, k, f, cut], high[:, k, f, cut]
+        found = float(gain[k, f, cut]), features[f], cut, (value(a), value(b)), int(a[2] > b[2])
+        out.append(found if found[0] > 1e-12 else None)
+    return out
 
 
 def _chosen(number: int, width: int, s: BoostingSettings, seed: int) -> list[int]:
@@ -154,15 +157,24 @@ def _drawn(number: int | Column, s: BoostingSettings, seed: int) -> Column:
 
 
 def _grown(histograms: Callable[[Tree, list[int]], dict[int, np.ndarray]], chosen: list[int], s: BoostingSettings) -> Tree:
-    """A tree from sums over the rows; a pass splits the best of the leaves that can be split."""
-    tree, open_, left = Tree(), [0], s.leaves - 1
-    while open_ and left > 0:
-        found = histograms(tree, open_)
-        splits = sorted(((b, k) for k in open_ if (b := _best_split(found[k], chosen, s))), key=lambda x: (-x[0][0], x[1]))
-        open_ = []
-        for (_, feature, cut, values), k in splits[:left]:
-            open_ += tree.split(k, feature, cut, values)
-        left -= len(splits[:left])
+    """A tree from sums over the rows; a pass splits the best of the leaves that can be split.
+
+    Only the child with fewer rows is summed: what its parent holds beyond that is the other child's, exactly.
+    """
+    tree, left = Tree(), s.leaves - 1
+    held = histograms(tree, [0])
+    while held and left > 0:
+        best = _best_splits(np.stack(list(held.values())), chosen, s)
+        splits = sorted(((b, k) for b, k in zip(best, held) if b), key=lambda x: (-x[0][0], x[1]))[:left]
+        fewer = {}
+        for (_, feature, cut, values, light), k in splits:
+            children = tree.split(k, feature, cut, values)
+            fewer[children[light]] = children[1 - light], held[k]
+        left, held = left - len(splits), {}
+        if fewer and left > 0:
+            found = histograms(tree, list(fewer))
+            for child, (other, parent) in fewer.items():
+                held |= {child: found[child], other: parent - found[child]}
     return tree
 
 
@@ -324,14 +336,40 @@ def fit(train: DataFrame, edges: DataFrame, rounds: int, s: BoostingSettings = B
     return run.table(rounds)
 
 
+def _stacked(trees: DataFrame) -> tuple[list[int], list[np.ndarray]]:
+    """Depths of all trees, and their node arrays one behind the other; bounded by rounds and leaves."""
+    rows = trees.orderBy("tree").toArrow()
+    sizes = [len(x) for x in rows.column("left").to_pylist()]
+    first = np.repeat(np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes).astype(np.int32)
+    feature, cut, left, value = (rows.column(c).combine_chunks().flatten().to_numpy() for c in ("feature", "cut", "left", "value"))
+    # A leaf leads to itself: no bin is above its cut.
+    inner = left >= 0
+    own = np.arange(len(left), dtype=np.int32)
+    nodes = [feature.astype(np.int32), np.where(inner, cut, np.iinfo(np.int32).max), np.where(inner, left + first, own).astype(np.int32), value]
+    return rows.column("depth").to_pylist(), [np.unique(first) if len(first) else first, *nodes]
+
+
 def margins(trees: DataFrame, rows: DataFrame) -> DataFrame:
-    """Add ``margin`` to rows with ``bins``; the table of trees is bounded by rounds and leaves."""
-    whole = trees.agg(F.array_sort(F.collect_list(F.struct(*trees.columns))).alias("t")).scalar()
-    leaf = _leaf_sql("bins", "t.depth", "t.feature", "t.cut", "t.left")
-    return rows.withColumn("_trees", whole).withColumn("margin", F.expr(f"aggregate(_trees, 0D, (m, t) -> m + t.value[{leaf}])")).drop("_trees")
+    """Add ``margin`` to rows with ``bins``: the sum over all trees, which reach the tasks as one broadcast table."""
+    depths, nodes = _stacked(trees)
+    model = rows.sparkSession.sparkContext.broadcast((depths, nodes))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        depths, (roots, feature, cut, left, value) = model.value
+        for batch in batches:
+            n, flat = batch.num_rows, batch.column("bins").flatten().to_numpy(zero_copy_only=False)
+            start, total = np.arange(n) * (len(flat) // max(n, 1)), np.zeros(n)
+            for root, depth in zip(roots, depths):
+                at = np.full(n, root, np.int32)
+                for _ in range(depth):
+                    at = left[at] + (flat[start + feature[at]] > cut[at])
+                total += value[at]
+            yield batch.append_column("margin", pa.array(total))
+
+    return rows.mapInArrow(walk, StructType([*rows.schema.fields, StructField("margin", DoubleType())]))
 
 
 def predict(model: tuple[DataFrame, DataFrame], rows: DataFrame) -> DataFrame:
     """Rows with the probability ``p`` of the positive class; ``model`` is (edges, trees)."""
     edges, trees = model
-    return margins(trees, binned(rows, edges)).withColumn("p", 1 / (1 + F.exp(-F.col("margin")))).select(*rows.columns, "p")
+    return margins(trees, binned(rows, edges)).select(*rows.columns, (1 / (1 + F.exp(-F.col("margin")))).alias("p"))
