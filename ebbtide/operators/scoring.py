@@ -8,6 +8,8 @@ from ebbtide.contracts import ASOF, CUSTOMER, LABEL, NUMERIC
 from ebbtide.functions.ordered import attach_row, exact_quantiles, ranked
 from ebbtide.settings import Economics, ServingRules
 
+RULE_MODELS = ("prior", "recency_rule", "linear_fixed")  # tiers that need no fit
+
 # A transparent scorer for tables without a fitted model: intercept, then (feature, centre, weight).
 LINEAR_INTERCEPT = 0.8
 LINEAR_WEIGHTS = (
@@ -44,7 +46,7 @@ def scored_long(table: DataFrame) -> DataFrame:
     scores = table.withColumns({"_prior": prior_score(train), "_recency": recency_score(train), "_linear": linear_score()})
     models = F.array(*[
         F.struct(F.lit(name).alias("model"), F.col(column).alias("p"))
-        for name, column in (("prior", "_prior"), ("recency_rule", "_recency"), ("linear_fixed", "_linear"))
+        for name, column in zip(RULE_MODELS, ("_prior", "_recency", "_linear"), strict=True)
     ])
     return scores.select("fold", ASOF, CUSTOMER, F.col(LABEL).alias("y"), F.inline(models)).select("model", "fold", ASOF, CUSTOMER, "y", "p")
 

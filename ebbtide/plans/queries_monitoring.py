@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbtide.contracts import ASOF, CUSTOMER, NUMERIC, feature_catalogue
@@ -33,8 +35,8 @@ def _profile(spark: SparkSession, folder: str) -> M.Profile:
     return Stages(spark, folder).profile()
 
 
-def _scores(spark: SparkSession, folder: str, fold: str) -> DataFrame:
-    return Stages(spark, folder).scored().where((F.col("model") == "recency_rule") & (F.col("fold") == fold))
+def _scores(spark: SparkSession, folder: str, fold: str, model: str = "recency_rule") -> DataFrame:
+    return Stages(spark, folder).scored().where((F.col("model") == model) & (F.col("fold") == fold))
 
 
 @query
@@ -123,7 +125,11 @@ def drift_by_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def prediction_drift(spark: SparkSession, folder: str) -> DataFrame:
-    return shown(M.prediction_drift(_scores(spark, folder, "train"), _scores(spark, folder, "test"), STAR.monitor))
+    """Drift of the scores of every rule-based model."""
+    parts = [
+        M.prediction_drift(_scores(spark, folder, "train", m), _scores(spark, folder, "test", m), STAR.monitor).select(F.lit(m).alias("model"), "*")
+        for m in scoring.RULE_MODELS]
+    return shown(reduce(DataFrame.unionByName, parts))
 
 
 @query

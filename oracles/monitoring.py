@@ -1,6 +1,7 @@
 """SQL for profiles, drift, data quality and the retraining policy."""
 
 from ebbtide.contracts import FAMILY, FEATURES, NUMERIC, RANGES, feature_rows
+from ebbtide.operators.scoring import RULE_MODELS
 from ebbtide.settings import STAR
 from oracles.base import EV, training
 from oracles.evaluation import auc
@@ -103,11 +104,15 @@ WORST = "CASE WHEN count(*) FILTER (severity = 'alert') > 0 THEN 'alert' WHEN co
 CATALOGUE = "cat AS (SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{f}', {'NULL' if d is None else d}::INT, {r})" for n, f, d, r in feature_rows()) + ") c(feature, family, window_days, reaged))"
 
 
-SCORES = f"""WITH {SCORED}, sr AS (SELECT 'p' AS feature, p, p AS value FROM scored WHERE model = 'recency_rule' AND fold = 'train'),
-sb AS (SELECT p FROM scored WHERE model = 'recency_rule' AND fold = 'test'), {quantiles('sr', 'pq', [(i, 10) for i in range(11)])},
+def scores(model: str) -> str:
+    return f"""WITH {SCORED}, sr AS (SELECT 'p' AS feature, p, p AS value FROM scored WHERE model = '{model}' AND fold = 'train'),
+sb AS (SELECT p FROM scored WHERE model = '{model}' AND fold = 'test'), {quantiles('sr', 'pq', [(i, 10) for i in range(11)])},
 pe AS (SELECT CASE WHEN len(u) < 3 THEN [0.5] ELSE u[2:len(u) - 1] END AS edges FROM (SELECT list_sort(list_distinct(list(q))) AS u FROM pq))"""
 
 
+SCORES = scores("recency_rule")
+
+
 def score_psi(batch: str, name: str) -> str:
     return f"""{name}_y AS (SELECT len(list_filter(edges, lambda e: e <= p)) AS bin, sum(r) AS r, sum(b) AS b FROM (SELECT p, 1 AS r, 0 AS b FROM sr UNION ALL SELECT p, 0, 1 FROM {batch}), pe GROUP BY 1),
 {name}_x AS (SELECT bin, greatest(coalesce(r, 0) / sum(r) OVER ()::DOUBLE, 1e-6) AS e, greatest(coalesce(b, 0) / sum(b) OVER ()::DOUBLE, 1e-6) AS a
@@ -148,8 +153,10 @@ SELECT scenario, feature, round(psi, 6) AS psi, {SEV} AS severity FROM ps""",
     "drift_contrast": f"""{PROFILE}, two AS (SELECT *, 'real' AS scenario FROM te UNION ALL SELECT *, 'injected' FROM ({shifted('te')})), {psi('two', 'ps', 'scenario')},
 d AS (SELECT *, {SEV} AS severity FROM ps) {rollup('d', 'scenario')}""",
     "drift_by_snapshot": f"{PROFILE}, {LATER}, {psi('later', 'pl', 'snapshot_date')}, dl AS (SELECT *, {SEV} AS severity FROM pl) {rollup('dl', 'snapshot_date')}",
-    "prediction_drift": f"""{SCORES}, {score_psi('sb', 'sd')} SELECT round(psi, 6) AS psi, (SELECT round(avg(p), 6) FROM sr) AS ref_mean_score, (SELECT round(avg(p), 6) FROM sb) AS batch_mean_score,
-  (SELECT round(avg((p >= 0.5)::INT), 6) FROM sr) AS ref_positive_rate, (SELECT round(avg((p >= 0.5)::INT), 6) FROM sb) AS batch_positive_rate, {SEV} AS severity FROM sd""",
+    "prediction_drift": " UNION ALL ".join(f"""SELECT '{m}' AS model, x.* FROM ({scores(m)}, {score_psi('sb', 'sd')} SELECT round(psi, 6) AS psi,
+  (SELECT round(avg(p), 6) FROM sr) AS ref_mean_score, (SELECT round(avg(p), 6) FROM sb) AS batch_mean_score,
+  (SELECT round(avg((p >= 0.5)::INT), 6) FROM sr) AS ref_positive_rate, (SELECT round(avg((p >= 0.5)::INT), 6) FROM sb) AS batch_positive_rate, {SEV} AS severity FROM sd) x"""
+        for m in RULE_MODELS),
     "dq_findings": f"{T} {findings('te', RANGES)}",
     "dq_injected": f"{T}, fb AS ({FAULTY}) {findings('fb', STAR.ranges)}",
     "dq_duplicates": f"{T} {findings('tr', STAR.ranges)}",
