@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbtide.contracts import ASOF, CUSTOMER, FEATURES, REAGED
-from ebbtide.operators import aging, features, scoring
+from ebbtide.operators import aging, features, outcomes, ranking, scoring, served
+from ebbtide.operators.moments import moment_features
 from ebbtide.plans.queries_features import shown
 from ebbtide.plans.registry import query
 from ebbtide.settings import STAR
@@ -121,6 +122,46 @@ def ops_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.operational_metrics(prediction_log(spark, folder), STAR.serving)
 
 
+@query
+def scoring_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The request stream run twice: what its log holds per model."""
+    stages = Stages(spark, folder)
+    stages.served_log()
+    return shown(served.log_summary(stages.served_log()))
+
+
+@query
+def served_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """The records of the prediction log, with one of the features served."""
+    return shown(Stages(spark, folder).served_log().select(
+        "request_id", CUSTOMER, "served_at", "model_id", "lookup_miss", "feature_staleness_days", F.col("features")["recency_days"].alias("recency_days"),
+        "probability", "prediction", "risk_band", "expected_value"))
+
+
+@query
+def moment_features_served(spark: SparkSession, folder: str) -> DataFrame:
+    """Features of every customer and day in the log, each as of its own day."""
+    stages = Stages(spark, folder)
+    asked = stages.requests().select(CUSTOMER, F.to_date("served_at").alias(ASOF))
+    return shown(moment_features(stages.events(), asked, stages.levels(), STAR.ranges).drop("has_history"))
+
+
+@query
+def production_skew_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Features as logged against features recomputed at the moment of each request."""
+    stages = Stages(spark, folder)
+    return shown(served.skew_of_served(served.recomputed(stages.served_log(), stages.events(), stages.levels(), STAR.ranges)))
+
+
+@query
+def delayed_label_auc_logged(spark: SparkSession, folder: str) -> DataFrame:
+    """AUC per model of the logged answers whose 90 days have passed, from the purchases that followed."""
+    stages = Stages(spark, folder)
+    log = stages.served_log().where(~F.col("lookup_miss")).select(
+        F.col("model_id").alias("model"), CUSTOMER, F.to_date("served_at").alias("scored_on"), F.col("probability").alias("p"))
+    return shown(ranking.rank_metrics(outcomes.realised_outcomes(log, stages.events(), STAR.system_asof), ["model"]))
+
+
 @query
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """From raw lines to a contact list: features, in-scope customers, recency score, top fifth at one day."""

@@ -11,6 +11,11 @@ from ebbtide.operators.features import asof_features, top_countries
 from ebbtide.settings import STAR, Settings
 from ebbtide.sources import star
 from ebbtide.sources.warehouse import Warehouse, by_day, source_state
+from ebbtide.streaming import score_requests
+
+
+SERVED_STORE_DAY = "2001-03-25"  # the features that requests are answered with
+REQUEST_SHIFT_DAYS = 8310  # requests of January 2024 are moved into April 2001, where the orders are
 
 
 class Stages:
@@ -37,6 +42,30 @@ class Stages:
         rows = asof_features(self.events(), [self.settings.system_asof], self.levels(), self.settings.ranges)
         return rows.select(CUSTOMER, ASOF, *FEATURES, F.col(ASOF).alias("feature_timestamp"))
 
+    def served_store(self) -> DataFrame:
+        """Features of every customer known on the day before the requests begin."""
+        def build() -> DataFrame:
+            rows = asof_features(self.events(), [SERVED_STORE_DAY], self.levels(), self.settings.ranges)
+            return rows.select(CUSTOMER, *FEATURES, F.col(ASOF).alias("feature_timestamp"))
+
+        return self._tables.table("served_store", build)
+
+    def requests(self) -> DataFrame:
+        """One request per row of the events table; the user asks for the customer of the same number."""
+        return star.table(self.spark, self.folder, "events").select(
+            F.col("event_id").alias("request_id"), (F.col("user_id") * 11).cast("string").alias(CUSTOMER),
+            (F.col("ts").cast("timestamp_ntz") - F.make_dt_interval(F.lit(REQUEST_SHIFT_DAYS))).alias("served_at"),
+            F.col("value").alias("latency_ms"), F.col("event_type").alias("model_id"))
+
+    def served_log(self) -> DataFrame:
+        """The prediction log of the request stream, which goes on from its checkpoint and stops when all is answered."""
+        root = self._tables.root
+        self._tables.table("requests", self.requests)
+        score_requests.start(
+            self.spark, f"{root}/requests", self.served_store, scoring.linear_score(), f"{root}/served_log", f"{root}/served_checkpoint",
+            self.settings.ranges, self.settings.serving).awaitTermination()
+        return score_requests.prediction_log(self.spark, f"{root}/served_log")
+
     def scored(self) -> DataFrame:
         return self._tables.table("scored", lambda: scoring.scored_long(self.training()))
 

@@ -2,7 +2,7 @@
 
 from oracles.base import EV
 from oracles.evaluation import CHECKS, ap, auc, panel
-from oracles.scoring import SCORED, training
+from oracles.scoring import SCORED, SERVED, training
 
 S = f"WITH {SCORED}"
 
@@ -13,6 +13,10 @@ SELECT CASE WHEN n >= 60 THEN country ELSE '__infrequent__' END AS level, CAST(s
   AND event_date > s.snapshot_date AND event_date <= s.snapshot_date + 90) THEN 0 ELSE 1 END AS y FROM scored s WHERE snapshot_date + 90 <= DATE '2001-08-01'),
 {auc('x', 'model, scored_on', 'xa')}, {ap('x', 'model, scored_on', 'xb')}
 SELECT model, scored_on, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc FROM xa JOIN xb USING (model, scored_on)""",
+    "delayed_label_auc_logged": f"""{SERVED}, x AS (SELECT model_id AS model, p, CASE WHEN EXISTS (SELECT 1 FROM ev WHERE NOT is_return AND ev.customer_id = l.customer_id
+  AND event_date > l.served_on AND event_date <= l.served_on + 90) THEN 0 ELSE 1 END AS y FROM log l WHERE NOT lookup_miss AND served_on + 90 <= DATE '2001-08-01'),
+{auc('x', 'model', 'xa')}, {ap('x', 'model', 'xb')}
+SELECT model, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc FROM xa JOIN xb USING (model)""",
     "early_engagement": f"""{S}, d AS (SELECT model, fold, CASE WHEN p >= 0.70 THEN 'high' WHEN p >= 0.40 THEN 'medium' ELSE 'low' END AS risk_band,
   EXISTS (SELECT 1 FROM ev WHERE NOT is_return AND ev.customer_id = s.customer_id AND event_date > s.snapshot_date AND event_date <= s.snapshot_date + 14) AS bought
   FROM scored s)

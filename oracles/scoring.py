@@ -1,8 +1,11 @@
 """SQL for lookups, re-ageing, scores and decisions."""
 
+from datetime import date, timedelta
+
 from ebbtide.contracts import NUMERIC, REAGED
 from ebbtide.operators.scoring import LINEAR_INTERCEPT, LINEAR_WEIGHTS
 from ebbtide.settings import STAR
+from ebbtide.sources.stages import REQUEST_SHIFT_DAYS, SERVED_STORE_DAY
 from oracles.base import EV, USABLE, features, rounded, training
 
 Z = f"{LINEAR_INTERCEPT}::DOUBLE" + "".join(f" + ({n} - {c}::DOUBLE) * ({w})::DOUBLE" for n, c, w in LINEAR_WEIGHTS)
@@ -34,6 +37,16 @@ audit AS ({' UNION ALL '.join(f"""SELECT r.customer_id, r.customer_id IN (SELECT
   o.{f} AS stored, r.{f} AS reaged, n.{f} AS recomputed, abs(r.{f} - n.{f}) AS skew_after_reaging, abs(o.{f} - n.{f}) AS error_if_stale
   FROM re r JOIN base_rows o USING (customer_id) JOIN feats n ON n.customer_id = r.customer_id AND n.snapshot_date = DATE '{D1}'""" for f in REAGED)})"""
 
+# The request stream: features of one day, brought forward to the day of each request.
+SERVED = f"""WITH {EV}, {features([SERVED_STORE_DAY], 'store', until=USABLE[0])},
+req AS (SELECT event_id AS request_id, CAST(user_id * 11 AS VARCHAR) AS customer_id, ts - INTERVAL {REQUEST_SHIFT_DAYS} DAY AS served_at,
+  CAST(ts - INTERVAL {REQUEST_SHIFT_DAYS} DAY AS DATE) AS served_on, event_type AS model_id FROM events),
+base_rows AS (SELECT r.*, s.* EXCLUDE (customer_id, snapshot_date), s.customer_id IS NULL AS lookup_miss, served_on - DATE '{SERVED_STORE_DAY}' AS age
+  FROM req r LEFT JOIN store s USING (customer_id)), {AGED},
+log AS (SELECT *, CASE WHEN NOT lookup_miss THEN {LINEAR} END AS p FROM re)"""
+SERVED_DAYS = [str(date(2001, 4, 1) + timedelta(days=d)) for d in range(30)]
+AT_MOMENTS = features(SERVED_DAYS, "now_rows", until=USABLE[0], prefix="m_")
+
 SCORED = f"""{training()},
 prm AS (SELECT avg(churn_90d) AS prior, quantile_cont(recency_days, 0.01) AS lo, quantile_cont(recency_days, 0.99) AS hi FROM tt WHERE fold = 'train'),
 scored AS (
@@ -66,6 +79,20 @@ SELECT customer_id, {rounded(REAGED)}, age AS feature_staleness_days, 'feature_s
   round(avg(probability), 6) AS mean_probability, round(avg(prediction), 6) AS positive_rate FROM log WHERE NOT lookup_miss GROUP BY 1),
 a AS (SELECT CAST(served_at AS DATE) AS day, count(*) AS requests_total, count(*) FILTER (lookup_miss) AS lookup_misses, count(*) FILTER (feature_staleness_days > 0) AS stale_servings FROM log GROUP BY 1)
 SELECT * REPLACE (coalesce(n_predictions, 0) AS n_predictions) FROM a LEFT JOIN w USING (day)""",
+    "scoring_stream": f"""{SERVED} SELECT model_id, count(*) AS n_requests, count(DISTINCT request_id) AS n_request_ids, count(*) FILTER (lookup_miss) AS n_misses,
+  count(p) AS n_answers, count(*) FILTER (p >= 0.5) AS n_positive, round(avg(p), 6) AS mean_probability, max(age) FILTER (NOT lookup_miss) AS max_staleness_days FROM log GROUP BY 1""",
+    "served_predictions": f"""{SERVED} SELECT request_id, customer_id, served_at, model_id, lookup_miss, CASE WHEN NOT lookup_miss THEN age END AS feature_staleness_days,
+  CASE WHEN NOT lookup_miss THEN round(recency_days, 6) END AS recency_days, round(p, 6) AS probability, CAST(p >= 0.5 AS INTEGER) AS prediction,
+  CASE WHEN p >= 0.70 THEN 'high' WHEN p >= 0.40 THEN 'medium' WHEN p IS NOT NULL THEN 'low' END AS risk_band,
+  round(round(p * 0.30::DOUBLE * 45.0::DOUBLE - 8.0::DOUBLE, 3), 6) AS expected_value FROM log""",
+    "moment_features_served": f"""WITH {EV}, {AT_MOMENTS}
+SELECT customer_id, snapshot_date, {rounded(NUMERIC)}, country_grp FROM now_rows
+WHERE (customer_id, snapshot_date) IN (SELECT (CAST(user_id * 11 AS VARCHAR), CAST(ts - INTERVAL {REQUEST_SHIFT_DAYS} DAY AS DATE)) FROM events)""",
+    "production_skew_audit": f"""{SERVED}, {AT_MOMENTS},
+audit AS ({' UNION ALL '.join(f"""SELECT model_id, '{f}' AS feature, n.recency_days < l.age AS bought_since, abs(l.{f} - n.{f}) AS skew
+  FROM log l JOIN now_rows n ON n.customer_id = l.customer_id AND n.snapshot_date = l.served_on WHERE NOT lookup_miss""" for f in NUMERIC)})
+SELECT model_id, feature, bought_since, count(*) AS n_answers, count(*) FILTER (skew > 1e-6) AS n_skewed, round(max(skew), 6) AS max_skew, round(avg(skew), 6) AS mean_skew
+FROM audit GROUP BY ALL""",
     "flagship": f"""WITH {SCORED}, s AS (SELECT *, row_number() OVER (ORDER BY p DESC, customer_id) AS rank, count(*) OVER () AS n FROM scored
   WHERE model = 'recency_rule' AND snapshot_date = DATE '2001-01-31')
 SELECT rank, s.customer_id, round(p, 6) AS p, CASE WHEN p >= 0.70 THEN 'high' WHEN p >= 0.40 THEN 'medium' ELSE 'low' END AS risk_band,
