@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ebbtide.contracts import NATURAL_KEY
 from ebbtide.functions.exact import money, units
@@ -32,6 +32,22 @@ def in_days_of(existing: DataFrame, first, last) -> DataFrame:
     return existing.where(F.col("event_date").between(F.lit(first), F.lit(last)) | F.col("event_date").isNull())
 
 
+def month_of(day: str) -> Column:
+    """Year and month of a day, the unit event tables are laid out by; NULL without a day."""
+    return F.date_format(day, "yyyy-MM")
+
+
+def in_months_of(existing: DataFrame, months: list[str | None]) -> DataFrame:
+    """Stored events of the listed months, by the partition column, so other months are not opened.
+
+    Equal keys have equal times, so nothing outside the months of a batch can hold its rows; events without a
+    time are in the NULL month.
+    """
+    named = [m for m in months if m is not None]
+    wanted = F.col("month").isin(named)
+    return existing.where(wanted | F.col("month").isNull() if None in months else wanted)
+
+
 def run_record(lines: DataFrame, cleaned: DataFrame, by: list[str] = [], rules: CleaningRules = CleaningRules()) -> DataFrame:
     """What a run read, lost per rule and kept, per ``by``: the content of an ingestion log record.
 

@@ -4,7 +4,7 @@ The stream itself only lists new files; each micro-batch reads its files as ordi
 the header of every file can be checked before its rows are. A micro-batch writes to its own partition of
 the event table and of the log, named after the stream and the batch. A retried micro-batch replaces what it
 wrote before, and the natural-key merge ignores rows that other batches and streams brought, so every row is
-stored once.
+stored once. Inside a batch the rows lie by month, and a merge opens only the months its own rows belong to.
 """
 
 from __future__ import annotations
@@ -18,13 +18,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ebbtide.contracts import EVENT_COLUMNS, EVENT_SCHEMA, RUN_LOG_SCHEMA
 from ebbtide.operators.cleaning import clean_events
-from ebbtide.operators.merge import in_days_of, new_events, run_record
+from ebbtide.operators.merge import in_months_of, month_of, new_events, run_record
 from ebbtide.settings import CleaningRules
 from ebbtide.sources import retail
 
 # Layout of the file listing; the content column is never selected, so file bodies are not read by it.
 _LISTING = "path string, modificationTime timestamp, length bigint, content binary"
-_STORED = T.StructType(EVENT_SCHEMA.fields + [T.StructField("source_file", T.StringType()), T.StructField("stream", T.StringType()), T.StructField("batch", T.LongType())])
+_STORED = T.StructType(EVENT_SCHEMA.fields + [T.StructField("source_file", T.StringType()), T.StructField("stream", T.StringType()), T.StructField("batch", T.LongType()), T.StructField("month", T.StringType())])
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -74,13 +74,13 @@ def ingest_files(spark: SparkSession, files: list[str], events_path: str, log_pa
         if dry_run:
             records.append(_complete(facts, status="'dry_run'", rows_appended="0L"))
         else:
-            span = cleaned.agg(F.min("event_date"), F.max("event_date")).first()
+            months = [r.month for r in cleaned.select(month_of("event_date").alias("month")).distinct().collect()]  # bounded by the calendar
             own = F.col("stream").eqNullSafe(F.lit(stream)) & (F.col("batch") == batch)
             before = stored_events(spark, events_path).where(~own)
-            appended = new_events(in_days_of(before, *span) if span[0] else before, cleaned, prefer=["file_time", "source_file"])
-            target = f"{events_path}/{part}"
-            appended.select(*EVENT_COLUMNS, "source_file").write.mode("overwrite").parquet(target)
-            kept = spark.read.parquet(target).groupBy("source_file").agg(F.count("*").alias("rows_appended"))
+            appended = new_events(in_months_of(before, months), cleaned, prefer=["file_time", "source_file"])
+            rows = appended.select(*EVENT_COLUMNS, "source_file", month_of("event_date").alias("month"))
+            rows.hint("rebalance", F.col("month")).write.mode("overwrite").partitionBy("month").parquet(f"{events_path}/{part}")
+            kept = stored_events(spark, events_path).where(own).groupBy("source_file").agg(F.count("*").alias("rows_appended"))
             total = _rows_logged(spark, log_path, part) + (kept.agg(F.sum("rows_appended")).first()[0] or 0)
             joined = facts.join(F.broadcast(kept), "source_file", "left").withColumn("rows_appended", F.coalesce("rows_appended", F.lit(0)))
             records.append(_complete(joined, status="'ok'", rows_appended="rows_appended", warehouse_rows=f"{total}L",

@@ -183,6 +183,21 @@ def test_lines_without_a_time_are_stored_once(spark, tmp_path):
     assert _stored(spark, events) == ["1", "2"]
 
 
+def test_merge_opens_only_the_months_of_the_batch(spark, tmp_path):
+    events, log = str(tmp_path / "events"), str(tmp_path / "log")
+    line = lambda n, month: f"{n},CUP,cup,1,{month}/7/2019 9:00,2,12,Norway"
+    for batch, month in enumerate((1, 2, 3)):
+        daily_drops.ingest_files(spark, [_file(tmp_path, f"{month}.csv", [line(1, month), line(2, month)])], events, log, batch)
+    for part in Path(events).rglob("month=2019-0[12]/*.parquet"):
+        part.write_bytes(b"not a table")
+        (part.parent / f".{part.name}.crc").unlink()
+    # Rows of March and April, the first a copy: January and February are left alone, though April is beyond them.
+    daily_drops.ingest_files(spark, [_file(tmp_path, "4.csv", [line(1, 3), line(9, 4)])], events, log, 3)
+    assert daily_drops.stored_events(spark, events).where("month >= '2019-03'").count() == 3
+    with pytest.raises(Exception, match="2019-01"):  # a late row of January needs January
+        daily_drops.ingest_files(spark, [_file(tmp_path, "5.csv", [line(3, 1)])], events, log, 4)
+
+
 def test_dry_run_leaves_real_records(spark, tmp_path):
     path = _file(tmp_path, "x.csv", GOOD)
     events, log = str(tmp_path / "events"), str(tmp_path / "log")
