@@ -2,8 +2,10 @@
 
 Documents with equal texts form one atomic group. Groups are ordered by the digest of their text, and the
 order is cut into shards so that the largest shard is as small as can be: the smallest capacity at which
-greedy filling needs no more shards than allowed is found by binary search. The driver never sees the
-groups. It holds byte totals of digest prefixes, searches with them, and asks for finer totals only where a
+greedy filling needs no more shards than allowed is found by binary search. A group larger than the capacity
+has a shard of its own, so a hot text does not set the capacity of the shards beside it, and the largest shard
+is still the smallest possible. Shards that greedy filling has left over go to the middle of the largest ones,
+so none is empty while another holds two groups. The driver never sees the groups. It holds byte totals of digest prefixes, searches with them, and asks for finer totals only where a
 cut may fall, until every cut is known to the group. A bounded number of totals is fetched a round.
 
 Defined results: null texts count as empty ones; repeated rows are rows of their own in one group; an empty
@@ -12,6 +14,7 @@ table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window as W, functions as F
@@ -41,14 +44,17 @@ class Segment:
 def fill(segments: list[Segment], capacity: int, shards: int, fluid: bool) -> list[int] | None:
     """Greedy cut positions (in bytes) at a capacity, or None when it does not suffice.
 
+    A single group beyond the capacity fills a shard alone.
     ``fluid`` lets cuts fall anywhere inside stretches of several groups, which gives the furthest positions
     the true cuts can have; otherwise stretches stay whole, which gives a partition that surely works.
     """
     cuts, begin, at = [], 0, 0
     for s in segments:
         while at + s.size - begin > capacity:
+            if at == begin and s.atomic:
+                break
             if fluid and not s.atomic:
-                cuts.append(begin + capacity)
+                cuts.append(max(begin + capacity, at))
             elif at == begin:
                 return None
             else:
@@ -62,8 +68,7 @@ def fill(segments: list[Segment], capacity: int, shards: int, fluid: bool) -> li
 
 def smallest(segments: list[Segment], shards: int, fluid: bool) -> int:
     """Smallest capacity at which greedy filling needs at most ``shards`` shards."""
-    total = sum(s.size for s in segments)
-    low, high = -(-total // shards), total
+    low, high = 1, sum(s.size for s in segments)
     while low < high:
         middle = (low + high) // 2
         if fill(segments, middle, shards, fluid) is None:
@@ -110,14 +115,37 @@ def _totals(groups: DataFrame, length: int, inside: list[str]) -> dict[str, Segm
     return {r["prefix"]: Segment(r["prefix"], r["size"], r["groups"]) for r in rows.collect()}
 
 
+def spread(segments: list[Segment], cuts: list[int], shards: int) -> list[int]:
+    """More cuts, up to the number of shards: each halves the largest shard that has a place for one."""
+    edges = [0]
+    for s in segments:
+        edges.append(edges[-1] + s.size)
+    out = sorted(cuts)
+    while len(out) < shards - 1:
+        bounds = [0, *out, edges[-1]]
+        inner = [(a - b, a, b, edges[bisect_right(edges, a):bisect_left(edges, b)]) for a, b in zip(bounds, bounds[1:])]
+        open_ = [x for x in inner if x[3]]
+        if not open_:
+            break
+        _, a, b, places = min(open_, key=lambda x: x[:3])
+        out = sorted([*out, min(places, key=lambda e: (abs(2 * e - a - b), e))])
+    return out
+
+
 def cut_points(groups: DataFrame, shards: int = SHARDS) -> list[str]:
     """Digest prefixes at which shards 1, 2, ... begin; ``groups`` has one row per digest with its bytes."""
     found = _totals(groups, DIGITS, [])
+    # At most as many groups as shards can be beyond a capacity that suffices; these are told apart first.
+    large = [r["digest"] for r in groups.orderBy(F.desc("size"), "digest").limit(shards).collect()]
     while True:
         segments = [found[p] for p in sorted(found)]
         if not segments:
             return []
-        pending = unsettled(segments, shards)
+        pending = [s for s in segments if not s.atomic and any(d.startswith(s.prefix) for d in large)] or unsettled(segments, shards)
+        if not pending:
+            cuts = spread(segments, fill(segments, smallest(segments, shards, False), shards, False), shards)
+            # Only stretches that are still whole can hold a place for a missing cut.
+            pending = [s for s in segments if not s.atomic][:REFINED] if len(cuts) < shards - 1 else []
         if not pending:
             break
         shortest = min(len(s.prefix) for s in pending)
@@ -126,7 +154,7 @@ def cut_points(groups: DataFrame, shards: int = SHARDS) -> list[str]:
         for p in split:
             del found[p]
         found.update(finer)
-    cuts, at, starts = fill(segments, smallest(segments, shards, False), shards, False), 0, {}
+    at, starts = 0, {}
     for s in segments:
         starts[at] = s.prefix
         at += s.size

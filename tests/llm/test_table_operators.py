@@ -144,6 +144,58 @@ def test_shards_are_minimax(spark, monkeypatch, hot):
     assert {r["law"] for r in got} == {"bytes"} and {r["grown_shard"] for r in got} == {None}
 
 
+def _cuts(sizes, shards, digits, monkeypatch):
+    """cut_points over groups with random digests, its totals taken from a list."""
+    monkeypatch.setattr(sharding, "DIGITS", digits)
+    digests = sorted(f"{random.getrandbits(128):032x}" for _ in sizes)
+
+    def totals(_, length, inside):
+        out = {}
+        for d, n in zip(digests, sizes):
+            if not inside or d[: len(inside[0])] in inside:
+                old = out.get(d[:length])
+                out[d[:length]] = sharding.Segment(d[:length], n + (old.size if old else 0), 1 + (old.groups if old else 0))
+        return out
+
+    class Groups:
+        def orderBy(self, *_): return self
+        def limit(self, k): return type("Top", (), {"collect": lambda _: [{"digest": d} for _, d in sorted(zip([-n for n in sizes], digests))[:k]]})()
+
+    monkeypatch.setattr(sharding, "_totals", totals)
+    begins = sharding.cut_points(Groups(), shards)
+    place = [sum(d >= b for b in begins) for d in digests]
+    return [[n for n, k in zip(sizes, place) if k == shard] for shard in range(shards)]
+
+
+def _second(sizes, shards):
+    """Smallest capacity, by trying all, that every shard keeps to unless it is a single group."""
+    for capacity in range(1, sum(sizes) + 1):
+        used, room = 0, 0
+        for n in sizes:
+            if n > capacity:
+                used, room = used + 1, 0
+            elif n > room:
+                used, room = used + 1, capacity - n
+            else:
+                room -= n
+        if used <= shards:
+            return capacity
+
+
+@pytest.mark.parametrize("digits", [1, 3])
+def test_hot_groups_leave_no_shard_empty(monkeypatch, digits):
+    random.seed(digits)
+    cases = [[1] * 30 + [33] + [1] * 36, [5] * 9, [1, 1, 90], [7], [2] * 13, [40, 1, 1, 40, 1, 1, 1, 40, 1, 1]]
+    cases += [[random.choice([1, 2, 3, 9, 200]) for _ in range(random.randrange(1, 90))] for _ in range(150)]
+    for sizes in cases:
+        shards = _cuts(sizes, 8, digits, monkeypatch)
+        assert [n for s in shards for n in s] == sizes
+        assert max(map(sum, shards)) == brute.minimax(sizes, 8)
+        capacity = _second(sizes, 8)
+        assert all(sum(s) <= capacity or len(s) == 1 for s in shards), (sizes, shards, capacity)
+        assert sum(map(bool, shards)) == min(8, len(sizes)), (sizes, shards)
+
+
 def test_shards_of_little_and_nothing(spark):
     assert sharding.sharded(frame(spark, [])).count() == 0
     got = sharding.sharded(frame(spark, [(1, "a"), (2, None), (3, "")])).collect()
