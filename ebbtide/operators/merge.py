@@ -95,3 +95,14 @@ def rows_since(log: DataFrame, moment) -> DataFrame:
     """Rows appended by runs at or after a moment."""
     return log.where(F.col("ingested_at_utc") >= F.lit(moment).cast("timestamp")).agg(F.coalesce(F.sum("rows_appended"), F.lit(0)).alias("rows_since"))
 
+
+def since_promotion(log: DataFrame, promotions: DataFrame) -> DataFrame:
+    """Per model, from the run log and the append-only record of promotions: rows appended and files refused since
+    its latest promotion, and rows appended in all. The latest promotions are one row per model."""
+    latest = promotions.groupBy("model").agg(F.max("promoted_at").alias("promoted_at"))
+    live = latest.agg(F.collect_list(F.struct("model", "promoted_at"))).scalar()
+    runs = log.withColumn("_live", live).select("status", "rows_appended", "ingested_at_utc", F.inline("_live"))
+    later = F.col("ingested_at_utc") >= F.col("promoted_at")
+    return runs.groupBy("model").agg(
+        F.coalesce(F.sum(F.when(later, F.col("rows_appended"))), F.lit(0)).alias("rows_since"),
+        F.count_if(later & (F.col("status") == "rejected_schema")).alias("refused_since"), F.sum("rows_appended").alias("rows_in_all"))

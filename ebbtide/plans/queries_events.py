@@ -130,6 +130,27 @@ def ingest_history_summary(spark: SparkSession, folder: str) -> DataFrame:
     return merge.history_summary(log)
 
 
+@query
+def ingest_history(spark: SparkSession, folder: str) -> DataFrame:
+    """The log of the stream per year of files and outcome; a refused file has no year."""
+    log, _ = Stages(spark, folder).ingested()
+    year = F.regexp_extract("source_file", r"year=(\d+)", 1)
+    return log.groupBy(F.nullif(year, F.lit("")).cast("int").alias("year"), "status").agg(
+        F.sum("rows_read").alias("rows_read"), F.sum("rows_appended").alias("rows_appended"), F.count("error").alias("n_errors"))
+
+
+@query
+def stream_history_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals of the stream's own log; how many files a year has is up to the writer and left out."""
+    summary = merge.history_summary(Stages(spark, folder).ingested()[0])
+    return summary.select("rows_read", "rows_appended", "reruns", "rows_appended_by_reruns", "rejected", "warehouse_rows_max")
+
+
+@query
+def rows_since_promotion(spark: SparkSession, folder: str) -> DataFrame:
+    return merge.since_promotion(*Stages(spark, folder).ingested())
+
+
 @query
 def column_profile(spark: SparkSession, folder: str) -> DataFrame:
     return explore.column_profile(_lines(spark, folder)).drop("dtype")

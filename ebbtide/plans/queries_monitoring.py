@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -185,21 +186,37 @@ def top_contributions(spark: SparkSession, folder: str) -> DataFrame:
     return rated.select(CUSTOMER, "place", F.abs("z_score").alias("abs_z"))
 
 
-@query
-def retrain_signals(spark: SparkSession, folder: str) -> DataFrame:
+def _signals(spark: SparkSession, folder: str, damaged: str | None = None) -> DataFrame:
+    """Nightly signals; each night's batch is checked as it arrives, the one of ``damaged`` without a column."""
     stages, later = Stages(spark, folder), _later(spark, folder)
     rule = stages.scored().where("model = 'recency_rule'")
     auc = ranking.rank_metrics(rule.where("fold != 'train'"), [ASOF])
     promoted = ranking.rank_metrics(rule.where("fold = 'valid'"), ["model"]).select("roc_auc")
     quality = M.quality_findings(later, STAR.ranges, STAR.monitor, [ASOF])
-    schema = M.schema_findings(later)
-    broken = [r[0] for r in later.select(ASOF).distinct().collect()] if schema["missing"] or schema["wrong_type"] else []
+    nights = [*STAR.split.valid, *STAR.split.purged, *STAR.split.test]
+    found = {d: M.schema_findings(later.drop("orders_90d") if d == damaged else later) for d in nights}
+    broken = [date.fromisoformat(d) for d, schema in found.items() if schema["missing"] or schema["wrong_type"]]
     return shown(retrain.nightly_signals(later, auc, promoted, drift_by_snapshot(spark, folder), quality, stages.events(), STAR, broken))
 
 
+@query
+def retrain_signals(spark: SparkSession, folder: str) -> DataFrame:
+    return _signals(spark, folder)
+
+
 @query
 def retrain_decision(spark: SparkSession, folder: str) -> DataFrame:
-    decided = retrain.retrain_decision(retrain_signals(spark, folder), STAR.retrain)
+    return _decided(retrain_signals(spark, folder))
+
+
+@query
+def retrain_decision_broken_night(spark: SparkSession, folder: str) -> DataFrame:
+    """The same nights, one of whose batches arrives without a column: that night is blocked."""
+    return _decided(_signals(spark, folder, damaged=STAR.split.purged[0]))
+
+
+def _decided(signals: DataFrame) -> DataFrame:
+    decided = retrain.retrain_decision(signals, STAR.retrain)
     return decided.select("night", "should_retrain", "urgency", F.array_join("fired", ",").alias("fired"), F.array_join("blocked_by", ",").alias("blocked_by"))
 
 

@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+from uuid import uuid4
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ebbtide.contracts import ASOF, CUSTOMER, FEATURES
+from ebbtide.contracts import ASOF, CUSTOMER, FEATURES, SOURCE_TS_PATTERN
 from ebbtide.operators import boosting, models, monitoring, scoring, snapshots
 from ebbtide.operators.features import asof_features, top_countries
 from ebbtide.settings import STAR, Settings
 from ebbtide.sources import star
 from ebbtide.sources.warehouse import Warehouse, by_day, source_state
-from ebbtide.streaming import score_requests
+from ebbtide.streaming import daily_drops, score_requests
 
 
 SERVED_STORE_DAY = "2001-03-25"  # the features that requests are answered with
 REQUEST_SHIFT_DAYS = 8310  # requests of January 2024 are moved into April 2001, where the orders are
 
 
+LATE_DROPS = 2001  # the year whose files arrive after the latest promotion
+
+
 class Stages:
     def __init__(self, spark: SparkSession, folder: str, settings: Settings = STAR):
         self.spark, self.folder, self.settings = spark, folder, settings
@@ -66,6 +72,39 @@ class Stages:
             self.settings.ranges, self.settings.serving).awaitTermination()
         return score_requests.prediction_log(self.spark, f"{root}/served_log")
 
+    def ingested(self) -> tuple[DataFrame, DataFrame]:
+        """Run log of the stream over yearly drops, and the promotions recorded meanwhile.
+
+        One model is promoted before the first drop, another then and again before the last year arrives, together
+        with a file of another layout.
+        """
+        def build() -> DataFrame:
+            root = f"{self._tables.root}/ingest-{uuid4().hex[:8]}"
+            raw = star.raw_extract(self.spark, self.folder)
+            raw = raw.withColumn("year", F.year(F.to_timestamp_ntz("InvoiceDate", F.lit(SOURCE_TS_PATTERN))))
+
+            def promote(*names: str) -> None:
+                now = datetime.now(timezone.utc)
+                self.spark.createDataFrame([(n, now) for n in names], "model string, promoted_at timestamp").write.mode("append").parquet(f"{root}/promotions")
+
+            def deliver(rows: DataFrame, name: str) -> None:
+                rows.write.partitionBy("year").option("header", True).csv(f"{root}/incoming/{name}")
+
+            def ingest() -> None:
+                daily_drops.start(self.spark, f"{root}/incoming", f"{root}/events", f"{root}/log", f"{root}/checkpoint", files_per_batch=64).awaitTermination()
+
+            promote("linear_fixed", "recency_rule")
+            deliver(raw.where(F.col("year") < LATE_DROPS), "early")
+            ingest()
+            promote("recency_rule")
+            deliver(raw.where(F.col("year") >= LATE_DROPS), "late")
+            star.table(self.spark, self.folder, "nation").coalesce(1).write.option("header", True).csv(f"{root}/incoming/other")
+            ingest()
+            return self.spark.createDataFrame([(root,)], "root string")
+
+        root = self._tables.table("ingested", build).first()["root"]
+        return daily_drops.run_log(self.spark, f"{root}/log"), self.spark.read.parquet(f"{root}/promotions")
+
     def scored(self) -> DataFrame:
         return self._tables.table("scored", lambda: scoring.scored_long(self.training()))
 

@@ -1,5 +1,6 @@
 """SQL for the event queries."""
 
+from ebbtide.sources.stages import LATE_DROPS
 from oracles.base import EV, RAW, units
 
 SQL = {
@@ -32,6 +33,14 @@ c AS (SELECT CAST(year(event_ts) AS INTEGER) AS year, count(*) AS rows_appended,
     "ingest_history_summary": f"""WITH {EV}, m AS (SELECT strftime(event_date, '%Y-%m') AS f, count(*) AS n, month(max(event_date)) % 2 = 0 AS twice FROM ev GROUP BY 1)
 SELECT count(*) AS files, sum(n)::BIGINT AS rows_read, sum(n)::BIGINT AS rows_appended, count(*) FILTER (twice) AS reruns, 0::BIGINT AS rows_appended_by_reruns, 0.5::DOUBLE AS mean_duration_s,
   min(n) AS warehouse_rows_min, max(n) AS warehouse_rows_max, 0::BIGINT AS rejected FROM m""",
+    "ingest_history": f"""WITH {RAW}, t AS (SELECT CAST(year(event_ts) AS INTEGER) AS year, count(*) AS rows_read FROM tagged GROUP BY 1),
+c AS (SELECT CAST(year(event_ts) AS INTEGER) AS year, count(*) AS rows_appended FROM clean GROUP BY 1)
+SELECT year, 'ok' AS status, rows_read, coalesce(rows_appended, 0) AS rows_appended, 0::BIGINT AS n_errors FROM t LEFT JOIN c USING (year)
+UNION ALL SELECT NULL, 'rejected_schema', 0, 0, 1""",
+    "stream_history_summary": f"""WITH {RAW} SELECT (SELECT count(*) FROM tagged) AS rows_read, count(*) AS rows_appended, 0::BIGINT AS reruns, 0::BIGINT AS rows_appended_by_reruns,
+  1::BIGINT AS rejected, count(*) AS warehouse_rows_max FROM clean""",
+    "rows_since_promotion": f"""WITH {RAW}, late AS (SELECT count(*) FILTER (year(event_ts) >= {LATE_DROPS}) AS n, count(*) AS total FROM clean)
+SELECT 'recency_rule' AS model, n AS rows_since, 1::BIGINT AS refused_since, total AS rows_in_all FROM late UNION ALL SELECT 'linear_fixed', total, 1, total FROM late""",
     "column_profile": f"""WITH {RAW} {' UNION ALL '.join(f"""SELECT '{c}' AS "column", count(*) FILTER ({c} IS NULL) AS n_null,
   round(100.0::DOUBLE * count(*) FILTER ({c} IS NULL) / count(*), 2) AS pct_null, count(DISTINCT {c}) AS n_unique FROM raw"""
   for c in ('invoice_no', 'stock_code', 'description', 'quantity', 'event_ts', 'unit_price', 'customer_id', 'country'))}""",

@@ -134,6 +134,15 @@ sig AS (SELECT night, night - DATE '{LAST}' AS model_age_days, (SELECT count(*)
   (SELECT count(*) FROM ev WHERE event_date > DATE '{LAST}' AND event_date <= night) AS rows_since_training
   FROM nights JOIN sa USING (snapshot_date) JOIN dr USING (snapshot_date))"""
 
+def retrain_decision(broken: str = "false") -> str:
+    """Decisions of all nights; a night for which ``broken`` holds had a batch without the contract's columns."""
+    return f"""{SIGNALS}, f AS (SELECT *, new_labelled_snapshots >= 1 AS fresh, coalesce(round(auc_at_promotion, 6) - round(recent_auc, 6) >= 0.05, false) AS degraded FROM sig),
+g AS (SELECT night, concat_ws(',', CASE WHEN degraded THEN 'performance_degradation' END, CASE WHEN model_age_days >= 30 AND fresh THEN 'model_staleness' END,
+  CASE WHEN (drift_status = 'alert' OR drift_share >= 0.30) AND fresh THEN 'feature_drift' END) AS fired,
+  concat_ws(',', CASE WHEN {broken} THEN 'schema_break' END, CASE WHEN NOT data_quality_ok THEN 'data_quality_failure' END) AS blocked_by, degraded FROM f)
+SELECT night, blocked_by = '' AND fired <> '' AS should_retrain, CASE WHEN blocked_by <> '' THEN 'blocked' WHEN degraded THEN 'high' WHEN fired <> '' THEN 'scheduled' ELSE 'none' END AS urgency, fired, blocked_by FROM g"""
+
+
 SQL = {
     "ref_profile_numeric": f"""{PROFILE} SELECT feature, n_rows, {', '.join(f'round({c}, 6) AS {c}' for c in ('mean', 'std', 'min', 'max', 'null_rate', 'p01', 'p25', 'p50', 'p75', 'p99'))} FROM prof""",
     "ref_profile_bins": f"{PROFILE} SELECT feature, CAST(bin AS INTEGER) AS bin, round(lo, 6) AS lo, round(hi, 6) AS hi, round(expected_pct, 6) AS expected_pct FROM ex",
@@ -168,10 +177,8 @@ SELECT * FROM v WHERE violations <> ''""",
 r AS (SELECT customer_id, abs_z, row_number() OVER (PARTITION BY customer_id ORDER BY abs_z DESC) AS place FROM z) SELECT customer_id, CAST(place AS INTEGER) AS place, abs_z FROM r WHERE place <= 5""",
     "retrain_signals": f"""{SIGNALS} SELECT night, CAST(model_age_days AS INTEGER) AS model_age_days, CAST(new_labelled_snapshots AS INTEGER) AS new_labelled_snapshots, round(recent_auc, 6) AS recent_auc,
   round(auc_at_promotion, 6) AS auc_at_promotion, drift_share, drift_status, schema_ok, data_quality_ok, rows_since_training FROM sig""",
-    "retrain_decision": f"""{SIGNALS}, f AS (SELECT *, new_labelled_snapshots >= 1 AS fresh, coalesce(round(auc_at_promotion, 6) - round(recent_auc, 6) >= 0.05, false) AS degraded FROM sig),
-g AS (SELECT night, concat_ws(',', CASE WHEN degraded THEN 'performance_degradation' END, CASE WHEN model_age_days >= 30 AND fresh THEN 'model_staleness' END,
-  CASE WHEN (drift_status = 'alert' OR drift_share >= 0.30) AND fresh THEN 'feature_drift' END) AS fired, CASE WHEN data_quality_ok THEN '' ELSE 'data_quality_failure' END AS blocked_by, degraded FROM f)
-SELECT night, blocked_by = '' AND fired <> '' AS should_retrain, CASE WHEN blocked_by <> '' THEN 'blocked' WHEN degraded THEN 'high' WHEN fired <> '' THEN 'scheduled' ELSE 'none' END AS urgency, fired, blocked_by FROM g""",
+    "retrain_decision": retrain_decision(),
+    "retrain_decision_broken_night": retrain_decision(f"night = DATE '{STAR.split.purged[0]}' + {STAR.label.horizon_days}"),
     "monitoring_suite": f"""{PROFILE}, sh AS ({shifted('te')}), {psi('te', 'pr')}, {psi('sh', 'pi')},
 fr AS ({findings('te', STAR.ranges)}), fi AS ({findings('sh', STAR.ranges)}),
 {SCORED[SCORED.index('prm AS'):]}, sr AS (SELECT 'p' AS feature, p, p AS value FROM scored WHERE model = 'recency_rule' AND fold = 'train'),

@@ -225,3 +225,13 @@ def test_log_sink(spark, tmp_path):
         retail.append_log(frame, str(tmp_path / "log"))
     got = retail.read_log(spark, str(tmp_path / "log"))
     assert got.count() == 2 and got.first().rows_rejected_by_rule == {"a": 1} and got.where(F.col("ingested_at_utc").isNull()).count() == 0
+
+
+def test_rows_since_the_latest_promotion(spark):
+    at = lambda day: datetime(2024, 1, day)
+    log = spark.createDataFrame(
+        [("ok", 10, at(1)), ("ok", 5, at(3)), ("rejected_schema", 0, at(4)), ("ok", 7, at(6))], "status string, rows_appended long, ingested_at_utc timestamp")
+    promotions = spark.createDataFrame([("a", at(1)), ("a", at(5)), ("b", at(2)), ("c", at(9))], "model string, promoted_at timestamp")
+    got = {r.model: (r.rows_since, r.refused_since, r.rows_in_all) for r in merge.since_promotion(log, promotions).collect()}
+    assert got == {"a": (7, 0, 22), "b": (12, 1, 22), "c": (0, 0, 22)}
+    assert merge.since_promotion(log, promotions.limit(0)).count() == 0
