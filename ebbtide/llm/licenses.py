@@ -4,7 +4,9 @@ A candidate block starts with the sentence in which a license word stands, at mo
 is as long as the longest template with some room. It is compressed with zstandard alone, and again with each template as raw
 dictionary; the templates are ranked by how much smaller that makes the block. Winners are confirmed by
 aligning the template's words with the block's: the differing words are listed, and only few are allowed,
-none of them a number. Every license word of a whole text starts a block, unless it stands in a license that
+none of them a number or a word that names another variant of the license (Affero, Lesser, ShareAlike). Of the
+wordings of a license the longest that fits counts; the wording of another license that begins with the confirmed
+one and goes on (a third clause) takes its place. Lines with an identifier have wordings of their own. Every license word of a whole text starts a block, unless it stands in a license that
 has just been confirmed.
 
 Defined results: null and empty texts have no blocks; repeated rows are judged one by one; ties of equal
@@ -47,22 +49,53 @@ TEMPLATES = {
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
         "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     ),
-    "LGPL-3.0": ("This work is licensed under the GNU Lesser General Public License, version 3.",),
-    "AGPL-3.0": ("This work is licensed under the GNU Affero General Public License, version 3.",),
+    "LGPL-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published "
+        "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    "LGPL-2.1": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published "
+        "by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published "
+        "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
         "file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     ),
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution.",
+    ),
     "BSD-3-Clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. "
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+        "software without specific prior written permission.",
     ),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "CC-BY-ND-4.0": ("Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
     "CC0-1.0": ("This work is dedicated to the public domain under CC0 1.0.",),
     "Unlicense": ("This is free and unencumbered software released into the public domain.",),
 }
 
+# Identifiers as they stand in source files; the older ones may name later versions too.
+_VERSIONED = ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
+SPDX = {name: (name, *([f"{name}-only", f"{name}-or-later"] if name in _VERSIONED else [])) for name in TEMPLATES}
+# Words that tell one license from another, alone or as part of a word.
+DECISIVE = frozenset("affero lesser library noderivatives noderivs sharealike noncommercial nc nd sa".split())
+
 _TRIGGER = re.compile(r"(?i:licen[sc]ed?\b|\bpermission is\b|\bredistribut|\bpublic domain\b|\bfree software\b)")
 _SENTENCE_END = re.compile(r"[.!?:;]\s+|\n")
 _WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
@@ -77,6 +110,11 @@ def words_of(text: str) -> list[tuple[str, int, int]]:
     return [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
 
 
+def decides(word: str) -> bool:
+    """Whether a difference in this word makes another license: numbers, and words that name a variant."""
+    return any(c.isdigit() for c in word) or not DECISIVE.isdisjoint(re.split(r"[.\-]", word))
+
+
 @dataclass
 class Found:
     license: str
@@ -120,7 +158,7 @@ class Scanner:
         self.plain = zstandard.ZstdCompressor(level=level, write_content_size=False, write_checksum=False)
         self.templates = []
         for name, wordings in sorted(templates.items()):
-            for wording in wordings:
+            for wording in [*wordings, *[f"SPDX-License-Identifier: {i}" for i in SPDX.get(name, ())]]:
                 content = zstandard.ZstdCompressionDict(wording.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 packer = zstandard.ZstdCompressor(level=level, dict_data=content, write_content_size=False, write_checksum=False, write_dict_id=False)
                 self.templates.append((name, packer, [w for w, _, _ in words_of(wording)]))
@@ -141,19 +179,20 @@ class Scanner:
         return sorted(out, key=lambda x: (-x[0], x[1], -len(x[2])))
 
     def confirm(self, block: str, lead: int = 0) -> Found | None:
-        """The best-ranked license whose wording the block really has; of its wordings the longest that fits."""
+        """The best-ranked license whose wording the block really has; of its wordings, and of those that go on where one of it ends, the longest that fits."""
         if (block, lead) in self.known:
             return self.known[block, lead]
-        spots, found = words_of(block), None
+        spots, found, base = words_of(block), None, []
         for reduction, name, words in self.rank(block, lead):
             if reduction < LEAST_REDUCTION:
                 break
-            if found and name != found.license:
+            if found and name != found.license and words[: len(base)] != base:
                 continue
             have = [w for w, _, _ in spots[: int(len(words) * ROOM) + 4 + lead]]
             wrong, missing, added, used = wording_differences(words, have)
-            if 100 * wrong <= WRONG_PERCENT * len(words) and not any(any(c.isdigit() for c in w) for w in [*missing, *added]):
+            if 100 * wrong <= WRONG_PERCENT * len(words) and not any(decides(w) for w in [*missing, *added]):
                 if not found or spots[used - 1][2] > found.end:
+                    base = words
                     found = Found(name, found.reduction if found else reduction, spots[used - 1][2], missing, added)
         if len(self.known) >= CACHE:
             self.known.clear()

@@ -207,6 +207,25 @@ def test_license_scan(spark):
     assert licenses.report(frame(spark, [])).count() == 0
 
 
+DISCLAIMER = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED. " * 3
+
+
+def test_every_wording_has_its_own_name(spark):
+    wordings = [(n, w) for n, ws in licenses.TEMPLATES.items() for w in [*ws, *[f"SPDX-License-Identifier: {i}" for i in licenses.SPDX[n]]]]
+    rows = [(k, w) for k, (_, w) in enumerate(wordings)]
+    rows += [(1000 + k, f"Some words before it.\n{w}\n{DISCLAIMER}") for k, (_, w) in enumerate(wordings)]
+    got = {r["doc_id"]: r["licenses"] for r in licenses.report(frame(spark, rows)).collect()}
+    assert [(n, got[k], got[1000 + k]) for k, (n, _) in enumerate(wordings)] == [(n, n, n) for n, _ in wordings]
+
+
+def test_a_variant_without_a_wording_is_not_taken_for_another():
+    scan = lambda text: [f.license for f in licenses.Scanner().scan(text)[1]]
+    for old, new in [("Attribution 4.0", "Attribution-NonCommercial-NoDerivatives 4.0"), ("Attribution 4.0", "Attribution-NonCommercial-ShareAlike 4.0"), ("4.0", "3.0")]:
+        assert scan(licenses.TEMPLATES["CC-BY-4.0"][1].replace(old, new)) == []
+    assert scan(licenses.TEMPLATES["AGPL-3.0"][1].replace("version 3", "version 2")) == []
+    assert scan("SPDX-License-Identifier: Zlib") == []
+
+
 def test_wording_differences_against_brute_force():
     random.seed(4)
 
