@@ -1,12 +1,13 @@
 """Suffix-array deduplication: bytes under any 50-byte string that also starts in a document with a smaller id go.
 
 Every window of 50 bytes belongs to the smallest hash of the 16-byte grams in it, its anchor, so equal windows share
-their anchor wherever they stand. Anchors that only one document has are told apart by one shuffle of (anchor, id);
-what a task can tell on its own is reduced to one row per anchor before. Runs of windows with one anchor form
+their anchor wherever they stand. Anchors that only one document has are told apart by one shuffle of lists of them by
+bucket; what a task can tell on its own is reduced to one entry per anchor before. Runs of windows with one anchor form
 fragments, equal fragments become one with its smallest document, and the fragments of an anchor meet in one bucket.
 There a suffix array by two-stage sorting stands over them: suffixes smaller than their successors are sorted
-directly, the others are induced by scanning the buckets of first bytes in order; common prefixes of neighbours cut
-the array into groups of equal windows, and a window goes when its group holds a smaller document.
+directly, the others are induced by scanning the buckets of first bytes in order; it holds the suffixes that start a
+window and those they are induced from. Common prefixes of neighbours cut the array into groups of equal windows, and a
+window goes when its group holds a smaller document.
 
 Anchors with more different fragments than a bucket should hold are split into their windows, which are joined with
 the smallest document of the same window: that is exact as well and spreads by window.
@@ -22,19 +23,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F
 
 from ebbtide.llm.shared import attach, drop, stored
-from ebbtide.llm.words import _BYTE_CODE, buffers, give_back, pieces, span_hashes
+from ebbtide.llm.words import _BASE, _BYTE_CODE, buffers, give_back, mix, pieces, span_hashes
 
 LENGTH = 50
 GRAM = 16
 STRETCH = LENGTH - GRAM + 1  # grams in a window, and the most windows of a fragment (a mask of 64 bits holds them)
 CHUNK_BYTES = 8 << 20  # text whose anchors a task compares before it hands them on
+PIECE_BYTES = 256 << 10  # text cut at once: its arrays of numbers stay in the processor's cache
 BUCKET_BYTES = 2 << 20
 MOST_FRAGMENTS = 20_000  # different fragments of an anchor that go to one bucket
 MOST_BROADCAST = 200_000  # crowded anchors that are sent to every task; more are joined by a shuffle
-HELD_FRAGMENTS = 500_000  # fragments a task remembers to send their bytes once
+HELD_FRAGMENTS = 1 << 20  # places where a task remembers fragments to send their bytes once
 _GAP = 255  # between fragments; no byte of UTF-8
 
 
@@ -43,11 +46,10 @@ _GAP = 255  # between fragments; no byte of UTF-8
 
 def _eights(t: np.ndarray) -> np.ndarray:
     """The eight bytes from every position as one big-endian number; zeros follow the end, with room for LENGTH more."""
-    k = np.zeros(len(t) + LENGTH + 16, np.uint64)
-    k[: len(t)] = t
-    for bits in (8, 16, 32):
-        k[: -bits // 8] = (k[: -bits // 8] << np.uint64(bits)) | k[bits // 8 :]
-    return k
+    room = len(t) + LENGTH + 16
+    padded = np.zeros(room + 7, np.uint8)
+    padded[: len(t)] = t
+    return np.ndarray(room, ">u8", buffer=padded, strides=(1,)).astype(np.uint64)
 
 
 def _below_next(t: np.ndarray) -> np.ndarray:
@@ -71,10 +73,15 @@ def _direct(at: np.ndarray, eights: np.ndarray, depth: int) -> np.ndarray:
         if not len(tied):
             break
         key = eights[at[tied] + step]
-        order = np.lexsort((key, group[tied]))
+        order = np.argsort(key)
+        key = key[order]
+        rank = np.empty(len(tied), np.int64)
+        rank[order] = np.cumsum(np.append(False, key[1:] != key[:-1]))
+        both = group[tied] * len(tied) + rank
+        order = np.argsort(both)
         at[tied] = at[tied][order]
-        key, old = key[order], group[tied]
-        new = np.append(False, (key[1:] != key[:-1]) | (old[1:] != old[:-1]))
+        both = both[order]
+        new = np.append(False, both[1:] != both[:-1])
         # Numbers only have to grow along the order and to tell neighbours apart.
         group = group * len(at)
         group[tied] += np.cumsum(new)
@@ -82,23 +89,36 @@ def _direct(at: np.ndarray, eights: np.ndarray, depth: int) -> np.ndarray:
     return at
 
 
-def suffix_array(t: np.ndarray, depth: int = LENGTH, eights: np.ndarray | None = None) -> np.ndarray:
-    """Positions of ``t`` in the order of the suffixes there, as far as their first ``depth`` bytes tell."""
+def _needed(asked: np.ndarray, below: np.ndarray) -> np.ndarray:
+    """The positions asked for and those their order is induced from: all that follow up to one sorted directly."""
+    at = np.arange(len(asked))
+    last = np.maximum.accumulate(np.where(asked, at, -1))
+    direct = np.maximum.accumulate(np.where(below, at, -1))
+    return last > np.append(-1, direct[:-1])
+
+
+def suffix_array(t: np.ndarray, depth: int = LENGTH, eights: np.ndarray | None = None, asked: np.ndarray | None = None) -> np.ndarray:
+    """Positions of ``t`` in the order of the suffixes there, as far as their first ``depth`` bytes tell.
+
+    With a mask ``asked``, only positions in it.
+    """
     n = len(t)
     if not n:
         return np.zeros(0, np.int64)
     eights = _eights(t) if eights is None else eights
     below = _below_next(t)
-    out = np.empty(n, np.int64)
-    starts = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=256))])
-    larger = np.bincount(t[~below], minlength=256)  # suffixes to be induced, at the head of each bucket
-    direct = _direct(np.flatnonzero(below), eights, depth)
+    needed = np.ones(n, bool) if asked is None else _needed(asked, below)
+    induced = needed & ~below
+    out = np.empty(np.count_nonzero(needed), np.int64)
+    starts = np.concatenate([[0], np.cumsum(np.bincount(t[needed], minlength=256))])
+    larger = np.bincount(t[induced], minlength=256)  # suffixes to be induced, at the head of each bucket
+    direct = _direct(np.flatnonzero(needed & below), eights, depth)
     tails = np.concatenate([[0], np.cumsum(np.bincount(t[direct], minlength=256))])
     head = starts[:-1].copy()
 
     def induce(scanned: np.ndarray) -> None:
         before = scanned[scanned > 0] - 1
-        before = before[~below[before]]
+        before = before[induced[before]]
         first = t[before]
         order = np.argsort(first, kind="stable")
         before, first = before[order], first[order]
@@ -106,9 +126,9 @@ def suffix_array(t: np.ndarray, depth: int = LENGTH, eights: np.ndarray | None =
         out[head[first] + np.arange(len(before)) - (np.cumsum(counts) - counts)[first]] = before
         head[:] += counts
 
-    last = int(t[-1])  # the empty suffix comes first and induces the last one
-    out[head[last]] = n - 1
-    head[last] += 1
+    if needed[-1]:  # the empty suffix comes first and induces the last one
+        out[head[t[-1]]] = n - 1
+        head[t[-1]] += 1
     for c in np.flatnonzero(np.diff(starts)).tolist():
         done = starts[c]
         while done < head[c]:  # suffixes induced within the bucket are scanned in turn
@@ -119,7 +139,7 @@ def suffix_array(t: np.ndarray, depth: int = LENGTH, eights: np.ndarray | None =
         tail = direct[tails[c] : tails[c + 1]]
         out[head[c] : starts[c + 1]] = tail
         induce(tail)
-    return out
+    return out if asked is None else out[asked[out]]
 
 
 def common_prefixes(at: np.ndarray, eights: np.ndarray, most: int = LENGTH) -> np.ndarray:
@@ -128,9 +148,9 @@ def common_prefixes(at: np.ndarray, eights: np.ndarray, most: int = LENGTH) -> n
     live = np.arange(1, len(at))
     for step in range(0, most, 8):
         x = eights[at[live] + step] ^ eights[at[live - 1] + step]
-        equal = np.full(len(live), 8)
-        for k in range(7, -1, -1):
-            equal[(x >> np.uint64(8 * (7 - k))) & np.uint64(255) != 0] = k
+        # The exponent as a double tells the highest bit; without the bits after set ones no rounding reaches the next.
+        highest = ((x & ~(x >> np.uint64(1))).astype(np.float64).view(np.int64) >> 52) - 1023
+        equal = np.minimum((63 - highest) >> 3, 8)
         out[live] += equal
         live = live[equal == 8]
     return np.minimum(out, most)
@@ -146,21 +166,25 @@ def repeated_windows(contents: list[bytes], owners: np.ndarray) -> np.ndarray:
     inside = np.repeat(begin, windows) + (offset := np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows))
     fragment[inside] = np.repeat(np.arange(len(contents)), windows)
     eights = _eights(t)
-    order = suffix_array(t, LENGTH, eights)
-    order = order[fragment[order] >= 0]
+    order = suffix_array(t, LENGTH, eights, fragment >= 0)
     groups = np.flatnonzero(common_prefixes(order, eights) < LENGTH)
     owner = owners[fragment[order]]
     least = np.repeat(np.minimum.reduceat(owner, groups), np.diff(np.append(groups, len(order)))) if len(order) else owner
     goes = np.zeros(len(t), np.uint64)
     goes[order] = least < owner
-    masks = np.zeros(len(contents), np.uint64)
-    np.add.at(masks, fragment[inside], goes[inside] << offset.astype(np.uint64))
+    masks = np.bitwise_or.reduceat(goes[inside] << offset.astype(np.uint64), np.cumsum(windows) - windows)
     return masks.view(np.int64)
 
 
 # --- anchors and fragments of texts
 
 
+def _gram_hashes(data: np.ndarray) -> np.ndarray:
+    """A hash of the GRAM bytes from every position that has so many."""
+    eights, count = _eights(data), len(data) - GRAM + 1
+    return mix(eights[:count] * _BASE + eights[GRAM - 8 :][:count])
+
+
 def fragments(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows with one anchor: text, first byte in all bytes, number of windows, anchor; and bytes and offsets."""
     data, offsets = buffers(texts)
@@ -168,18 +192,18 @@ def fragments(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     if count <= 0:
         none = np.zeros(0, np.int64)
         return none, none, none, none, data, offsets
-    at = np.arange(len(data) - GRAM + 1)
-    least = span_hashes(_BYTE_CODE[data], at, at + GRAM)
+    least = _gram_hashes(data)
     size = 1
     while 2 * size <= STRETCH:
         least = np.minimum(least[:-size], least[size:])
         size *= 2
     least = np.minimum(least[:count], least[STRETCH - size : STRETCH - size + count]).view(np.int64)
-    lengths = np.diff(offsets)
-    text_of = np.repeat(np.arange(len(lengths)), np.maximum(lengths, 0))[:count]
-    whole = np.arange(count) + LENGTH <= offsets[text_of + 1]
+    whole = np.ones(len(data), bool)
+    ahead = np.unique(offsets)[:, None] - np.arange(1, LENGTH)  # windows from there reach into the next text
+    whole[ahead[ahead >= 0]] = False
+    whole = whole[:count]
     begins = whole.copy()
-    begins[1:] &= ~(whole[:-1] & (least[1:] == least[:-1]) & (text_of[1:] == text_of[:-1]))
+    begins[1:] &= ~whole[:-1] | (least[1:] != least[:-1])
     first = np.flatnonzero(begins)
     ends = whole.copy()
     ends[:-1] &= begins[1:] | ~whole[1:]
@@ -189,34 +213,51 @@ def fragments(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     which = np.repeat(np.arange(len(first)), parts)
     step = (np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)) * STRETCH
     start = first[which] + step
-    return text_of[start], start, np.minimum(run[which] - step, STRETCH), least[start], data, offsets
+    text = np.searchsorted(offsets, start, "right") - 1
+    return text, start, np.minimum(run[which] - step, STRETCH), least[start], data, offsets
+
+
+def _lists(ids: np.ndarray, values: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Different ids in order, and for each the list of its values; equal values of an id once if they are in order."""
+    order = np.argsort(ids, kind="stable")
+    ids, values = ids[order], values[order]
+    other = np.append(True, ids[1:] != ids[:-1])[: len(ids)]
+    fresh = other | np.append(True, values[1:] != values[:-1])[: len(ids)]
+    ids, values, other = ids[fresh], values[fresh], other[fresh]
+    first = np.flatnonzero(other)
+    return pa.array(ids[first]), pa.ListArray.from_arrays(pa.array(np.append(first, len(ids)).astype(np.int32)), pa.array(values))
 
 
-def shared_anchors(docs: DataFrame) -> DataFrame:
-    """id, anchors: anchors of a document that another document has as well."""
+def shared_anchors(docs: DataFrame, buckets: int) -> DataFrame:
+    """id, anchors: anchors of a document that another document has as well.
+
+    A row is what a task sends to a bucket: lists of anchors with the smallest and largest document that has them.
+    """
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, anchors, held = [], [], 0
+        names = ["bucket", "id", "anchors", "low", "high"]
 
         def flush() -> Iterator[pa.RecordBatch]:
             i, a = np.concatenate(ids), np.concatenate(anchors)
-            order = np.lexsort((i, a))
+            order = np.argsort(a)
             i, a = i[order], a[order]
-            fresh = np.append(True, (a[1:] != a[:-1]) | (i[1:] != i[:-1]))
-            i, a = i[fresh], a[fresh]
             first = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
-            size = np.diff(np.append(first, len(a)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a[first]), pa.array(i[first]), pa.array(i[first + size - 1]), pa.nulls(len(first), pa.list_(pa.int64()))], names=["meet", "low", "high", "known"]
-            )
-            known = np.repeat(size > 1, size)  # two documents of this chunk have it
-            order = np.argsort(i[known], kind="stable")
-            i, a = i[known][order], a[known][order]
-            first = np.flatnonzero(np.append(True, i[1:] != i[:-1])) if len(i) else i
-            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(i)).astype(np.int32)), pa.array(a))
-            yield pa.RecordBatch.from_arrays([pa.array(i[first]), pa.array(i[first]), pa.array(i[first]), lists], names=["meet", "low", "high", "known"])
-
-        for batch in pieces(batches):
+            low, high = np.minimum.reduceat(i, first), np.maximum.reduceat(i, first)
+            bucket = (a[first].view(np.uint64) % np.uint64(buckets)).astype(np.min_scalar_type(buckets))
+            order = np.argsort(bucket, kind="stable")
+            bucket = bucket[order]
+            begin = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            cuts = pa.array(np.append(begin, len(bucket)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(x[order])) for x in (a[first], low, high)]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[begin].astype(np.int64)), pa.nulls(len(begin), pa.int64()), *lists], names=names)
+            known = np.repeat(low < high, np.diff(np.append(first, len(a))))  # two documents of this chunk have it
+            id_, lists = _lists(i[known], a[known])
+            anywhere = (mix(id_.to_numpy().view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            none = pa.nulls(len(id_), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(anywhere), id_, lists, none, none], names=names)
+
+        for batch in pieces(batches, limit=PIECE_BYTES):
             text, _, _, anchor, data, _ = fragments(batch.column("text"))
             if len(text):
                 ids.append(batch.column("doc_id").to_numpy(zero_copy_only=False)[text])
@@ -228,12 +269,42 @@ def shared_anchors(docs: DataFrame) -> DataFrame:
         if ids:
             yield from flush()
 
-    # Rows of one document only meet at their anchor; lists of what is known already pass by, each on its own.
-    rows = docs.select("doc_id", "text").mapInArrow(job, "meet long, low long, high long, known array<long>")
-    of_anchor = Window.partitionBy("meet", F.col("known").isNull())
-    met = rows.withColumns({"least": F.min("low").over(of_anchor), "most": F.max("high").over(of_anchor)})
-    fresh = met.where("known IS NOT NULL OR (low = high AND least < most)")
-    return fresh.groupBy(F.col("low").alias("id")).agg(F.flatten(F.collect_list(F.coalesce("known", F.array("meet")))).alias("anchors"))
+    def meet(table: pa.Table) -> pa.Table:
+        """Anchors that one document of a chunk has and one of another chunk; lists of what is known already pass by."""
+        sent = pc.is_null(table.column("id"))
+        passed, table = table.filter(pc.invert(sent)).select(["id", "anchors"]), table.filter(sent)
+        a, low, high = (pc.list_flatten(table.column(c)).to_numpy() for c in ("anchors", "low", "high"))
+        if not len(a):
+            return passed
+        order = np.argsort(a)
+        a, low, high = a[order], low[order], high[order]
+        first = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
+        several = np.minimum.reduceat(low, first) < np.maximum.reduceat(high, first)
+        fresh = (low == high) & np.repeat(several, np.diff(np.append(first, len(a))))
+        ids, lists = _lists(low[fresh], a[fresh])
+        return pa.concat_tables([passed, pa.table({"id": ids, "anchors": lists}).cast(passed.schema)])
+
+    rows = docs.select("doc_id", "text").mapInArrow(job, "bucket long, id long, anchors array<long>, low array<long>, high array<long>")
+    shared = rows.groupBy("bucket").applyInArrow(meet, "id long, anchors array<long>")
+    return shared.groupBy("id").agg(F.flatten(F.collect_list("anchors")).alias("anchors"))
+
+
+def _first_sent(mark: np.ndarray, owner: np.ndarray, marks: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """Which rows have to carry their bytes: of each mark the smallest owner, unless one as small is remembered.
+
+    ``marks`` and ``owners`` are the memory, a place by remainder; a mark whose place another one took is sent again.
+    """
+    order = np.lexsort((owner, mark))
+    least = order[np.append(True, mark[order][1:] != mark[order][:-1])]
+    place = mark[least] & (len(marks) - 1)
+    least, place = least[new := (marks[place] != mark[least]) | (owners[place] > owner[least])], place[new]
+    # Of two marks for one place the last is kept, in both arrays alike.
+    taken = np.unique(place[::-1], return_index=True)[1]
+    kept = least[::-1][taken]
+    marks[place[::-1][taken]], owners[place[::-1][taken]] = mark[kept], owner[kept]
+    fresh = np.zeros(len(mark), bool)
+    fresh[least] = True
+    return fresh
 
 
 def shared_fragments(docs: DataFrame, lists: DataFrame) -> DataFrame:
@@ -243,8 +314,8 @@ def shared_fragments(docs: DataFrame, lists: DataFrame) -> DataFrame:
     """
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: dict[int, int] = {}
-        for batch in pieces(batches):
+        held = np.zeros(HELD_FRAGMENTS, np.int64), np.full(HELD_FRAGMENTS, np.iinfo(np.int64).max)  # marks, smallest documents
+        for batch in pieces(batches, limit=PIECE_BYTES):
             text, start, windows, anchor, data, offsets = fragments(batch.column("text"))
             wanted = batch.column("anchors")
             of_text = np.repeat(np.arange(batch.num_rows), np.diff(wanted.offsets.to_numpy()))
@@ -257,19 +328,12 @@ def shared_fragments(docs: DataFrame, lists: DataFrame) -> DataFrame:
                 continue
             end = start + windows + LENGTH - 1
             mark = span_hashes(_BYTE_CODE[data], start, end).view(np.int64)
-            if len(sent) > HELD_FRAGMENTS:
-                sent.clear()
-            contents, fresh = [], []
+            owner = batch.column("doc_id").to_numpy(zero_copy_only=False)[text]
+            fresh = _first_sent(mark, owner, *held)
             raw = data.tobytes()
-            owner = batch.column("doc_id").take(pa.array(text))
-            for m, i, a, b in zip(mark.tolist(), owner.to_pylist(), start.tolist(), end.tolist()):
-                fresh.append(sent.get(m, i + 1) > i)
-                if fresh[-1]:
-                    sent[m] = i
-                contents.append(raw[a:b] if fresh[-1] else None)
-            take = pa.array(text)
+            contents = [raw[a:b] if f else None for f, a, b in zip(fresh.tolist(), start.tolist(), end.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [owner, batch.column("row").take(take), pa.array(start - offsets[text]), pa.array(windows.astype(np.int8)), pa.array(mark), pa.array(anchor, mask=~np.array(fresh)), pa.array(contents, pa.binary())],
+                [pa.array(owner), batch.column("row").take(pa.array(text)), pa.array(start - offsets[text]), pa.array(windows.astype(np.int8)), pa.array(mark), pa.array(anchor, mask=~fresh), pa.array(contents, pa.binary())],
                 names=["id", "row", "at", "windows", "mark", "anchor", "content"],
             )
 
@@ -282,11 +346,13 @@ def _sorted_masks(contents: DataFrame, buckets: int) -> DataFrame:
 
     def job(table: pa.Table) -> pa.Table:
         anchor, mark, owner = (table.column(c).to_numpy() for c in ("anchor", "mark", "id"))
-        order = np.lexsort((owner, mark))
-        chosen = order[np.append(True, mark[order][1:] != mark[order][:-1])]  # of each fragment the smallest document
+        order = np.argsort(mark)
+        first = np.flatnonzero(np.append(True, mark[order][1:] != mark[order][:-1]))
+        chosen, owner = order[first], np.minimum.reduceat(owner[order], first)  # of each fragment the smallest document
         _, place, count = np.unique(anchor[chosen], return_inverse=True, return_counts=True)
-        chosen = chosen[count[place] > 1]  # a fragment alone has nothing to meet
-        masks = repeated_windows(table.column("content").take(pa.array(chosen)).to_pylist(), owner[chosen]) if len(chosen) else np.zeros(0, np.int64)
+        several = count[place] > 1  # a fragment alone has nothing to meet
+        chosen, owner = chosen[several], owner[several]
+        masks = repeated_windows(table.column("content").take(pa.array(chosen)).to_pylist(), owner) if len(chosen) else np.zeros(0, np.int64)
         found = masks != 0
         give_back()
         return pa.table({"mark": pa.array(mark[chosen[found]]), "mask": pa.array(masks[found])})
@@ -329,7 +395,8 @@ def buffers_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def repeated(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, most_fragments: int = MOST_FRAGMENTS) -> DataFrame:
     """id, row (tells rows of one id apart), at, mask: of documents that lose bytes the fragments and which of their windows go."""
     own = docs.where("doc_id IS NOT NULL AND length(text) > 0").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    lists = stored(shared_anchors(own), "anchors")
+    size = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+    lists = stored(shared_anchors(own, max(1, -(-size // bucket_bytes))), "anchors")
     found = stored(shared_fragments(own, lists), "fragments")
     drop(lists)
     grouped = found.groupBy("mark").agg(F.max("anchor").alias("anchor"), F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"), F.max("windows").alias("windows"))

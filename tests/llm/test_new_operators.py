@@ -98,6 +98,63 @@ def test_two_stage_order_and_prefixes():
             assert n == next((m for m in range(50) if a[m] != b[m]), 50)
 
 
+def test_order_of_asked_positions_sorts_no_others(monkeypatch):
+    """Only suffixes that start a window, and those they are induced from, are sorted."""
+    rng = np.random.default_rng(4)
+    sorted_directly, direct = [], suffixes._direct
+    monkeypatch.setattr(suffixes, "_direct", lambda at, *rest: direct(sorted_directly.append(len(at)) or at, *rest))
+    for trial in range(60):
+        t = rng.integers(97, 97 + rng.integers(1, 5), rng.integers(1, 250)).astype(np.uint8)
+        asked, data = rng.random(len(t)) < rng.random(), t.tobytes()
+        order = suffixes.suffix_array(t, 50, asked=asked).tolist()
+        assert sorted(order) == np.flatnonzero(asked).tolist()
+        cut = [data[k : k + 50] for k in order]
+        assert cut == sorted(cut)
+        assert sorted_directly.pop() <= asked.sum()
+
+
+def test_fragments_and_their_anchors():
+    """Fragments hold every window once; equal windows have equal anchors, wherever they are."""
+    texts = [t for _, t in mixed_texts(9, 40)] + ["", "short", None, "é" * 30, "x" * 50]
+    anchors, seen = {}, Counter()
+    for some in (texts, texts[::-1], texts[3:]):
+        text, start, windows, anchor, data, offsets = suffixes.fragments(pa.array(some, pa.string()))
+        for k, a, n, h in zip(text.tolist(), start.tolist(), windows.tolist(), anchor.tolist()):
+            assert offsets[k] <= a and a + n + 49 <= offsets[k + 1]
+            for at in range(a, a + n):
+                window = data[at : at + 50].tobytes()
+                assert anchors.setdefault(window, h) == h
+                seen[window] += 1
+    want = Counter(d[k : k + 50] for some in (texts, texts, texts[3:]) for d in [(t or "").encode() for t in some] for k in range(len(d) - 49))
+    assert seen == want
+
+
+def test_bytes_of_a_fragment_are_sent_with_its_smallest_document():
+    rng = np.random.default_rng(5)
+    memory, least, sent = (np.zeros(8, np.int64), np.full(8, np.iinfo(np.int64).max)), {}, {}
+    for trial in range(50):
+        mark, owner = rng.integers(-20, 20, 12), rng.integers(0, 1000, 12)
+        fresh = suffixes._first_sent(mark, owner, *memory)
+        for m, i, f in zip(mark.tolist(), owner.tolist(), fresh.tolist()):
+            least[m] = min(least.get(m, i), i)
+            if f:
+                sent[m] = min(sent.get(m, i), i)
+        assert sent == least
+    again = np.zeros(3, np.int64), np.array([7, 5, 5])
+    fresh_memory = np.zeros(8, np.int64), np.full(8, np.iinfo(np.int64).max)
+    assert suffixes._first_sent(*again, *fresh_memory).sum() == 1 and not suffixes._first_sent(*again, *fresh_memory).any()
+
+
+def test_anchors_are_shuffled_as_lists(spark):
+    """A task sends a row a bucket and document, not one an anchor."""
+    rows = frame(spark, [(i, passage(f"own {i}", 200)) for i in range(40)]).select("doc_id", "text").coalesce(1)
+    plan = suffixes.shared_anchors(rows, 3)
+    assert {r["id"]: set(r["anchors"]) for r in plan.collect()} == {}
+    assert "Window" not in plan._jdf.queryExecution().toString()
+    twice = rows.unionByName(rows.selectExpr("doc_id + 1000 AS doc_id", "text")).repartition(5)
+    assert {r["id"]: len(r["anchors"]) == len(set(r["anchors"])) > 20 for r in suffixes.shared_anchors(twice, 3).collect()} == {i + k: True for i in range(40) for k in (0, 1000)}
+
+
 # --- whitening
 
 
