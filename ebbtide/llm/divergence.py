@@ -99,6 +99,11 @@ def _f(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), p + q)
 
 
+def _shuffled(rows: DataFrame) -> DataFrame:
+    """Rows that no join may broadcast: a compressed table takes many times the size that Spark's checks see of it."""
+    return rows.hint("merge")
+
+
 def _groups(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """lang, source, own (count of all kept terms), whole (that of the language), terms (kept ones of the language)."""
     named = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source")).distinct()
@@ -110,7 +115,7 @@ def _groups(docs: DataFrame, kept: DataFrame) -> DataFrame:
 def distinctive_terms(kept: DataFrame, groups: DataFrame, top: int = TOP_TERMS) -> DataFrame:
     """lang, source, item, value, rank: the terms a source has more of than its language, highest values first."""
     group = ["lang", "source"]
-    cells = kept.groupBy(*group, "n", "total").agg(F.count("*").alias("m")).join(groups, group)
+    cells = kept.groupBy(*group, "n", "total").agg(F.count("*").alias("m")).join(F.broadcast(groups), group)  # far fewer groups than rows of the result
     p, q = _p(F.col("n"), F.col("own"), F.col("terms")), _p(F.col("total"), F.col("whole"), F.col("terms"))
     valued = cells.withColumns({"p": p, "q": q}).where("p > q").select(*group, "n", "total", "m", _f(F.col("p"), F.col("q")).alias("value"))
     falling = Window.partitionBy(*group).orderBy(F.desc("value"))
@@ -118,8 +123,8 @@ def distinctive_terms(kept: DataFrame, groups: DataFrame, top: int = TOP_TERMS)
     values = valued.groupBy(*group, "value").agg(F.sum("m").alias("m")).withColumn("place", F.row_number().over(falling)).where(F.col("place") <= top)
     before = F.coalesce(F.sum("m").over(falling.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     reached = values.withColumn("before", before).where(F.col("before") < top).select(*group, "value")
-    chosen = valued.join(reached, [*group, "value"]).select(*group, "n", "total", "value")
-    ranked = kept.join(chosen, [*group, "n", "total"]).withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("value"), "term")))
+    chosen = _shuffled(valued).join(reached, [*group, "value"]).select(*group, "n", "total", "value")
+    ranked = _shuffled(kept).join(chosen, [*group, "n", "total"]).withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("value"), "term")))
     return ranked.where(F.col("rank") <= top).select(*group, F.col("term").alias("item"), "value", "rank")
 
 
@@ -131,13 +136,13 @@ def source_pairs(kept: DataFrame, groups: DataFrame) -> DataFrame:
     none = F.lit(0).cast("long")
 
     has = lambda k: kept.select("lang", "term", F.col("source").alias(k), F.col("n").alias(f"n_{k}"))
-    both = has("a").join(has("b"), ["lang", "term"]).where("a < b").groupBy("lang", "a", "b", "n_a", "n_b").agg(F.count("*").alias("m"))
+    both = _shuffled(has("a")).join(has("b"), ["lang", "term"]).where("a < b").groupBy("lang", "a", "b", "n_a", "n_b").agg(F.count("*").alias("m"))
     both = both.join(side("a"), ["lang", "a"]).join(side("b").drop("terms"), ["lang", "b"])
     both = both.withColumns({"pa": share("a", F.col("n_a")), "pb": share("b", F.col("n_b")), "za": share("a", none), "zb": share("b", none)})
     gain = _f(F.col("pa"), F.col("pb")) - _f(F.col("pa"), F.col("zb")) - _f(F.col("za"), F.col("pb")) + _f(F.col("za"), F.col("zb"))
     shared = both.groupBy("lang", "a", "b").agg(F.sum(F.col("m") * gain).alias("part"))
 
-    alone = kept.groupBy("lang", F.col("source").alias("a"), "n").agg(F.count("*").alias("m")).join(pairs, ["lang", "a"])
+    alone = _shuffled(kept.groupBy("lang", F.col("source").alias("a"), "n").agg(F.count("*").alias("m"))).join(pairs, ["lang", "a"])
     alone = alone.withColumns({"pa": share("a", F.col("n")), "za": share("a", none), "zb": share("b", none)})
     alone = alone.groupBy("lang", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
         F.sum(F.col("m") * (_f(F.col("pa"), F.col("zb")) - _f(F.col("za"), F.col("zb")))).alias("part")

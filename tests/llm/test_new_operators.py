@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 
 from ebbtide.llm import divergence, suffixes, whitening
+from ebbtide.llm.shared import written
 from ebbtide.llm.sql import SQL
 from tests.llm.brute import frame, lower, passage
 
@@ -302,3 +303,14 @@ def test_audit_sql_agrees(spark):
     want = {tuple(r) for r in con.execute(SQL["op13_source_divergence"]).fetchall()}
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     assert audited(divergence.audit(docs).collect()) == want
+
+
+def test_divergence_broadcasts_no_terms(spark):
+    """Compressed, the table of terms looks smaller than it is, so that Spark's size checks would broadcast it."""
+    docs = spark.createDataFrame([("alpha beta gamma", "en", s) for s in "ab"] * 3, "text string, lang string, source string")
+    kept = written(divergence.kept_terms(docs, 1), "terms")
+    groups = written(divergence._groups(docs, kept), "groups")
+    for frame_ in (divergence.source_pairs(kept, groups), divergence.distinctive_terms(kept, groups)):
+        plan = spark._jvm.PythonSQLUtils.explainString(frame_._jdf.queryExecution(), "formatted")
+        sent = re.findall(r"\) BroadcastExchange\nInput \[\d+\]: \[(.*)\]", plan)
+        assert "SortMergeJoin" in plan and not [x for x in sent if re.search(r"\b(term|n|total|n_a|n_b)#", x)]
