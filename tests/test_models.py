@@ -1,5 +1,6 @@
 """Fitted tiers on a small separable problem."""
 
+import threading
 import time
 from datetime import date
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.contracts import ASOF, CUSTOMER, LABEL, NUMERIC
 from ebbtide.operators import boosting, models, ranking
+from ebbtide.sources.stages import Stages
 
 SMALL = boosting.BoostingSettings(max_rounds=4, leaves=4, step=0.3, least_rounds=2)
 
@@ -216,3 +218,29 @@ def test_bins_of_missing_and_equal_values(spark):
     got = boosting.binned(rows, edges).collect()
     assert [r["bins"][0] for r in got[::2]] == [0, 0, 1, 1, 2, 2, 3]
     assert {tuple(r["bins"][1:]) for r in got} == {(*[1] * (len(NUMERIC) - 1), 0, 1), (*[1] * (len(NUMERIC) - 1), 0, 0)}
+
+
+def test_the_logistic_model_is_fitted_beside_the_boosted_one(monkeypatch):
+    started = threading.Event()
+
+    class Kept:
+        def table(self, name, build):
+            return build()
+
+    class Some(Stages):
+        def __init__(self):
+            self._tables = Kept()
+
+        def training(self):
+            return "rows"
+
+        def logistic(self):
+            assert started.wait(20)
+            return "logistic"
+
+        def boosted(self):
+            started.set()
+            return "boosted"
+
+    monkeypatch.setattr(models, "score_tiers", lambda *parts: parts)
+    assert Some().fitted() == ("rows", "logistic", "boosted")
